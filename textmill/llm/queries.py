@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .ngram_jaccard_join import ngram_jaccard_join
+from .suffix_array_dedup import suffix_array_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,5 +16,9 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_ngram_jaccard_join,)}
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op6_ngram_jaccard_join, op10_suffix_array_dedup)}
 ORACLE_SQL: dict[str, str] = {}
