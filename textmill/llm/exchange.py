@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -38,12 +39,24 @@ def cut(df: DataFrame, free: bool = True) -> DataFrame:
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    if free:
+    for _ in range(2 if free else 0):  # the first pass finds what nothing refers to, the second lets Spark's cleaner act on it
         gc.collect()
         spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
     return out
 
 
+def pack6(h: np.ndarray) -> bytes:
+    """The low six bytes of each hash; the bucket has the top bits."""
+    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpack6(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(x) // 6, 8), np.uint8)
+    out[:, :6] = x.reshape(-1, 6)
+    return out.view("<u8").reshape(-1).astype(np.uint64)
+
+
 def buckets(spark: SparkSession) -> int:
     """A power of two of hash buckets, twice the shuffle partitions or more."""
     return 1 << (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut
+from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, pack6, unpack6
 
 N, THRESHOLD, GROUP, QUERIES = 3, 0.55, 1024, 4096
 
@@ -85,7 +85,7 @@ def _send(n: int, many: int):
                 [
                     pa.array([many + c % many, *used], pa.int64()),
                     pa.array([c] * (1 + len(used)), pa.int64()),
-                    pa.array([head, *(binary(g[to[k] : to[k + 1]]) for k in used)], pa.binary()),
+                    pa.array([head, *(pack6(g[to[k] : to[k + 1]]) for k in used)], pa.binary()),
                     pa.array([b"", *(binary(per[k].astype(np.uint32)) for k in used)], pa.binary()),
                 ],
                 ["bucket", "chunk", "h", "per"],
@@ -99,19 +99,20 @@ def _repeated(many: int):
 
     def run(table: pa.Table) -> pa.Table:
         if table["bucket"][0].as_py() >= many:
-            return table.select(["chunk", "h", "per"]).append_column("seen", pa.array([None] * table.num_rows, pa.binary()))
-        hs, pers = blobs(table["h"], np.uint64), blobs(table["per"], np.uint32)
+            return table.append_column("seen", pa.array([None] * table.num_rows, pa.binary()))
+        hs, pers = [unpack6(x) for x in blobs(table["h"], np.uint8)], blobs(table["per"], np.uint32)
         _, inverse, count = np.unique(np.concatenate(hs), return_inverse=True, return_counts=True)
-        count, at, out = np.minimum(count, 65535).astype(np.uint16), 0, ([], [], [], [])
+        count, at, out = np.minimum(count, 255).astype(np.uint8), 0, ([], [], [], [])
         for c, h, per in zip(table["chunk"].to_pylist(), hs, pers):
             seen = count[inverse[at : at + len(h)]]
             at += len(h)
             keep = seen > 1
             if keep.any():
                 left = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(per, dtype=np.int64)])]
-                for o, x in zip(out, (c, binary(h[keep]), binary(np.diff(left).astype(np.uint32)), binary(seen[keep]))):
+                for o, x in zip(out, (c, pack6(h[keep]), binary(np.diff(left).astype(np.uint32)), binary(seen[keep]))):
                     o.append(x)
-        return pa.table(dict(zip(("chunk", "h", "per", "seen"), (pa.array(o, k) for o, k in zip(out, (pa.int64(), pa.binary(), pa.binary(), pa.binary()))))))
+        c, *rest = out
+        return pa.table({"bucket": pa.array([table["bucket"][0].as_py()] * len(c), pa.int64()), "chunk": pa.array(c, pa.int64()), **{k: pa.array(x, pa.binary()) for k, x in zip(("h", "per", "seen"), rest)}})
 
     return run
 
@@ -129,7 +130,9 @@ def _suspects(t: float):
         if not body.num_rows:
             return SUSPECT.empty_table()
         ids, size, sig = head
-        h, seen = np.concatenate(blobs(body["h"], np.uint64)), np.concatenate(blobs(body["seen"], np.uint16))
+        # A token is named by its bucket and the low 48 bits of its hash.
+        h = np.concatenate([unpack6(x) | np.uint64(b) << np.uint64(48) for b, x in zip(body["bucket"].to_pylist(), blobs(body["h"], np.uint8))])
+        seen = np.concatenate(blobs(body["seen"], np.uint8))
         doc = np.concatenate([np.repeat(np.arange(len(ids)), per) for per in blobs(body["per"], np.uint32)])
         many = np.bincount(doc, minlength=len(ids))
         open_ = (many >= least_overlap(size, t)) & (size > 0)
@@ -205,7 +208,7 @@ def classes_and_pairs(df: DataFrame, n: int = N, threshold: float = THRESHOLD, i
     many = buckets(spark)
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sent = docs.mapInArrow(_send(n, many), "bucket bigint, chunk bigint, h binary, per binary")
-    back = sent.groupBy("bucket").applyInArrow(_repeated(many), "chunk bigint, h binary, per binary, seen binary")
+    back = sent.groupBy("bucket").applyInArrow(_repeated(many), "bucket bigint, chunk bigint, h binary, per binary, seen binary")
     suspects = back.groupBy("chunk").applyInArrow(_suspects(threshold), "doc_id bigint, size bigint, sig bigint, near bigint, tokens binary")
     classes = cut(
         suspects.groupBy("sig").agg(
