@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .best_fit_packing import best_fit_packing
+from .fertility import tokenizer_fertility
 from .ngram_jaccard_join import ngram_jaccard_join
 from .suffix_array_dedup import suffix_array_dedup
 
@@ -12,6 +14,14 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_fertility(_read(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(_read(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_read(spark, sf_dir, "documents"))
 
@@ -20,5 +30,5 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_ngram_jaccard_join, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op2_tokenizer_fertility, op5_best_fit_packing, op6_ngram_jaccard_join, op10_suffix_array_dedup)}
 ORACLE_SQL: dict[str, str] = {}
