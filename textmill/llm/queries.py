@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .best_fit_packing import best_fit_packing
 from .fertility import tokenizer_fertility
+from .host_reputation import ORACLE as HOST_REPUTATION_SQL
+from .host_reputation import host_reputation
 from .ngram_jaccard_join import ngram_jaccard_join
+from .site_templates import site_text
 from .suffix_array_dedup import suffix_array_dedup
+from .token_counts import token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +22,10 @@ def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer_fertility(_read(spark, sf_dir, "documents"))
 
 
+def op4_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_text(_read(spark, sf_dir, "pages"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(_read(spark, sf_dir, "documents"))
 
@@ -26,9 +34,28 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_read(spark, sf_dir, "documents"))
 
 
+def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_reputation(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_read(spark, sf_dir, "documents"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_tokenizer_fertility, op5_best_fit_packing, op6_ngram_jaccard_join, op10_suffix_array_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_tokenizer_fertility,
+        op4_site_templates,
+        op5_best_fit_packing,
+        op6_ngram_jaccard_join,
+        op7_host_reputation,
+        op9_token_counts,
+        op10_suffix_array_dedup,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op7_host_reputation": HOST_REPUTATION_SQL}
