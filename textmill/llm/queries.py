@@ -12,12 +12,17 @@ from .ngram_jaccard_join import ngram_jaccard_join
 from .site_templates import site_text
 from .suffix_array_dedup import suffix_array_dedup
 from .token_counts import token_counts
+from .vp_tree_search import vp_tree_search
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_vp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_tree_search(_read(spark, sf_dir, "embeddings"))
+
+
 def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer_fertility(_read(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_vp_tree_search,
         op2_tokenizer_fertility,
         op4_site_templates,
         op5_best_fit_packing,
