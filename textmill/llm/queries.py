@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .best_fit_packing import best_fit_packing
 from .fertility import tokenizer_fertility
+from .gumbel_segmentation import gumbel_segmentations
 from .host_reputation import ORACLE as HOST_REPUTATION_SQL
 from .host_reputation import host_reputation
 from .ngram_jaccard_join import ngram_jaccard_join
@@ -27,6 +28,10 @@ def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer_fertility(_read(spark, sf_dir, "documents"))
 
 
+def op3_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gumbel_segmentations(_read(spark, sf_dir, "documents"))
+
+
 def op4_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_text(_read(spark, sf_dir, "pages"))
 
@@ -56,6 +61,7 @@ QUERIES = {
     for f in (
         op1_vp_tree_search,
         op2_tokenizer_fertility,
+        op3_gumbel_segmentations,
         op4_site_templates,
         op5_best_fit_packing,
         op6_ngram_jaccard_join,
