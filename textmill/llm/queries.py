@@ -10,6 +10,7 @@ from .gumbel_segmentation import gumbel_segmentations
 from .host_reputation import ORACLE as HOST_REPUTATION_SQL
 from .host_reputation import host_reputation
 from .ngram_jaccard_join import ngram_jaccard_join
+from .pitman_yor import pitman_yor_perplexity
 from .site_templates import site_text
 from .suffix_array_dedup import suffix_array_dedup
 from .token_counts import token_counts
@@ -48,6 +49,10 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
 
 
+def op8_pitman_yor_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor_perplexity(_read(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES = {
         op5_best_fit_packing,
         op6_ngram_jaccard_join,
         op7_host_reputation,
+        op8_pitman_yor_perplexity,
         op9_token_counts,
         op10_suffix_array_dedup,
     )
