@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from .plans import documents  # noqa: F401 - registers its queries
+from .registry import ORACLE_SQL, QUERIES
+
 FLAGSHIP = "qlt_document_metrics"
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
