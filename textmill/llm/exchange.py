@@ -39,6 +39,7 @@ def cut(df: DataFrame, free: bool = True) -> DataFrame:
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
     for _ in range(2 if free else 0):  # the first pass finds what nothing refers to, the second lets Spark's cleaner act on it
         gc.collect()
         spark.sparkContext._jvm.System.gc()
@@ -57,6 +58,20 @@ def unpack6(x: np.ndarray) -> np.ndarray:
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the table of a cut that nothing reads any more, since a later cut has what came of it."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or one like it that df has no column of."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
 def buckets(spark: SparkSession) -> int:
     """A power of two of hash buckets, twice the shuffle partitions or more."""
     return 1 << (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()

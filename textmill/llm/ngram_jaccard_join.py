@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, pack6, unpack6
+from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, pack6, release, unpack6
 
 N, THRESHOLD, GROUP, QUERIES = 3, 0.55, 1024, 4096
 
@@ -267,7 +267,8 @@ def groups(classes: DataFrame, pairs: DataFrame) -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u")
-        edges = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), free=False)
+        last, edges = edges, cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), free=False)
+        release(last)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -284,5 +285,6 @@ def drop_near_copies(docs: DataFrame, n: int = N, threshold: float = THRESHOLD)
     Rows that repeat an id share its fate; rows of null id stay.
     """
     classes, pairs = classes_and_pairs(docs, n, threshold)
-    gone = groups(classes, pairs).where("NOT keep").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = fresh(docs, "__gone")
+    gone = groups(classes, pairs).where("NOT keep").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

@@ -34,11 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, list_array
+from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, list_array, pack6, release, unpack6
 
 LENGTH, Q = 50, 25
 _TOP = np.uint64(W._M)
 _LAST = np.iinfo(np.int64).max
+_TWICE = np.int64(1 << 62)
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
@@ -165,7 +166,7 @@ def _state(length: int, q: int):
             tail = end[np.minimum(pos + length - 1, len(h) - 1)]
             yield pa.record_batch(
                 [pa.array([next(ids)])]
-                + [pa.array([binary(x)], pa.binary()) for x in (pc.fill_null(chunk.column("doc_id"), _LAST).to_numpy(), chunk.column("key").to_numpy(), doc.astype(np.int32), (pos - woff[doc]).astype(np.int32), window[pos].astype(np.uint8), start[pos] - doff[doc], tail - doff[doc], g[pos])],
+                + [pa.array([binary(x)], pa.binary()) for x in (pc.fill_null(chunk.column("doc_id"), _LAST).to_numpy(), chunk.column("key").to_numpy(), doc.astype(np.int32), (pos - woff[doc]).astype(np.int32), window[pos].astype(np.uint8), (start[pos] - doff[doc]).astype(np.int32), (tail - doff[doc]).astype(np.int32), g[pos])],
                 ["chunk", "ids", "keys", "doc", "pos", "window", "from", "to", "b"],
             )
 
@@ -207,21 +208,30 @@ def _send_first(many: int):
             for row in batch.to_pylist():
                 s = _Chunk(row)
                 u, _, count = _unique(s.b)
-                yield pa.record_batch(_packed(s.c, bucket(u, many), many, u, count), ["bucket", "chunk", "a", "b"])
+                b = bucket(u, many)
+                rows = _packed(s.c, b, many, u, count)
+                rows[2] = pa.array([pack6(x) for x in blobs(rows[2], np.uint64)], pa.binary())
+                yield pa.record_batch(rows, ["bucket", "chunk", "a", "b"])
 
     return run
 
 
 def _name_first(t: pa.Table) -> pa.Table:
-    """Of one bucket range: identifiers in hash order; 0 for a q-gram that occurs once."""
-    hs = blobs(t["a"], np.uint64)
+    """Of one bucket range: ranks in hash order, from 1; 0 for a q-gram that occurs once."""
+    hs = [unpack6(x) for x in blobs(t["a"], np.uint8)]
     u, inverse = np.unique(np.concatenate(hs), return_inverse=True)
     total = np.bincount(inverse, np.concatenate(blobs(t["b"], np.uint8)), len(u))
-    name = np.where(total > 1, (np.uint64(t["bucket"][0].as_py()) << np.uint64(40)) + np.arange(1, len(u) + 1, dtype=np.uint64), np.uint64(0))[inverse]
-    parts = np.split(name, np.cumsum([len(x) for x in hs])[:-1])
+    rank = np.where(total > 1, np.arange(1, len(u) + 1), 0).astype(np.uint32)[inverse]
+    parts = np.split(rank, np.cumsum([len(x) for x in hs])[:-1])
     return pa.table([t["bucket"], t["chunk"], pa.array([binary(x) for x in parts], pa.binary()), pa.array([b""] * len(hs), pa.binary())], schema=BACK)
 
 
+def _names(back: pa.Table) -> np.ndarray:
+    """Identifiers of the buckets of a chunk's distinct keys, in their order: range and rank, 0 for none."""
+    parts = [np.where(r > 0, (np.uint64(k) << np.uint64(40)) + r.astype(np.uint64), np.uint64(0)) for k, r in zip(back["bucket"].to_pylist(), blobs(back["a"], np.uint32))]
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
 def _send_pairs(step: int, many: int):
     def run(batches):
         for batch in batches:
@@ -233,29 +243,33 @@ def _send_pairs(step: int, many: int):
                 # The first by (doc_id, chunk, document, position) speaks for the chunk.
                 by = np.lexsort((s.pos[order], s.doc[order], s.ids[s.doc[order]], rank))
                 lead = order[by[new]]
-                count = np.minimum(np.bincount(rank), 2).astype(np.int64)
-                who = np.stack([count, s.ids[s.doc[lead]], s.doc[lead], s.pos[lead]], 1)
-                yield pa.record_batch(_packed(s.c, (x >> np.uint64(40)).astype(np.int64), many, np.stack([x, y], 1), who), ["bucket", "chunk", "a", "b"])
+                place = s.doc[lead].astype(np.int64) << 32 | s.pos[lead]
+                who = np.stack([s.ids[s.doc[lead]], place | (np.bincount(rank) > 1).astype(np.int64) * _TWICE], 1)
+                # The range is the row's; the rank in it and the identifier ahead make the key.
+                key = np.stack([x & np.uint64((1 << 40) - 1), y & np.uint64(0xFFFFFFFF), y >> np.uint64(32)], 1).astype(np.uint32)
+                yield pa.record_batch(_packed(s.c, (x >> np.uint64(40)).astype(np.int64), many, key, who), ["bucket", "chunk", "a", "b"])
 
     return run
 
 
 def _refine(t: pa.Table) -> pa.Table:
-    """Sort one range on (identifier, identifier ahead); new identifiers and each bucket's first suffix."""
-    parts = [x.reshape(-1, 2) for x in blobs(t["a"], np.uint64)]
-    pair = np.concatenate(parts)
-    who = np.concatenate([x.reshape(-1, 4) for x in blobs(t["b"], np.int64)])
+    """Sort one range on (identifier, identifier ahead); new ranks and each bucket's first suffix as (chunk, place)."""
+    parts = [x.reshape(-1, 3) for x in blobs(t["a"], np.uint32)]
+    key = np.concatenate(parts).astype(np.uint64)
+    x, y = key[:, 0], key[:, 1] | key[:, 2] << np.uint64(32)
+    who = np.concatenate([x.reshape(-1, 2) for x in blobs(t["b"], np.int64)])
+    place, twice = who[:, 1] & ~_TWICE, (who[:, 1] & _TWICE) > 0
     chunk = np.repeat(t["chunk"].to_numpy(), [len(x) for x in parts])
-    order = np.lexsort((who[:, 3], who[:, 2], chunk, who[:, 1], pair[:, 1], pair[:, 0]))
+    order = np.lexsort((place, chunk, who[:, 0], y, x))
     new = np.ones(len(order), bool)
-    new[1:] = (pair[order[1:]] != pair[order[:-1]]).any(1)
-    rank = np.cumsum(new) - 1
-    many = np.bincount(rank, who[order, 0])
-    name = np.where(many > 1, (np.uint64(t["bucket"][0].as_py()) << np.uint64(40)) + np.arange(1, len(many) + 1, dtype=np.uint64), np.uint64(0))
-    lead = order[new][rank]
-    back, out = np.zeros(len(order), np.uint64), np.zeros((len(order), 4), np.int64)
-    back[order] = name[rank]
-    out[order] = np.stack([chunk[lead], who[lead, 1], who[lead, 2], who[lead, 3]], 1)
+    new[1:] = (x[order[1:]] != x[order[:-1]]) | (y[order[1:]] != y[order[:-1]])
+    group = np.cumsum(new) - 1
+    many = np.bincount(group, 1 + twice[order])
+    rank = np.where(many > 1, np.arange(1, len(many) + 1), 0).astype(np.uint32)
+    lead = order[new][group]
+    back, out = np.zeros(len(order), np.uint32), np.zeros((len(order), 2), np.int64)
+    back[order] = rank[group]
+    out[order] = np.where(rank[group, None] > 0, np.stack([chunk[lead], place[lead]], 1), 0)
     cuts = np.cumsum([len(x) for x in parts])[:-1]
     return pa.table([t["bucket"], t["chunk"], pa.array([binary(x) for x in np.split(back, cuts)], pa.binary()), pa.array([binary(x) for x in np.split(out, cuts)], pa.binary())], schema=BACK)
 
@@ -271,7 +285,7 @@ def _take_names(step: int):
             return pa.schema([("chunk", pa.int64()), *((f, pa.binary()) for f in _FIELDS)]).empty_table()
         row = state.to_pylist()[0]
         s, back = _Chunk(row), back.sort_by("bucket")
-        names = np.concatenate([np.zeros(0, np.uint64), *blobs(back["a"], np.uint64)])
+        names = _names(back)
         b = np.zeros(len(s.b), np.uint64)
         if not step:
             b = names[_unique(s.b)[1]] if len(names) else b
@@ -279,7 +293,7 @@ def _take_names(step: int):
             _, _, order, rank, _ = s.pairs(step)
             b[order] = names[rank]
         keep = b > 0
-        row |= {f: binary(np.frombuffer(row[f], k)[keep]) for f, k in (("doc", np.int32), ("pos", np.int32), ("window", np.uint8), ("from", np.int64), ("to", np.int64))} | {"b": binary(b[keep])}
+        row |= {f: binary(np.frombuffer(row[f], k)[keep]) for f, k in (("doc", np.int32), ("pos", np.int32), ("window", np.uint8), ("from", np.int32), ("to", np.int32))} | {"b": binary(b[keep])}
         return pa.table({"chunk": [row["chunk"]], **{f: pa.array([row[f]], pa.binary()) for f in _FIELDS}})
 
     return run
@@ -296,19 +310,20 @@ def _spans(step: int, length: int):
             return SPAN.empty_table()
         row, back = state.to_pylist()[0], back.sort_by("bucket")
         s = _Chunk(row)
-        names, lead = np.concatenate(blobs(back["a"], np.uint64)), np.concatenate(blobs(back["b"], np.int64)).reshape(-1, 4)
+        names, lead = _names(back), np.concatenate(blobs(back["b"], np.int64)).reshape(-1, 2)
         _, _, order, rank, _ = s.pairs(step)
         ok = (names[rank] > 0) & s.window[order]
         at, lead = order[ok], lead[rank[ok]]
         by = np.argsort(at)
         at, lead = at[by], lead[by]
         doc, pos = s.doc[at].astype(np.int64), s.pos[at].astype(np.int64)
-        begin, finish = np.frombuffer(row["from"], np.int64), np.frombuffer(row["to"], np.int64)
-        home = (lead[:, 0] == s.c) & (lead[:, 2] == doc)
-        first = home & (lead[:, 3] == pos)
+        begin, finish = np.frombuffer(row["from"], np.int32), np.frombuffer(row["to"], np.int32)
+        home = (lead[:, 0] == s.c) & (lead[:, 1] >> 32 == doc)
+        at_first = lead[:, 1] & 0xFFFFFFFF
+        first = home & (at_first == pos)
         out = []
         for kept in (True, False):
-            d, p, i, own = doc[first == kept], pos[first == kept], at[first == kept], np.where(home, lead[:, 3] + length, 0)[first == kept]
+            d, p, i, own = doc[first == kept], pos[first == kept], at[first == kept], np.where(home, at_first + length, 0)[first == kept]
             lo = p if kept else np.maximum(p, own)
             if not len(d):
                 continue
@@ -330,6 +345,12 @@ def _spans(step: int, length: int):
     return run
 
 
+def _next(state: DataFrame, back: DataFrame, step: int) -> DataFrame:
+    out = cut(state.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_take_names(step), STATE))
+    release(state)
+    return out
+
+
 def repeated_spans(df: DataFrame, length: int = LENGTH, q: int = Q, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, doc_id, start_word, end_word, start_byte, end_byte, kept) of every repeated passage.
 
@@ -344,8 +365,9 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, q: int = Q, id_col: str
     marks = cut(sent.groupBy("bucket").applyInArrow(_repeated_anchors(many), HEAD).groupBy("chunk").applyInArrow(_marks(many), "key bigint, at array<int>"))
     marked = docs.join(marks.dropDuplicates(["key"]), "key").dropDuplicates(["key"])
     state = cut(marked.mapInArrow(_state(length, q), STATE))
+    release(marks)
     back = state.mapInArrow(_send_first(many), HEAD).groupBy("bucket").applyInArrow(_name_first, HEAD)
-    state = cut(state.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_take_names(0), STATE))
+    state = _next(state, back, 0)
     depth = q
     while True:
         step = min(depth, length - depth)
@@ -353,7 +375,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, q: int = Q, id_col: str
         depth += step
         if depth == length:
             break
-        state = cut(state.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_take_names(step), STATE))
+        state = _next(state, back, step)
     return state.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
         _spans(step, length), "key bigint, doc_id bigint, start_word bigint, end_word bigint, start_byte bigint, end_byte bigint, kept boolean"
     )
@@ -368,11 +390,11 @@ def suffix_array_dedup(df: DataFrame, length: int = LENGTH, q: int = Q, id_col:
     return repeated_spans(df, length, q, id_col, text_col).select("doc_id", "start_word", "end_word", "kept")
 
 
-def _cut_out(names: list[str], text_col: str):
+def _cut_out(names: list[str], text_col: str, spans_col: str):
     def run(batches):
         for batch in batches:
             text = batch.column(text_col).to_pylist()
-            for i, spans in enumerate(batch.column("__spans").to_pylist()):
+            for i, spans in enumerate(batch.column(spans_col).to_pylist()):
                 if spans:
                     raw = text[i].encode()
                     for a, z in sorted(((x["start_byte"], x["end_byte"]) for x in spans), reverse=True):
@@ -388,7 +410,8 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame
 
     A document that is nothing but repeats stays, as a row of what is left of it.
     """
-    per = repeated_spans(docs, length, q).where("NOT kept").groupBy(F.col("key").alias("__key")).agg(F.collect_list(F.struct("start_byte", "end_byte")).alias("__spans"))
-    wide = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))).join(cut(per), "__key", "left").select(*docs.columns, "__spans")
-    out = wide.mapInArrow(_cut_out(docs.columns, "text"), docs.schema)
+    key, spans = fresh(docs, "__key"), fresh(docs, "__spans")
+    per = repeated_spans(docs, length, q).where("NOT kept").groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("start_byte", "end_byte")).alias(spans))
+    wide = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))).join(cut(per), key, "left").select(*docs.columns, spans)
+    out = wide.mapInArrow(_cut_out(docs.columns, "text", spans), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

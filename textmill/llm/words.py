@@ -110,7 +110,7 @@ def word_ngrams(h: np.ndarray, woff: np.ndarray, n: int) -> tuple[np.ndarray, np
     return out, off
 
 
-def chunks(batches, column: str = "text", most_bytes: int = 6_000_000, most_rows: int = 16_000):
+def chunks(batches, column: str = "text", most_bytes: int = 3_000_000, most_rows: int = 16_000):
     """Record batches cut or kept so that each holds at most so many text bytes.
 
     One longer document is a chunk of its own: no text is ever cut.
