@@ -12,8 +12,8 @@ up to the empty context, which all share, over a uniform base.
    restaurants of every length.  Gibbs sweeps draw the number of tables of each
    dish in each restaurant from its conditional, given the other dishes' tables
    and the parent's predictive probability (generalised Stirling numbers count
-   the seatings; beyond EXACT customers the tables are drawn by seating them one
-   table after another).  Dishes of a restaurant take turns in two halves.  Each
+   the seatings; customers beyond EXACT are seated after the others, in blocks of
+   a BLOCK-th of those who sit already).  Dishes of a restaurant take turns in two halves.  Each
    table sends one customer to the parent.  The empty context's customers are
    the shards' tables: a row per character of the alphabet.
 3. Predictive probabilities are averaged over the sweeps after burn-in.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut
 
-ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, EXACT = 5, 0.75, 1.0, 2, 4, 29, 48
+ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, EXACT, BLOCK = 5, 0.75, 1.0, 2, 4, 29, 48, 20
 _PAD, _END = 0x2, 0x3
 
 
@@ -116,30 +116,30 @@ def stirling(d: float) -> np.ndarray:
 def draw_tables(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, strength: float, rng: np.random.Generator) -> np.ndarray:
     """Tables of dishes with c customers, given the tables of the restaurant's other dishes and the parent's probability."""
     t = np.minimum(c, 1)
-    few = np.flatnonzero((c > 1) & (c <= EXACT))
-    if len(few):
-        s, k = stirling(d), np.arange(1, EXACT + 1)
-        for at in range(0, len(few), 65536):
-            i = few[at : at + 65536]
+
+    def exact(i: np.ndarray, customers: np.ndarray) -> None:
+        order = np.argsort(customers, kind="stable")
+        i, customers = i[order], customers[order]
+        for at in range(0, len(i), 65536):
+            j, n = i[at : at + 65536], customers[at : at + 65536]
+            k = np.arange(1, int(n[-1]) + 1)
             # [strength + d others] rises by d for each new table, and each new table's dish comes from the parent.
-            rise = np.cumsum(np.log(strength + d * (others[i, None] + k[None] - 1)), axis=1)
-            lw = s[c[i], 1:] + rise + k * np.log(parent[i])[:, None]
+            rise = np.cumsum(np.log(strength + d * (others[j, None] + k[None] - 1)), axis=1)
+            lw = stirling(d)[n][:, 1 : len(k) + 1] + rise + k * np.log(parent[j])[:, None]
             w = np.cumsum(np.exp(lw - lw.max(1, keepdims=True)), axis=1)
-            t[i] = 1 + (w < rng.random(len(i))[:, None] * w[:, -1:]).sum(1)
-    i = np.flatnonzero(c > EXACT)
-    if len(i):
-        seated, now = np.ones(len(i)), np.ones(len(i))
-        live = np.arange(len(i))
-        while len(live):
-            # Customers until the next new table: the chance that none of s opens one is near (x / (x + s)) ** a.
-            a = (strength + d * (others[i[live]] + now[live])) * parent[i[live]]
-            x = seated[live] - d * now[live] + np.maximum(a - 1, 0) / 2
-            wait = np.floor(x * np.expm1(np.minimum(-np.log(rng.random(len(live))) / a, 30.0)))
-            seated[live] += wait + 1
-            ok = seated[live] <= c[i[live]]
-            live = live[ok]
-            now[live] += 1
-        t[i] = now.astype(np.int64)
+            t[j] = 1 + (w < rng.random(len(j))[:, None] * w[:, -1:]).sum(1)
+
+    i = np.flatnonzero(c > 1)
+    exact(i, np.minimum(c[i], EXACT))
+    live = np.flatnonzero(c > EXACT)
+    seated = np.full(len(live), EXACT)
+    while len(live):
+        more = np.minimum(np.maximum(seated // BLOCK, 1), c[live] - seated)
+        a = (strength + d * (others[live] + t[live])) * parent[live]
+        t[live] += rng.binomial(more, a / (a + seated - d * t[live]))
+        seated = seated + more
+        ok = seated < c[live]
+        live, seated = live[ok], seated[ok]
     return t
 
 
