@@ -89,7 +89,7 @@ def _count(many: int, path: str):
             u = np.frombuffer(unit, np.uint16 if len(unit) == 2 * many_ else np.uint32)
             f = freq[:many_].astype(np.int64)
             f[f == 255] += np.frombuffer(freq[many_:].tobytes(), "<u4")
-            ends = np.concatenate([[0], np.cumsum(pieces[at + u] * f)])
+            ends = np.concatenate([[0], np.cumsum(pieces[at + u.astype(np.int64)] * f)])
             out.append(binary(np.diff(ends[np.concatenate([[0], np.cumsum(per, dtype=np.int64)])]).astype(np.uint32)))
             at += len(units)
         return pa.table({"chunk": t["chunk"], "text": pa.array([None] * len(out), pa.binary()), "size": pa.array(out, pa.binary())})
