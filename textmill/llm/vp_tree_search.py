@@ -85,7 +85,7 @@ class VPTree:
                 if not len(row):
                     continue
                 d = np.sqrt(((q[v[row]] - self.x[at[col]]) ** 2).sum(1))
-                ok = d <= tau[v[row]]
+                ok = (d <= tau[v[row]]) & (self.ids[at[col]] != own[v[row]])
                 row, d, i = row[ok], d[ok], self.ids[at[col[ok]]]
                 rows = np.unique(row)
                 u = v[rows]
@@ -223,5 +223,6 @@ def vp_tree_search(df: DataFrame, k: int = K, factor: float = FACTOR, shard_rows
     queries = routed.join(salts, ["cell", "shard"]).select("cell", "shard", F.expr("cast(pmod(xxhash64(id), salts) AS int)").alias("salt"), "id", "x", "radius")
     members = own.select("cell", "shard", "id", "x").join(salts, ["cell", "shard"]).select("cell", "shard", F.expr("explode(sequence(0, salts - 1))").alias("salt"), "id", "x")
     more = members.groupBy("cell", "shard", "salt").cogroup(queries.groupBy("cell", "shard", "salt")).applyInArrow(_other(dim, k, factor), f"id bigint, found {FOUND}")
-    both = own.select("id", "found").unionByName(more).groupBy("id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), 1, k).alias("found"))
+    both = own.select("id", "found").unionByName(more).groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
+    both = both.withColumn("found", F.expr(f"slice(filter(found, (x, i) -> array_position(found.id, x.id) = i + 1), 1, {k})"))
     return both.select(F.col("id").alias("vec_id"), F.posexplode("found").alias("rank", "n")).select("vec_id", (F.col("rank") + 1).alias("rank"), F.col("n.id").alias("neighbor_id"), F.col("n.distance").alias("distance"))
