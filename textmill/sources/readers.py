@@ -62,7 +62,7 @@ def paired_lines(spark: SparkSession, names: str, values: str, schema: str) -> D
     """(name, value, bad) of two small text files line by line; empty lines are skipped, bad JSON is marked."""
 
     def numbered(path: str, name: str) -> DataFrame:
-        lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")).alias("n", name))
+        lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")).alias("n", name))
         return lines
 
     both = numbered(names, "name").join(numbered(values, "raw"), "n")
