@@ -33,10 +33,10 @@ BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.tiktoken", "piece_bpe_32k.mode
 MIN_TOKENS = 64
 #: least and most characters per token (byte-level, piece), most byte-fallback share, least entropy in bits
 BANDS = {
-    "en": (1.9, 7.5, 1.9, 7.0, 0.05, 4.75),
-    "de": (1.6, 6.5, 1.7, 6.5, 0.05, 4.75),
-    "fr": (1.5, 6.5, 1.6, 6.5, 0.05, 4.75),
-    "es": (1.6, 6.5, 1.7, 6.5, 0.05, 4.75),
+    "en": (1.8, 7.5, 1.8, 7.0, 0.05, 4.75),
+    "de": (1.5, 6.5, 1.5, 6.5, 0.05, 4.75),
+    "fr": (1.5, 6.5, 1.5, 6.5, 0.05, 4.75),
+    "es": (1.5, 6.5, 1.5, 6.5, 0.05, 4.75),
     "script:latin": (1.5, 7.5, 1.5, 7.0, 0.10, 4.5),
     "script:cyrillic": (0.5, 4.0, 1.2, 6.0, 0.10, 4.0),
     "script:arabic": (0.4, 3.0, 0.6, 4.0, 0.30, 4.0),
