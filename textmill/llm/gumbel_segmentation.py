@@ -40,6 +40,7 @@ from . import units as U
 from . import words as W
 
 VOCABULARY, SAMPLES, ALPHA, SEED = "piece_bpe_32k.model", 2, 0.5, 17
+CHUNK = 1_000_000  # bytes of text whose lattices are held at once; a longer document is one chunk
 _STEPS = 8  # steps of a path that are sets of their own before the rest is one set
 _BYTE0, _A, _C = 3, np.uint64(6364136223846793005), np.uint64(1442695040888963407)
 
@@ -350,7 +351,7 @@ SCHEMA = "sample int, ids array<int>, log_prob double, perturbed double, log_inc
 def _run(path: str, k: int, alpha: float):
     def run(batches):
         pieces = Pieces(path)
-        for chunk in W.chunks(batches):
+        for chunk in W.chunks(batches, most_bytes=CHUNK):
             chunk = chunk.filter(pc.is_valid(chunk.column("text")))
             if chunk.num_rows:
                 key = chunk.column("key").to_numpy().view(np.uint64)
