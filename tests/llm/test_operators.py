@@ -28,7 +28,8 @@ WORD = re.compile(r"(?:[A-Za-z0-9_]|[^\x00-\x7f])+")
 def documents(seed=0):
     """Small documents with nulls, empties, copies, near copies, ties, odd spaces and one long text."""
     rng = random.Random(seed)
-    vocabulary = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6))) for _ in range(300)]
+    nouns = "time year people way day man thing woman life child world school state family student group country problem hand part place case week company system program question work number night point home water room mother area money story month study book eye job word issue side kind head house service friend father power hour game line end member law car city name team minute idea body parent face level office door health person art war history party result change morning reason girl moment air teacher force foot boy age policy music market été où".split()
+    vocabulary = nouns + [n + "s" for n in nouns]
     text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
     passage = text(60)
     base = text(120).split(" ")
