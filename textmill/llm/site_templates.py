@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .exchange import cut
 from .host_reputation import host
 
 LEAST_PAGES, LEAST_SHARE = 5, 0.05
@@ -186,8 +187,9 @@ def site_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     """
     own = pages.select(F.col(id_col).alias("page_id"), F.coalesce(host(F.col("url")), F.lit("")).alias("host"), F.col("html").cast("string").alias("html"))
     counts = own.select("host", "html").mapInArrow(_count, "host string, hash bigint, pages bigint").groupBy("host", "hash").agg(F.sum("pages").alias("pages"))
+    counts = cut(counts.where((F.col("hash") == 0) | (F.col("pages") >= least_pages)))  # read twice below; pages are parsed for it once
     totals = counts.where("hash = 0").select("host", F.col("pages").alias("total"))
-    frequent = counts.where(F.col("hash") != 0).where(F.col("pages") >= least_pages)
+    frequent = counts.where(F.col("hash") != 0)
     templates = frequent.join(totals, "host").where(F.col("pages") >= least_share * F.col("total")).groupBy("host").agg(F.collect_list("hash").alias("template"))
     kind = own.schema["page_id"].dataType.simpleString()
     return own.join(templates, "host", "left").select("page_id", "host", "html", "template").mapInArrow(_strip, f"page_id {kind}, host string, text string, removed bigint")
