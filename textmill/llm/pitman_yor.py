@@ -65,6 +65,7 @@ def _send_counts(order: int, many: int):
             cps, off = symbols(chunk.column("text"), order)
             h, start, _ = grams(cps, off, order)
             u, first, count = np.unique(h, return_index=True, return_counts=True)
+            del h
             rows = cps[start[first][:, None] + np.arange(order)].astype(np.uint32)
             to = np.searchsorted(bucket(u, many), np.arange(many + 1))
             used = [k for k in range(many) if to[k] < to[k + 1]]
@@ -251,10 +252,12 @@ def _send_documents(order: int, many: int):
             h, _, doc = grams(cps, off, order)
             u, inverse = np.unique(h, return_inverse=True)
             key = (doc << 32) | inverse
+            del h, doc, inverse, cps  # a worker holds a few arrays as long as the chunk, not ten
             key.sort()
             new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             freq, key = np.diff(np.append(new, len(key))), key[new]
             doc, gram = key >> 32, key & 0xFFFFFFFF
+            del key, new
             b = bucket(u, many)
             lead = np.searchsorted(b, np.arange(many + 1))
             of = b[gram]
@@ -262,6 +265,7 @@ def _send_documents(order: int, many: int):
             per = np.bincount(of * docs + doc, minlength=many * docs).reshape(many, docs)
             at = np.concatenate([[0], np.cumsum(per.sum(1))])
             gram, freq = (gram - lead[of])[order_], freq[order_]
+            del doc, of, order_
             small = np.uint16 if np.diff(lead).max(initial=0) < 65536 else np.uint32
             ids_, events = chunk.column("doc_id"), np.diff(off) - order + 1
             yield pa.record_batch([pa.array([many + c % many], pa.int64()), pa.array([c], pa.int64()), *(pa.array([binary(x)], pa.binary()) for x in (ids_.fill_null(0).to_numpy(), ids_.is_valid().to_numpy(zero_copy_only=False), events, np.zeros(0)))], _COLUMNS)
