@@ -40,7 +40,7 @@ from . import units as U
 from . import words as W
 
 VOCABULARY, SAMPLES, ALPHA, SEED = "piece_bpe_32k.model", 2, 0.5, 17
-CHUNK = 1_000_000  # bytes of text whose lattices are held at once; a longer document is one chunk
+CHUNK = 1_500_000  # bytes of text whose lattices are held at once; a longer document is one chunk
 _STEPS = 8  # steps of a path that are sets of their own before the rest is one set
 _BYTE0, _A, _C = 3, np.uint64(6364136223846793005), np.uint64(1442695040888963407)
 
@@ -97,17 +97,18 @@ class Lattice:
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * W._powers("r", W._R, len(raw))[: len(raw)], out=sums[1:])
         inv = W._powers("inv", W._R_INV, len(raw))
-        head, hsum = inv[lead[at]], sums[lead[at]]
+        begin, base = lead[at], self.root[unit] + char
+        head, hsum = inv[begin], sums[begin]
         src, dst, place = [], [], []
+        i = np.arange(len(left))
         for n in range(1, pieces.longest + 1):
-            i = np.flatnonzero(left >= n) if n > 1 else np.arange(len(left))
+            i = i[left[i] >= n]
             if not len(i):
                 break
             stop = lead[at[i] + n]
-            h = W.mix((sums[stop] - hsum[i]) * head[i] + (stop - lead[at[i]]).astype(np.uint64))
-            p = pieces.find(h)
-            ok = (p >= 0) if n > 1 else np.ones(len(p), bool)  # a character always has an edge
-            src.append((self.root[unit[i]] + char[i])[ok])
+            p = pieces.find(W.mix((sums[stop] - hsum[i]) * head[i] + (stop - begin[i]).astype(np.uint64)))
+            ok = np.flatnonzero(p >= 0) if n > 1 else slice(None)  # a character always has an edge
+            src.append(base[i[ok]])
             dst.append(src[-1] + n)
             place.append(p[ok])
         src, dst, place = (np.concatenate(x[::-1]) if x else np.zeros(0, np.int64) for x in (src, dst, place))
@@ -133,7 +134,7 @@ class Lattice:
                 top = np.maximum.reduceat(v, starts)
                 beta[by[new[lo:hi]]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.append(starts, len(v))))), starts))
         self.dst, self.lp = dst.astype(np.int32), lp + beta[dst] - beta[src]
-        self.first = np.searchsorted(src, np.arange(nodes + 1)).astype(np.int32)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(src, minlength=nodes))]).astype(np.int32)
         self.ids = np.where(place >= 0, pieces.ids[place], -1)
         p = np.exp(self.lp)
         c = np.cumsum(p)
