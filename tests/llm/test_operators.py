@@ -427,6 +427,14 @@ def test_template_counts_against_brute_force(spark):
         assert got[i] == "\n".join([x for _, x in sorted(kept)] + [f"own {i}"])
 
 
+def test_templates_are_decided_alike_on_every_size_of_host(spark):
+    nav = "<nav><ul><li>Home {0}<li>About {0}</ul></nav>"
+    rows = [(i, "http://big.com/", f"<body>{nav.format(i // 6)}<p>own {i}</p>{'<footer>rare</footer>' if i < 4 else ''}</body>") for i in range(600)]
+    rows += [(1000 + i, "http://small.com/", f"<body>{nav.format(0)}<p>own {i}</p></body>") for i in range(6)]
+    got = {r.page_id: (r.text, r.removed) for r in sites.site_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: (f"own {i % 1000}" + ("\nrare" if i < 4 else ""), 1) for i, *_ in rows}
+
+
 def test_reputation_shrinks_and_handles_odd_rows(spark):
     pages = [(i, f"http://good.a.com/{i}") for i in range(20)] + [(100 + i, f"http://bad.a.com/{i}") for i in range(20)]
     pages += [(200, "http://new.a.com/"), (201, "http://x.co.uk/"), (202, None), (203, "no url"), (204, "HTTP://User@Good.A.com:80/?q")]

@@ -5,10 +5,11 @@ child elements).  Spark counts on how many pages of a host each hash occurs; an
 element that recurs on many pages of its host is template, and its subtree is
 deleted before the text is taken.
 
-Counts leave a Python worker summed over a chunk of pages, so the shuffle moves
-a row per host and distinct subtree.  The templates of a host, few because each
-must be on a share of its pages, are joined back as one list; the join is left to
-the planner, which broadcasts the lists only while they are small.
+What decides is a number of pages, the same at every size of host: a block of one
+section of a large host is template as it would be on a small one.  So a host may
+have many templates, and no list of them is made: a page has a key, the buckets
+that count a host's subtrees give back the keys of the pages that have a
+template, and a page is joined to the hashes of its own templates only.
 
 Defined results: a null or empty page, and one without markup, gives its text as
 it is (null: empty); a null URL, or one without a host, counts as one host;
@@ -22,16 +23,19 @@ import re
 from collections import Counter
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .exchange import cut
+from .exchange import binary, blobs, bucket, buckets, cut
 from .host_reputation import host
 
-LEAST_PAGES, LEAST_SHARE = 5, 0.05
+LEAST_PAGES = 5
+#: Occurrences that a worker gathers before it sends them to the buckets.
+_HELD = 1 << 20
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _SPACE = re.compile(r"\s+")
@@ -155,41 +159,81 @@ def text_of(root: Element, template: frozenset = frozenset()) -> tuple[str, int]
     return "\n".join(x for x in lines if x), removed
 
 
-def signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
-
-
-def _count(batches):
-    for chunk in W.chunks(batches, "html"):
-        seen: Counter = Counter()
-        for at, html in zip(chunk.column("host").to_pylist(), chunk.column("html").to_pylist()):
-            seen[at, 0] += 1
-            for h in {e.hash for e in digest(parse(html or "")) if e.hash and e.tag not in _NEVER}:
-                seen[at, h] += 1
-        yield pa.record_batch([pa.array([k[0] for k in seen], pa.string()), pa.array([signed(k[1]) for k in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], ["host", "hash", "pages"])
+def _own(host: str) -> int:
+    """What the hashes of a host are marked with, so that one number is host and subtree."""
+    return xxhash.xxh64_intdigest(host)
+
+
+def _send(many: int):
+    """Each occurrence of a subtree on a page to the bucket of its mark, with the page's key."""
+
+    def rows(held):
+        mark, key, least = (np.concatenate(x) for x in zip(*held))
+        at = bucket(mark, many)
+        order = np.argsort(at, kind="stable")
+        ends = np.searchsorted(at[order], np.arange(many + 1))
+        used = np.flatnonzero(np.diff(ends))
+        body = [[binary(x[order[ends[k] : ends[k + 1]]]) for k in used] for x in (mark, key, least)]
+        return pa.record_batch([pa.array(used, pa.int64()), *(pa.array(x, pa.binary()) for x in body)], ["bucket", "mark", "key", "least"])
+
+    def run(batches):
+        held, n = [], 0
+        for chunk in W.chunks(batches, "html"):
+            marks, per = [], []
+            for at, html in zip(chunk.column("host").to_pylist(), chunk.column("html").to_pylist()):
+                own = _own(at)
+                found = {e.hash ^ own for e in digest(parse(html or "")) if e.hash and e.tag not in _NEVER}
+                marks += found
+                per.append(len(found))
+            if marks:
+                held.append([np.array(marks, np.uint64), *(np.repeat(chunk.column(c).to_numpy(zero_copy_only=False).astype(t), per) for c, t in (("key", np.int64), ("least", np.uint32)))])
+                n += len(marks)
+            if n >= _HELD:
+                yield rows(held)
+                held, n = [], 0
+        if n:
+            yield rows(held)
+
+    return run
+
+
+def _decide(t: pa.Table) -> pa.Table:
+    """Of one bucket: (key, mark) of every page that has a subtree which is template."""
+    mark, key, least = (np.concatenate(blobs(t[c], kind)) for c, kind in (("mark", np.uint64), ("key", np.int64), ("least", np.uint32)))
+    order = np.lexsort((key, mark))
+    mark, key, least = mark[order], key[order], least[order]
+    new = np.flatnonzero(np.append(True, mark[1:] != mark[:-1]))
+    pages = np.diff(np.append(new, len(mark)))
+    keep = np.repeat(pages >= least[new], pages)
+    keep[1:] &= (mark[1:] != mark[:-1]) | (key[1:] != key[:-1])  # pages that are equal share a key
+    return pa.table({"key": key[keep], "mark": mark[keep].view(np.int64)})
 
 
 def _strip(batches):
     for chunk in W.chunks(batches, "html"):
         out = []
-        for html, template in zip(chunk.column("html").to_pylist(), chunk.column("template").to_pylist()):
-            root = parse(html or "")
-            digest(root)
-            out.append(text_of(root, frozenset(h & W._M for h in template or ())))
+        for html, host, template in zip(*(chunk.column(c).to_pylist() for c in ("html", "host", "template"))):
+            root, own = parse(html or ""), _own(host)
+            if template:
+                digest(root)
+            out.append(text_of(root, frozenset(h & W._M ^ own for h in template or ())))
         yield pa.record_batch([chunk.column("page_id"), chunk.column("host"), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())], ["page_id", "host", "text", "removed"])
 
 
-def site_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, id_col: str = "page_id") -> DataFrame:
+def site_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = 0.0, id_col: str = "page_id") -> DataFrame:
     """(page_id, host, text, removed) of every page.
 
-    A subtree on ``least_pages`` pages of its host or more, and on ``least_share``
-    of them, is template; removed counts the deleted subtrees.
+    A subtree on ``least_pages`` pages of its host or more is template; removed
+    counts the deleted subtrees.  Callers may ask for a share of the host's pages
+    as well, which makes large hosts keep most of theirs.
     """
-    own = pages.select(F.col(id_col).alias("page_id"), F.coalesce(host(F.col("url")), F.lit("")).alias("host"), F.col("html").cast("string").alias("html"))
-    counts = own.select("host", "html").mapInArrow(_count, "host string, hash bigint, pages bigint").groupBy("host", "hash").agg(F.sum("pages").alias("pages"))
-    counts = cut(counts.where((F.col("hash") == 0) | (F.col("pages") >= least_pages)))  # read twice below; pages are parsed for it once
-    totals = counts.where("hash = 0").select("host", F.col("pages").alias("total"))
-    frequent = counts.where(F.col("hash") != 0)
-    templates = frequent.join(totals, "host").where(F.col("pages") >= least_share * F.col("total")).groupBy("host").agg(F.collect_list("hash").alias("template"))
+    own = pages.select(F.col(id_col).alias("page_id"), F.coalesce(host(F.col("url")), F.lit("")).alias("host"), F.col("html").cast("string").alias("html")).withColumn("key", F.xxhash64("host", "html"))
+    least = own.withColumn("least", F.lit(least_pages).cast("bigint"))
+    if least_share > 0:
+        totals = own.groupBy("host").agg(F.count("*").alias("total"))
+        least = own.join(totals, "host").withColumn("least", F.greatest(F.lit(least_pages), F.ceil(least_share * F.col("total"))).cast("bigint"))
+    sent = least.select("host", "html", "key", "least").mapInArrow(_send(buckets(pages.sparkSession)), "bucket bigint, mark binary, key binary, least binary")
+    found = sent.groupBy("bucket").applyInArrow(_decide, "key bigint, mark bigint")
+    templates = cut(found.groupBy("key").agg(F.collect_list("mark").alias("template")))  # the occurrences are let go before pages are joined
     kind = own.schema["page_id"].dataType.simpleString()
-    return own.join(templates, "host", "left").select("page_id", "host", "html", "template").mapInArrow(_strip, f"page_id {kind}, host string, text string, removed bigint")
+    return own.join(templates, "key", "left").select("page_id", "host", "html", "template").mapInArrow(_strip, f"page_id {kind}, host string, text string, removed bigint")
