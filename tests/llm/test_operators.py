@@ -221,6 +221,19 @@ def test_bin_completion_is_optimal_on_small_sets():
     assert len(packing.complete(sizes, 100)) <= len(packing.best_fit(sizes, 100))
 
 
+def test_bin_completion_beats_best_fit_on_groups_of_production_size():
+    rng, hard = random.Random(7), 0
+    for _ in range(12):
+        sizes = sorted((int(rng.lognormvariate(7.2, 0.9)) % packing.CAPACITY + 1 for _ in range(packing.GROUP)), reverse=True)
+        bins, least = packing.complete(sizes, packing.CAPACITY), packing.lower_bound(sizes, packing.CAPACITY)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+        assert all(sum(sizes[i] for i in b) <= packing.CAPACITY for b in bins)
+        if len(packing.best_fit(sizes, packing.CAPACITY)) > least:
+            hard += 1
+            assert len(bins) == least
+    assert hard > 1
+
+
 def test_packing_places_every_character_once(docs, clashing, none):
     for df in (docs, clashing):
         seen, used = collections.defaultdict(list), collections.Counter()

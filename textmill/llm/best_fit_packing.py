@@ -4,10 +4,12 @@ Documents are spread by hash over groups of about GROUP, and each group is
 packed on its own, so packing needs one small shuffle of (id, length).  Within a
 group the incumbent is best-fit decreasing.  Where it uses more bins than the
 lower bound, branch and bound tries to save one: the largest document left opens
-a bin, the undominated fillings of what it leaves are enumerated, fullest first,
-and a branch ends when its waste exceeds what a packing with one bin fewer may
-waste.  NODES bounds the fillings that a group looks at; when they are used up
-the best packing so far stands, which is never worse than best fit.
+a bin, the undominated fillings of what it leaves are made one at a time, fullest
+first, and each is descended into before the next is made; a branch ends when
+its waste exceeds what a packing with one bin fewer may waste.  NODES bounds the
+fillings that a group looks at (steps towards one count as a part of it); when
+they are used up the best packing so far stands, which is never worse than best
+fit.
 
 A document longer than the capacity is cut into pieces of the capacity, bins of
 their own, and a rest that is packed like any document: nothing is dropped.
@@ -18,7 +20,7 @@ repeated rows are packed each; a null id stays null.  Other columns are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY, GROUP, NODES = 8192, 512, 3000
+#: What a step towards a filling takes of NODES.
+STEP = 0.01
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -55,90 +59,96 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
     return int(best)
 
 
-def fillings(sizes: list[int], room: int, waste: int, budget: list[int]):
-    """Undominated sets of places in ``sizes`` (which falls) that leave at most ``waste`` of ``room``, fullest first."""
-    ends, total = [0] * (len(sizes) + 1), 0
-    for i in range(len(sizes) - 1, -1, -1):
+def fillings(sizes: list[int], room: int, waste: int, budget: list[float]):
+    """Undominated sets of places in ``sizes`` (which falls) that leave at most ``waste`` of ``room``.
+
+    They come as they are found: those that leave nothing, then those that leave
+    at most 1, 3, 7 and so on; larger documents first within each of these.
+    """
+    n, falling = len(sizes), [-s for s in sizes]
+    ends = [0] * (n + 1)
+    for i in range(n - 1, -1, -1):
         ends[i] = ends[i + 1] + sizes[i]
-    found: list[tuple[int, list[int]]] = []
 
     def dominated(chosen: list[int], slack: int) -> bool:
-        # Some documents of the filling could give way to one left out that is as large and still fits.
+        # One left out still fits, or some documents of the filling could give way to one left out that is as large and still fits.
+        fit = bisect_left(falling, -slack)
+        if n - fit > sum(i >= fit for i in chosen):
+            return True
         sums = {0}
         for i in chosen:
             if len(sums) > 256:
                 break
             sums |= {x + sizes[i] for x in sums}
-        inside, order = set(chosen), sorted(sums)
+        inside, order, own = set(chosen), sorted(sums), {sizes[i] for i in chosen}
         seen = 0
-        for i, y in enumerate(sizes):
-            if y == seen or i in inside or y > room:
+        for i in range(bisect_left(falling, -room), n):
+            y = sizes[i]
+            if y == seen or i in inside:
                 continue
             seen = y
             k = bisect_left(order, y - slack)
-            if k < len(order) and order[k] <= y and not (order[k] == y and y in {sizes[j] for j in chosen}):
+            if k < len(order) and order[k] <= y and not (order[k] == y and y in own):
                 return True
         return False
 
-    def go(i: int, left: int, chosen: list[int]) -> None:
-        if budget[0] <= 0:
-            return
-        if left <= waste and (i == len(sizes) or sizes[-1] > left or ends[i] == 0):
-            budget[0] -= 1
-            if not dominated(chosen, left):
-                found.append((left, chosen[:]))
-            return
-        if i == len(sizes):
-            return
-        i = max(i, next((j for j in range(i, len(sizes)) if sizes[j] <= left), len(sizes)))
-        if left - ends[i] > waste:
-            return
-        if i == len(sizes):
-            if left <= waste:
+    low, high = 0, 0
+    while low <= waste:
+        chosen: list[int] = []
+        i, left = 0, room
+        while budget[0] > 0:
+            budget[0] -= STEP
+            j = bisect_left(falling, -left, i)
+            if j < n and left >= low and left - ends[j] <= high:
+                chosen.append(j)
+                left -= sizes[j]
+                i = j + 1
+                continue
+            if j == n and low <= left <= high:
                 budget[0] -= 1
                 if not dominated(chosen, left):
-                    found.append((left, chosen[:]))
-            return
-        chosen.append(i)
-        go(i + 1, left - sizes[i], chosen)
-        chosen.pop()
-        j = i + 1
-        while j < len(sizes) and sizes[j] == sizes[i]:  # equal documents are alike
-            j += 1
-        budget[0] -= 0.05
-        go(j, left, chosen)
-
-    go(0, room, [])
-    return sorted(found, key=lambda f: (f[0], f[1]))
+                    yield left, chosen[:]
+            if not chosen:
+                break
+            j = chosen.pop()
+            left += sizes[j]
+            i = bisect_right(falling, falling[j], j)  # equal documents are alike
+        low, high = high + 1, min(2 * high + 1, waste)
 
 
 def complete(sizes: list[int], capacity: int, nodes: int = NODES) -> list[list[int]]:
     """The bins of places in ``sizes``, which falls and is at most the capacity."""
     best = best_fit(sizes, capacity)
     least = lower_bound(sizes, capacity) if sizes else 0
-    budget = [nodes]
+    budget = [float(nodes)]
 
-    def search(left: list[int], waste: int, done: list[list[int]]):
+    def search(left: list[int], waste: int):
         """left: places still to pack; waste: what the target leaves to waste."""
-        if not left:
-            return [b[:] for b in done]
-        own = [sizes[i] for i in left[1:]]
-        for free, chosen in fillings(own, capacity - sizes[left[0]], waste, budget):
-            if budget[0] <= 0:
-                return None
+
+        def ways(left: list[int], waste: int):
+            return left, waste, fillings([sizes[i] for i in left[1:]], capacity - sizes[left[0]], waste, budget)
+
+        done, path = [], [ways(left, waste)]
+        while path:
+            left, waste, found = path[-1]
+            free, chosen = next(found, (0, None))
+            del done[len(path) - 1 :]
+            if chosen is None:
+                path.pop()
+                continue
             took = {0, *(c + 1 for c in chosen)}
             done.append([left[i] for i in sorted(took)])
-            got = search([x for i, x in enumerate(left) if i not in took], waste - free, done)
-            done.pop()
-            if got is not None:
-                return got
+            rest = [x for i, x in enumerate(left) if i not in took]
+            if not rest:
+                return done
+            path.append(ways(rest, waste - free))
         return None
 
     while len(best) > least and budget[0] > 0:
         waste = (len(best) - 1) * capacity - sum(sizes)
         if waste < 0:
             break
-        got = search(list(range(len(sizes))), waste, [])
+        got = search(list(range(len(sizes))), waste)
         if got is None or len(got) >= len(best):
             break
         best = got
