@@ -190,6 +190,21 @@ def test_fertility_equals_direct_encoding(docs, clashing, none):
     assert fertility.keep_fertile(none).count() == 0
 
 
+def test_fertility_rejects_noise_and_keeps_clean_short_texts(spark):
+    parts = "the of and in to is that he ing er on an re th ha ed ou nd at st es en ti or hea nt wh sh ly ble tion ea".split()
+    rng = random.Random(4)
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    clean = [" ".join(rng.choice(words) for _ in range(n)) + "." for n in (60, 300, 1500)]
+    clean += [f'{clean[0]} token = "46d6a7e6a8a7bb8c02c2f090c991ec47d826f64"']
+    plain = [rng.choice(words) for _ in range(600)]
+    noise = [" ".join(w + rng.choice("$&#%*") * 3 for w in plain), " ".join(w.upper() + "!!" for w in plain)]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(clean + noise)], "doc_id bigint, text string, lang string")
+    reason = {r.doc_id: r.reason for r in fertility.tokenizer_fertility(df).collect()}
+    assert [reason[i] for i in range(len(clean))] == [None] * len(clean)
+    assert all("chars_per" in (reason[len(clean) + i] or "") for i in range(len(noise)))
+    assert {r.doc_id for r in fertility.keep_fertile(df).collect()} == set(range(len(clean)))
+
+
 def test_bin_completion_is_optimal_on_small_sets():
     def optimum(sizes, capacity):
         best = [len(sizes)]
