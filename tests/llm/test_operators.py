@@ -63,35 +63,62 @@ def word_sets(rows, n):
     out = []
     for r in rows:
         w = WORD.findall((r[1] or "").lower())
-        if r[0] is not None:
-            out.append((r[0], frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()))
+        out.append((r[0], frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()))
     return out
 
 
-def pairs(df):
-    out = collections.Counter()
-    for r in df.collect():
-        a, b = list(r.doc_ids_a), list(r.doc_ids_b)
-        if a == b:
-            found = [(a[i], a[j]) for i in range(len(a)) for j in range(i)]
-        else:
-            found = [(x, y) for x in a for y in b]
-        for x, y in found:
-            out[min(x, y), max(x, y), round(r.jaccard, 9)] += 1
-    return out
+def brute_classes(rows, n, threshold):
+    """(doc_id, class_id, links) of each row with a partner, from all pairs."""
+    sets = word_sets(rows, n)
+    root, links = list(range(len(sets))), [0] * len(sets)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (_, x) in enumerate(sets):
+        for j, (_, y) in enumerate(sets[:i]):
+            if x and y and len(x & y) / len(x | y) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    least = {}
+    for i, (a, _) in enumerate(sets):
+        have = least.setdefault(find(i), a)
+        least[find(i)] = a if have is None or (a is not None and a < have) else have
+    return collections.Counter((a, least[find(i)], links[i]) for i, (a, _) in enumerate(sets) if links[i])
 
 
 @pytest.mark.parametrize("threshold", [0.3, 0.55, 0.9])
 def test_jaccard_join_is_exact(docs, clashing, threshold, monkeypatch):
     monkeypatch.setattr(near, "GROUP", 2)
-    sets, want = word_sets(documents(), 3), collections.Counter()
-    for i, (a, x) in enumerate(sets):
-        for b, y in sets[:i]:
-            if x and y and len(x & y) / len(x | y) >= threshold:
-                want[min(a, b), max(a, b), round(len(x & y) / len(x | y), 9)] += 1
+    want = brute_classes(documents(), 3, threshold)
     assert want
-    assert pairs(near.ngram_jaccard_join(docs, 3, threshold)) == want
-    assert pairs(near.ngram_jaccard_join(clashing, 3, threshold)) == want
+    assert collections.Counter(map(tuple, near.ngram_jaccard_join(docs, 3, threshold).collect())) == want
+    assert collections.Counter(map(tuple, near.ngram_jaccard_join(clashing, 3, threshold).collect())) == want
+
+
+def family(copies=60, seed=11):
+    """A chain of texts that drift, so that far ones are linked through others only, with copies and bystanders."""
+    rng = random.Random(seed)
+    w, rows = [f"w{rng.randrange(500)}" for _ in range(80)], []
+    for i in range(copies):
+        w = w[:]
+        for _ in range(2):
+            w[rng.randrange(len(w))] = f"v{rng.randrange(10**6)}"
+        rows += [(i, " ".join(w)), (1000 + i, " ".join(w))][: 1 + i % 2]
+    return rows + [(5000 + i, " ".join(f"u{rng.randrange(300)}" for _ in range(80))) for i in range(40)] + [(None, rows[5][1])]
+
+
+def test_links_of_a_family_of_unequal_texts(spark, monkeypatch):
+    monkeypatch.setattr(near, "GROUP", 8)
+    monkeypatch.setattr(near, "QUERIES", 7)
+    rows = family()
+    want = brute_classes(rows, 3, 0.55)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert len({c for _, c, _ in want}) < 20 < len(want)
+    assert collections.Counter(map(tuple, near.ngram_jaccard_join(df, 3, 0.55).collect())) == want
 
 
 def test_jaccard_join_of_nothing(none):
@@ -99,13 +126,18 @@ def test_jaccard_join_of_nothing(none):
     assert near.drop_near_copies(none).count() == 0
 
 
-def test_one_document_of_each_group_stays(docs, clashing):
+def test_one_document_of_each_group_stays(spark, docs, clashing):
     kept = near.drop_near_copies(clashing)
     assert kept.columns == clashing.columns
     ids = collections.Counter(r.doc_id for r in kept.collect())
     assert 25 in ids and 26 not in ids and 27 not in ids
-    assert ids[None] == 2 and ids[3] == 2  # null ids and repeats of a kept id stay
+    assert ids[None] == 2 and ids[3] == 1  # of a repeated row one stays, and null ids without partners
     assert {r[0] for r in documents()} - set(ids) == {26, 27, 30}  # 30 is the passage that is most of 29
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, text), (7, text + " end"), (7, text), (None, text), (None, None), (8, "other"), (8, "others")]
+    left = near.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left if not (r.text or "").startswith("w0")) == [(0, ""), (8, "other"), (8, "others")]
+    assert len(left) == 4 and [r.doc_id for r in left if (r.text or "").startswith("w0")] == [7]
 
 
 def brute_spans(rows, length):

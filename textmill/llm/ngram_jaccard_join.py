@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard self-join through a token-group matrix.
 
 Documents are sets of word n-grams.  Near documents are put in one *group*, and
-the matrix keeps, for each group, the union of its members' n-grams.  A query Q
+the matrix stores, for each group, the union of its members' n-grams.  A query Q
 can only have a partner of Jaccard t or more in a group that holds at least
 ceil(t |Q|) of Q's n-grams, so the other groups are never opened.
 
@@ -10,22 +10,26 @@ The steps, none of which compares all documents with all:
 1. every n-gram hash goes once per document to its hash bucket, which returns
    the ones that more than one document has, with their counts.  A document
    whose repeated n-grams are fewer than t |Q| has no partner and is done;
-2. documents with equal sets become one class;
+2. documents with equal sets become one class: a row, however many copies it has;
 3. groups are the classes of equal minimum hash; large ones are cut in parts by
    hash, which the bound allows because any partition into groups is exact;
 4. the prefix of Q in order of rising count (|Q| - ceil(t |Q|) + 1 n-grams)
    meets the groups' prefix unions: pairs (Q, group) with nothing in common
    there can't reach t;
-5. each remaining pair is bounded by |Q n union(group)|, and the qualifying
-   groups are opened and their members counted exactly.
+5. each remaining query of another group is bounded by |Q n union(group)| with
+   the stored union alone;
+6. the members of the groups that qualify are shuffled and counted exactly.  A
+   task returns a row for each class it found a partner of - how many documents
+   it is linked to there, and one class of its component - not a row per pair;
+7. classes that are linked, directly or through others, get one class id.
 
-Every document is a query; there is no cap on partners.  A pair of classes is
-returned as two lists of ids, so copies don't multiply the rows.
+Every document is a query; there is no cap on partners, and every link between
+different texts is counted.
 
 Defined results: a null or wordless text has no n-grams and no partner; one of
-fewer than n words has one n-gram; a null id takes no part; rows that repeat an
-id count as a document each, so an id may be its own partner.  Other columns
-are ignored, whatever their names.
+fewer than n words has one n-gram; a null id is a document like any other and
+comes after all ids; rows that repeat an id are a document each.  Ids must be
+integers or castable to them.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ from . import words as W
 from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, pack6, release, unpack6
 
 N, THRESHOLD, GROUP, QUERIES = 3, 0.55, 1024, 4096
+#: Stands for a null id inside, so that it comes last.
+_LAST = np.iinfo(np.int64).max
 
 
 def least_overlap(size: np.ndarray, t: float) -> np.ndarray:
@@ -65,9 +71,6 @@ def _send(n: int, many: int):
     def run(batches):
         ids = chunk_ids()
         for chunk in W.chunks(batches):
-            chunk = chunk.filter(pc.is_valid(chunk.column("doc_id")))
-            if not chunk.num_rows:
-                continue
             c = next(ids)
             g, size = _doc_sets(chunk.column("text"), n)
             doc = np.repeat(np.arange(len(size)), size)
@@ -79,7 +82,7 @@ def _send(n: int, many: int):
             order = np.argsort(b.astype(np.uint16) if many <= 65536 else b, kind="stable")
             per = np.bincount(b * len(size) + doc, minlength=many * len(size)).reshape(many, -1)
             to, g = np.concatenate([[0], np.cumsum(per.sum(1))]), g[order]
-            head = binary(np.stack([chunk.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), size, sig]))
+            head = binary(np.stack([chunk.column("doc_id").to_numpy(), chunk.column("version").to_numpy(), size, sig]))
             used = [k for k in range(many) if to[k] < to[k + 1]]
             yield pa.record_batch(
                 [
@@ -117,7 +120,7 @@ def _repeated(many: int):
     return run
 
 
-SUSPECT = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("sig", pa.int64()), ("near", pa.int64()), ("tokens", pa.binary())])
+SUSPECT = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("size", pa.int64()), ("sig", pa.int64()), ("near", pa.int64()), ("tokens", pa.binary())])
 
 
 def _suspects(t: float):
@@ -125,11 +128,11 @@ def _suspects(t: float):
 
     def run(table: pa.Table) -> pa.Table:
         seen = table["seen"].to_pylist()
-        head = next(np.frombuffer(h, np.int64).reshape(3, -1) for h, s in zip(table["h"].to_pylist(), seen) if s is None)
+        head = next(np.frombuffer(h, np.int64).reshape(4, -1) for h, s in zip(table["h"].to_pylist(), seen) if s is None)
         body = table.filter(pc.is_valid(table["seen"]))
         if not body.num_rows:
             return SUSPECT.empty_table()
-        ids, size, sig = head
+        ids, version, size, sig = head
         # A token is named by its bucket and the low 48 bits of its hash.
         h = np.concatenate([unpack6(x) | np.uint64(b) << np.uint64(48) for b, x in zip(body["bucket"].to_pylist(), blobs(body["h"], np.uint8))])
         seen = np.concatenate(blobs(body["seen"], np.uint8))
@@ -142,7 +145,7 @@ def _suspects(t: float):
         h, many = h[order], np.where(open_, many, 0)
         at, which = np.concatenate([[0], np.cumsum(many)]), np.flatnonzero(open_)
         parts = [h[at[i] : at[i + 1]] for i in which]
-        return pa.table([ids[which], size[which], sig[which], np.array([int(p.min()) for p in parts], np.uint64).astype(np.int64), pa.array([binary(p) for p in parts], pa.binary())], schema=SUSPECT)
+        return pa.table([ids[which], version[which], size[which], sig[which], np.array([int(p.min()) for p in parts], np.uint64).astype(np.int64), pa.array([binary(p) for p in parts], pa.binary())], schema=SUSPECT)
 
     return run
 
@@ -166,23 +169,46 @@ def _prefixes(t: float):
     return run
 
 
-PAIR = pa.schema([("sig_a", pa.int64()), ("sig_b", pa.int64()), ("jaccard", pa.float64())])
+def _union(t: pa.Table) -> pa.Table:
+    """The matrix row of one group: the union of its members' n-grams."""
+    return pa.table({"grp": t["grp"].slice(0, 1), "union": pa.array([binary(np.unique(np.concatenate(blobs(t["tokens"], np.uint64))))], pa.binary())})
+
+
+def _bound(t: float):
+    """The queries of one group that its stored union doesn't rule out."""
+
+    def run(union: pa.Table, queries: pa.Table) -> pa.Table:
+        if not union.num_rows or not queries.num_rows:
+            return pa.schema([("sig", pa.int64()), ("grp", pa.int64())]).empty_table()
+        have, open_ = blobs(union["union"], np.uint64)[0], []
+        for size, q in zip(queries["size"].to_pylist(), blobs(queries["tokens"], np.uint64)):
+            at = np.minimum(np.searchsorted(have, q), len(have) - 1)
+            open_.append(int((have[at] == q).sum()) >= least_overlap(size, t))
+        return queries.select(["sig", "grp"]).filter(pa.array(open_))
+
+    return run
+
+
+LINK = pa.schema([("sig", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
 
 
 def _verify(t: float):
-    """Bound each query by the group's token union; open the group for those that qualify."""
+    """Of one opened group: (class, a class of its component, linked documents) for each class with a partner."""
 
     def run(members: pa.Table, queries: pa.Table) -> pa.Table:
         if not members.num_rows or not queries.num_rows:
-            return PAIR.empty_table()
+            return LINK.empty_table()
         tokens = blobs(members["tokens"], np.uint64)
         union, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
         owner = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
         order = np.argsort(inverse, kind="stable")
         owner, at = owner[order], np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(union)))])
-        msig, msize = members["sig"].to_numpy(), members["size"].to_numpy()
-        out = []
-        for sig, size, own, q in zip(queries["sig"].to_pylist(), queries["size"].to_pylist(), queries["own"].to_pylist(), blobs(queries["tokens"], np.uint64)):
+        msig, msize, mcopies = members["sig"].to_numpy(), members["size"].to_numpy(), members["copies"].to_numpy()
+        qsig, qcopies = queries["sig"].to_numpy(), queries["copies"].to_numpy()
+        every, place = np.unique(np.concatenate([msig, qsig]), return_inverse=True)
+        mine, theirs = place[: len(msig)], place[len(msig) :]
+        links, root = np.zeros(len(every), np.int64), np.arange(len(every))
+        for i, (size, own, q) in enumerate(zip(queries["size"].to_pylist(), queries["own"].to_pylist(), blobs(queries["tokens"], np.uint64))):
             pos = np.minimum(np.searchsorted(union, q), len(union) - 1)
             hit = pos[union[pos] == q]
             if len(hit) < least_overlap(size, t):
@@ -190,75 +216,76 @@ def _verify(t: float):
             first, many = at[hit], at[hit + 1] - at[hit]
             ends = np.cumsum(many)
             both = np.bincount(owner[np.arange(ends[-1]) - np.repeat(ends - many - first, many)], minlength=len(tokens))
-            jaccard = both / (size + msize - both)
-            good = (jaccard >= t - 1e-12) & ((msig > sig) if own else True)
-            if good.any():
-                out.append((np.full(good.sum(), sig), msig[good], jaccard[good]))
-        if not out:
-            return PAIR.empty_table()
-        a, b, j = (np.concatenate(x) for x in zip(*out))
-        return pa.table([np.minimum(a, b), np.maximum(a, b), j], schema=PAIR)
+            good = np.flatnonzero((both / (size + msize - both) >= t - 1e-12) & ((msig > qsig[i]) if own else True))
+            if not len(good):
+                continue
+            links[theirs[i]] += mcopies[good].sum()
+            links[mine[good]] += qcopies[i]
+            roots = np.unique(root[np.append(mine[good], theirs[i])])
+            if len(roots) > 1:
+                root[np.isin(root, roots)] = roots[0]
+        found = np.flatnonzero(links)
+        return pa.table([every[found], every[root[found]], links[found]], schema=LINK)
 
     return run
 
 
-def classes_and_pairs(df: DataFrame, n: int = N, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(sig, doc_ids) of the documents that may have partners, and (sig_a, sig_b, jaccard) of unequal classes."""
+def classes_and_links(df: DataFrame, n: int = N, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents that may have partners (doc_id, version, sig), their classes (sig, copies, least) and what links those (sig, other, links).
+
+    version is a hash of the text; least is the least id of a class.
+    """
     spark = df.sparkSession
     many = buckets(spark)
-    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    docs = df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(_LAST))).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("version"))
     sent = docs.mapInArrow(_send(n, many), "bucket bigint, chunk bigint, h binary, per binary")
     back = sent.groupBy("bucket").applyInArrow(_repeated(many), "bucket bigint, chunk bigint, h binary, per binary, seen binary")
-    suspects = back.groupBy("chunk").applyInArrow(_suspects(threshold), "doc_id bigint, size bigint, sig bigint, near bigint, tokens binary")
+    suspects = cut(back.groupBy("chunk").applyInArrow(_suspects(threshold), "doc_id bigint, version bigint, size bigint, sig bigint, near bigint, tokens binary"))
     classes = cut(
-        suspects.groupBy("sig").agg(
-            F.first("size").alias("size"), F.first("near").alias("near"), F.first("tokens").alias("tokens"), F.sort_array(F.collect_list("doc_id")).alias("doc_ids")
-        )
+        suspects.groupBy("sig").agg(F.first("size").alias("size"), F.first("near").alias("near"), F.first("tokens").alias("tokens"), F.count("*").alias("copies"), F.min("doc_id").alias("least"))
     )
     parts = classes.groupBy("near").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    reps = classes.join(parts, "near").select("sig", "size", "tokens", F.xxhash64("near", F.pmod("sig", "parts")).alias("grp"))
+    reps = classes.join(parts, "near").select("sig", "size", "copies", "tokens", F.xxhash64("near", F.pmod("sig", "parts")).alias("grp"))
     probes = reps.mapInArrow(_prefixes(threshold), "token bigint, sig bigint, grp bigint, size bigint")
     index = probes.groupBy("token", "grp").agg(F.min("size").alias("least"), F.max("size").alias("most")).withColumnRenamed("grp", "to")
-    open_ = (
+    probed = cut(
         probes.join(index, "token")
         .where((F.col("grp") <= F.col("to")) & (F.col("least") * threshold <= F.col("size") + 1e-9) & (F.col("size") * threshold <= F.col("most") + 1e-9))
         .select("sig", F.col("to").alias("grp"), (F.col("grp") == F.col("to")).alias("own"))
         .distinct()
     )
-    open_ = cut(open_)
-    # A group that draws many queries is opened in several tasks, with its members in each.
-    salts = open_.groupBy("grp").agg(F.count("*").alias("queries"), F.bool_and("own").alias("alone")).join(reps.groupBy("grp").agg(F.count("*").alias("members")), "grp")
-    salts = salts.where("NOT alone OR members > 1").select("grp", F.ceil(F.col("queries") / QUERIES).cast("int").alias("salts"))
-    routed = open_.join(salts, "grp").select("sig", "grp", "own", F.pmod(F.xxhash64("sig"), F.col("salts")).cast("int").alias("salt"))
-    queries = routed.join(reps.select("sig", "size", "tokens"), "sig").select("grp", "salt", "sig", "size", "own", "tokens")
-    members = reps.join(salts, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "sig", "size", "tokens")
-    pairs = members.groupBy("grp", "salt").cogroup(queries.groupBy("grp", "salt")).applyInArrow(_verify(threshold), "sig_a bigint, sig_b bigint, jaccard double")
-    return classes.select("sig", "doc_ids"), cut(pairs)
 
+    def salted(queries: DataFrame) -> DataFrame:
+        """(grp, salts): a group that draws many queries is opened in several tasks, with what they need in each."""
+        return queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
 
-def ngram_jaccard_join(df: DataFrame, n: int = N, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All pairs of documents whose word n-gram sets have Jaccard ``threshold`` or more.
+    def routed(queries: DataFrame, salts: DataFrame) -> DataFrame:
+        at = queries.join(salts, "grp").select("sig", "grp", "own", F.pmod(F.xxhash64("sig"), F.col("salts")).cast("int").alias("salt"))
+        return at.join(reps.select("sig", "size", "copies", "tokens"), "sig").groupBy("grp", "salt")
 
-    A row (doc_ids_a, doc_ids_b, jaccard) stands for every pair of an id of the
-    one list with an id of the other; documents of equal sets are one row whose
-    two lists are the same and whose Jaccard is 1: any two entries of the list
-    are a pair.
-    """
-    classes, pairs = classes_and_pairs(df, n, threshold, id_col, text_col)
-    a, b = (classes.select(F.col("sig").alias(f"sig_{x}"), F.col("doc_ids").alias(x)) for x in "ab")
-    first = F.col("a")[0] <= F.col("b")[0]
-    unequal = pairs.join(a, "sig_a").join(b, "sig_b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("doc_ids_a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("doc_ids_b"), "jaccard")
-    equal = classes.where(F.size("doc_ids") > 1).select(F.col("doc_ids").alias("doc_ids_a"), F.col("doc_ids").alias("doc_ids_b"), F.lit(1.0).alias("jaccard"))
-    return unequal.unionByName(equal)
+    every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    foreign = probed.where("NOT own")
+    salts = salted(foreign)
+    unions = reps.join(salts, "grp", "left_semi").groupBy("grp").applyInArrow(_union, "grp bigint, union binary").join(salts, "grp").select("grp", every, "union")
+    qualify = unions.groupBy("grp", "salt").cogroup(routed(foreign, salts)).applyInArrow(_bound(threshold), "sig bigint, grp bigint")
+    open_ = cut(probed.where("own").select("sig", "grp", "own").unionByName(qualify.select("sig", "grp", F.lit(False).alias("own"))))
+    release(probed)
+    alone = open_.groupBy("grp").agg(F.bool_and("own").alias("alone")).join(reps.groupBy("grp").agg(F.count("*").alias("members")), "grp").where("NOT alone OR members > 1").select("grp")
+    salts = salted(open_.join(alone, "grp", "left_semi"))
+    members = reps.join(salts, "grp").select("grp", every, "sig", "size", "copies", "tokens")
+    links = cut(members.groupBy("grp", "salt").cogroup(routed(open_, salts)).applyInArrow(_verify(threshold), "sig bigint, other bigint, links bigint"))
+    release(open_)
+    return suspects.select("doc_id", "version", "sig"), classes.select("sig", "copies", "least"), links
 
 
-def groups(classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, keep) of every document that has a partner: groups are the connected components, of which the least id stays.
+def labels(links: DataFrame) -> DataFrame:
+    """(sig, root) of every class that is linked to another: root is the least class of its connected component.
 
     Labels spread by large-star and small-star steps, whose number grows with
     the logarithm of a component's width; each step's edges are a written table.
     """
-    edges = cut(pairs.select(F.col("sig_a").alias("u"), F.col("sig_b").alias("v")), free=False)
+    edges = cut(links.where("sig <> other").select(F.col("sig").alias("u"), F.col("other").alias("v")), free=False)
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -271,20 +298,49 @@ def groups(classes: DataFrame, pairs: DataFrame) -> DataFrame:
         release(last)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
-            break
+            return edges.groupBy(F.col("u").alias("sig")).agg(F.min("v").alias("root"))
         before = now
-    label = classes.join(edges.groupBy(F.col("u").alias("sig")).agg(F.min("v").alias("root")), "sig", "left").select(F.coalesce("root", "sig").alias("root"), "doc_ids")
-    of = label.select("root", F.explode("doc_ids").alias("doc_id"))
-    kept = label.groupBy("root").agg(F.min(F.col("doc_ids")[0]).alias("kept"), F.sum(F.size("doc_ids")).alias("many")).where("many > 1")
-    return of.join(kept, "root").select("doc_id", "kept", (F.col("doc_id") == F.col("kept")).alias("keep"))
+
+
+def near_classes(df: DataFrame, n: int = N, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, version, class_id, links) of every document that is linked to another; null ids are still the last number."""
+    docs, classes, found = classes_and_links(df, n, threshold, id_col, text_col)
+    rooted = classes.join(labels(found), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
+    per = rooted.join(least, "root").join(found.groupBy("sig").agg(F.sum("links").alias("links")), "sig", "left").select("sig", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    return docs.join(per.where("links > 0"), "sig").select("doc_id", "version", "class_id", "links")
+
+
+def ngram_jaccard_join(df: DataFrame, n: int = N, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, class_id, links) of every document that has a partner: another one whose word n-gram set has Jaccard ``threshold`` or more with its own.
+
+    links counts the partners, copies too; class_id is the least id among the
+    documents that links join, directly or through others.
+    """
+    def null(c):
+        return F.nullif(F.col(c), F.lit(int(_LAST))).alias(c)
+
+    return near_classes(df, n, threshold, id_col, text_col).select(null("doc_id"), null("class_id"), "links")
 
 
 def drop_near_copies(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the near copies: one document of each group stays, with its columns as they were.
+    """docs without the near copies: of each class the document of the least id stays, with its columns as they were.
 
-    Rows that repeat an id share its fate; rows of null id stay.
+    Of rows that share that id the one whose text has the least hash stays, and
+    of wholly equal texts of that id any one.
     """
-    classes, pairs = classes_and_pairs(docs, n, threshold)
-    name = fresh(docs, "__gone")
-    gone = groups(classes, pairs).where("NOT keep").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    found = cut(near_classes(docs, n, threshold))
+    kept = found.groupBy("class_id").agg(F.min(F.struct("doc_id", "version")).alias("kept"))
+    marked = found.groupBy("doc_id", "version", "class_id").agg(F.count("*").alias("many")).join(kept, "class_id")
+    marked = marked.select("doc_id", "version", "many", (F.struct("doc_id", "version") == F.col("kept")).alias("keep"))
+    key, version = fresh(docs, "__key"), fresh(docs, "__version")
+    on = (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(_LAST))) == F.col(key)) & (F.xxhash64(F.col("text").cast("string")) == F.col(version))
+
+    def keys(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("doc_id").alias(key), F.col("version").alias(version))
+
+    repeated = marked.where("keep AND many > 1")
+    if repeated.isEmpty():
+        return docs.join(keys(marked.where("NOT keep")), on, "left_anti")
+    once = docs.join(keys(repeated), on, "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(keys(marked.where("NOT keep OR many > 1")), on, "left_anti").unionByName(once)
