@@ -13,6 +13,7 @@ from textmill.llm import fertility
 from textmill.llm import gumbel_segmentation as gumbel
 from textmill.llm import ngram_jaccard_join as near
 from textmill.llm import pitman_yor as hpy
+from textmill.llm import queries as llm_queries
 from textmill.llm import site_templates as sites
 from textmill.llm import suffix_array_dedup as suffixes
 from textmill.llm import token_counts as counts
@@ -386,6 +387,27 @@ def test_vp_trees_are_exact_at_factor_one_and_near_beyond(spark, monkeypatch):
     assert np.mean([len(set(want[i]) & set(near_.get(i, []))) / 5 for i in want]) >= 0.9
 
 
+def test_vp_search_of_the_stated_queries(spark, monkeypatch):
+    monkeypatch.setattr(vp, "ROUTE", 20)
+    rows = vectors()
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = {i: n for i, n in true_neighbours(rows, 5).items() if i % 7 == 0}
+    assert neighbours(vp.vp_tree_search(df, 5, 1.0, shard_rows=40, every=7)) == want
+
+
+def test_recall_of_the_registered_search(spark):
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    x, ids = np.array(table["embedding"].to_pylist(), float), table["vec_id"].to_numpy()
+    got = neighbours(llm_queries.op1_vp_tree_search(spark, "/root/testdata/sf0.1"))
+    asked, hits = np.flatnonzero(ids % 100 == 0), []
+    for q in asked:
+        d = np.where(np.arange(len(x)) == q, np.inf, ((x - x[q]) ** 2).sum(1))
+        hits.append(len(set(ids[np.argsort(d)[:10]]) & set(got[ids[q]])) / 10)
+    assert set(got) == set(ids[asked]) and np.mean(hits) >= 0.9
+
+
 def test_vp_trees_of_few_or_no_vectors(spark):
     kind = "vec_id bigint, embedding array<float>"
     assert vp.vp_tree_search(spark.createDataFrame([], kind)).count() == 0

@@ -14,7 +14,7 @@ from .pitman_yor import pitman_yor_perplexity
 from .site_templates import site_text
 from .suffix_array_dedup import suffix_array_dedup
 from .token_counts import token_counts
-from .vp_tree_search import vp_tree_search
+from .vp_tree_search import EVERY, vp_tree_search
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,7 +22,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_vp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vp_tree_search(_read(spark, sf_dir, "embeddings"))
+    return vp_tree_search(_read(spark, sf_dir, "embeddings"), every=EVERY)
 
 
 def op2_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:

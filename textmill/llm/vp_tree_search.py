@@ -1,22 +1,25 @@
-"""Nearest neighbours of every vector by vantage-point trees in shards.
+"""Nearest neighbours of a stated set of queries among all vectors, by vantage-point trees in shards.
 
 Vectors go to the cell of their nearest pivot, and a cell that holds too many
-is cut in shards by hash.  Each shard builds a vantage-point tree.  A vector
-searches its own shard first, which gives it a radius; then only the shards that
-the triangle inequality can't rule out for that radius are sent the vector, and
-it goes down their trees with the radius it has.
+is cut in shards by hash.  Each shard builds a vantage-point tree of all its
+vectors.  A query searches its own shard first, which gives it a radius; then
+only the shards that the triangle inequality can't rule out for that radius are
+sent the query, and it goes down their trees with the radius it has.
 
 A subtree is left out when ``factor`` times its lower bound exceeds the radius.
 Factor 1 is exact search; larger factors visit less and may miss neighbours.
 
-Every vector is a query.  Pivots are the only thing that all tasks hold: at most
-PIVOTS of them, whatever the input, and larger cells are cut further instead.
+Queries are the vectors whose id is divisible by ``every``; 1 makes every vector
+a query.  Every vector is indexed.  Pivots are a sample of at most PIVOTS
+vectors, the only thing that all tasks hold; beyond that cells are cut further
+instead.  A batch is compared with the pivots in slices of ROUTE distances.
 
 Defined results: rows of null id or null vector, of a length other than the
 commonest (the least of equals) or with a value that is null, NaN or infinite
 take no part; equal distances go by id; rows that repeat an id are one vector's
 worth of result, made from all of them, and are not neighbours of each other; fewer
-than k others give fewer neighbours.  Other columns are ignored.
+than k others give fewer neighbours.  Ids must be integers or castable to them.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .exchange import cut
 
-K, FACTOR, SHARD, PIVOTS, LEAF, QUERIES = 10, 4.0, 8192, 4096, 256, 16384
+K, FACTOR, SHARD, PIVOTS, LEAF, QUERIES, EVERY, ROUTE = 10, 4.0, 8192, 4096, 256, 16384, 100, 2_000_000
 
 
 def _vectors(col, dim: int) -> np.ndarray:
@@ -131,41 +134,54 @@ def _found(best: np.ndarray, who: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(best[many]), pa.array(who[many])], ["distance", "id"]))
 
 
+def _slices(batches, pivots: int):
+    """Batches of so few rows that their distances to all pivots fit a slice."""
+    rows = max(1, ROUTE // max(pivots, 1))
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _assign(pivots: np.ndarray):
     def run(batches):
-        for b in batches:
-            if b.num_rows:
-                d = distances(_vectors(b.column("x"), pivots.shape[1]), pivots)
-                cell = d.argmin(1)
-                yield pa.record_batch([b.column("id"), b.column("x"), pa.array(cell.astype(np.int64)), pa.array(d[np.arange(len(d)), cell])], ["id", "x", "cell", "d"])
+        for b in _slices(batches, len(pivots)):
+            d = distances(_vectors(b.column("x"), pivots.shape[1]), pivots)
+            cell = d.argmin(1)
+            yield pa.record_batch([b.column("id"), b.column("x"), pa.array(cell.astype(np.int64)), pa.array(d[np.arange(len(d)), cell])], ["id", "x", "cell", "d"])
 
     return run
 
 
-def _own(dim: int, k: int, factor: float):
+def _own(dim: int, k: int, factor: float, every: int):
+    """The queries of one shard with what they find in it."""
+
     def run(t: pa.Table) -> pa.Table:
         x, ids = _vectors(t["x"], dim), t["id"].to_numpy()
-        best, who = VPTree(x, ids).search(x, ids, np.full(len(ids), np.inf), k, factor)
-        return t.select(["id", "x", "cell", "shard"]).append_column("radius", pa.array(best[:, -1])).append_column("found", _found(best, who))
+        ask = np.flatnonzero(ids % every == 0)
+        q = t.select(["id", "x", "cell", "shard"]).take(pa.array(ask))
+        best, who = VPTree(x, ids).search(x[ask], ids[ask], np.full(len(ask), np.inf), k, factor) if len(ask) else (np.zeros((0, k)), np.zeros((0, k), np.int64))
+        return q.append_column("radius", pa.array(best[:, -1])).append_column("found", _found(best, who))
 
     return run
 
 
 def _route(pivots: np.ndarray, low: np.ndarray, high: np.ndarray, shards: np.ndarray, factor: float):
-    """(cell, shard, id, x, radius) for each other shard that a vector's radius may reach."""
+    """(cell, shard, id, x, radius) for each other shard that a query's radius may reach."""
 
     def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        between = None
+        for b in _slices(batches, len(pivots)):
+            if between is None:
+                between = distances(pivots, pivots)
             x, cell, shard, radius = _vectors(b.column("x"), pivots.shape[1]), b.column("cell").to_numpy(), b.column("shard").to_numpy(), b.column("radius").to_numpy()
             d = distances(x, pivots)
             home = d[np.arange(len(d)), cell][:, None]
             # A cell is a ring around its pivot, and lies on its side of the plane between the pivots.
-            apart = distances(pivots, pivots)[cell]
-            plane = np.where(apart > 0, (d * d - home * home) / np.maximum(2 * apart, 1e-30), 0)
-            bound = np.maximum(np.maximum(d - high, low - d), np.maximum(plane, 0))
+            bound = np.maximum(np.maximum(d - high, low - d), 0)
+            apart = between[cell]
+            np.maximum(bound, np.where(apart > 0, (d * d - home * home) / np.maximum(2 * apart, 1e-30), 0), out=bound)
             row, to = np.nonzero(bound * factor - 1e-6 <= radius[:, None])
+            del bound, apart, d
             many = shards[to]
             row, to = np.repeat(row, many), np.repeat(to, many)
             part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
@@ -192,10 +208,10 @@ def _other(dim: int, k: int, factor: float):
     return run
 
 
-def vp_tree_search(df: DataFrame, k: int = K, factor: float = FACTOR, shard_rows: int = SHARD, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, rank, neighbor_id, distance): the k nearest others of every vector by Euclidean distance."""
-    if factor < 1:
-        raise ValueError("factor must be 1 or more")
+def vp_tree_search(df: DataFrame, k: int = K, factor: float = FACTOR, shard_rows: int = SHARD, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 1) -> DataFrame:
+    """(vec_id, rank, neighbor_id, distance): the k nearest others, among all vectors, of each whose id ``every`` divides."""
+    if factor < 1 or every < 1:
+        raise ValueError("factor and every must be 1 or more")
     spark = df.sparkSession
     x = F.col(vector_col).cast("array<double>")
     all_ = df.select(F.col(id_col).cast("bigint").alias("id"), x.alias("x")).where("id IS NOT NULL AND x IS NOT NULL AND size(x) > 0 AND NOT exists(x, v -> v IS NULL OR isnan(v) OR abs(v) = double('inf'))")
@@ -217,11 +233,11 @@ def vp_tree_search(df: DataFrame, k: int = K, factor: float = FACTOR, shard_rows
         sharded = placed.join(F.broadcast(table), "cell").withColumn("shard", F.pmod(F.xxhash64("id", "cell"), F.col("many")).cast("bigint")).drop("many")
     else:
         sharded = placed.withColumn("shard", F.pmod(F.xxhash64("id", "cell"), F.element_at(many, (F.col("cell") + 1).cast("int"))).cast("bigint"))
-    own = cut(sharded.groupBy("cell", "shard").applyInArrow(_own(dim, k, factor), f"id bigint, x array<double>, cell bigint, shard bigint, radius double, found {FOUND}"))
-    routed = own.mapInArrow(_route(pivots, low, high, shards, factor), "cell bigint, shard bigint, id bigint, x array<double>, radius double")
+    own = cut(sharded.groupBy("cell", "shard").applyInArrow(_own(dim, k, factor, every), f"id bigint, x array<double>, cell bigint, shard bigint, radius double, found {FOUND}"))
+    routed = cut(own.mapInArrow(_route(pivots, low, high, shards, factor), "cell bigint, shard bigint, id bigint, x array<double>, radius double"))
     salts = routed.groupBy("cell", "shard").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
     queries = routed.join(salts, ["cell", "shard"]).select("cell", "shard", F.expr("cast(pmod(xxhash64(id), salts) AS int)").alias("salt"), "id", "x", "radius")
-    members = own.select("cell", "shard", "id", "x").join(salts, ["cell", "shard"]).select("cell", "shard", F.expr("explode(sequence(0, salts - 1))").alias("salt"), "id", "x")
+    members = sharded.select("cell", "shard", "id", "x").join(salts, ["cell", "shard"]).select("cell", "shard", F.expr("explode(sequence(0, salts - 1))").alias("salt"), "id", "x")
     more = members.groupBy("cell", "shard", "salt").cogroup(queries.groupBy("cell", "shard", "salt")).applyInArrow(_other(dim, k, factor), f"id bigint, found {FOUND}")
     both = own.select("id", "found").unionByName(more).groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
     both = both.withColumn("found", F.expr(f"slice(filter(found, (x, i) -> array_position(found.id, x.id) = i + 1), 1, {k})"))
