@@ -282,6 +282,16 @@ def test_bin_completion_beats_best_fit_on_groups_of_production_size():
     assert hard > 1
 
 
+def test_packing_of_thousands_of_equal_rows(spark):
+    df = spark.range(5000).selectExpr("7L AS doc_id", "repeat('x', 2800) AS text").unionByName(spark.range(9000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "repeat('y', 100) AS text"))
+    out = packing.best_fit_packing(df).groupBy("doc_id").agg({"n_chars": "sum", "bin_id": "count"}).collect()
+    assert {(r[0], r[1], r[2]) for r in out} == {(7, 14_000_000, 5000), (None, 900_000, 9000)} or {(r[0], r[2], r[1]) for r in out} == {(7, 14_000_000, 5000), (None, 900_000, 9000)}
+    bins = packing.best_fit_packing(df).groupBy("bin_id").sum("n_chars").collect()
+    assert max(r[1] for r in bins) <= packing.CAPACITY and len(bins) <= 1.05 * 5000 / 2 + 30
+    one = spark.createDataFrame([(1, "z" * 100_000), (2, "z" * 8192)], "doc_id bigint, text string")
+    assert packing.best_fit_packing(one).count() == 14
+
+
 def test_packing_places_every_character_once(docs, clashing, none):
     for df in (docs, clashing):
         seen, used = collections.defaultdict(list), collections.Counter()

@@ -1,7 +1,8 @@
 """Documents packed into sequences of fixed capacity by bin completion.
 
 Documents are spread by hash over groups of about GROUP, and each group is
-packed on its own, so packing needs one small shuffle of (id, length).  Within a
+packed on its own, so packing needs small shuffles of (id, length) only; equal
+rows are counted first and then numbered, so that copies spread like others.  Within a
 group the incumbent is best-fit decreasing.  Where it uses more bins than the
 lower bound, branch and bound tries to save one: the largest document left opens
 a bin, the undominated fillings of what it leaves are made one at a time, fullest
@@ -15,7 +16,9 @@ A document longer than the capacity is cut into pieces of the capacity, bins of
 their own, and a rest that is packed like any document: nothing is dropped.
 
 Defined results: null and empty texts have nothing to pack and are in no bin;
-repeated rows are packed each; a null id stays null.  Other columns are ignored.
+repeated rows are packed each, however many; a null id stays null; of equal
+sizes the lower id is placed first, null last.  Sizes are characters.  Ids must
+be integers or castable to them.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .exchange import cut
+
 CAPACITY, GROUP, NODES = 8192, 512, 3000
 #: What a step towards a filling takes of NODES.
 STEP = 0.01
@@ -75,20 +80,21 @@ def fillings(sizes: list[int], room: int, waste: int, budget: list[float]):
         fit = bisect_left(falling, -slack)
         if n - fit > sum(i >= fit for i in chosen):
             return True
-        sums = {0}
+        sums = 1  # bit x: some of the filling add up to x
         for i in chosen:
-            if len(sums) > 256:
-                break
-            sums |= {x + sizes[i] for x in sums}
-        inside, order, own = set(chosen), sorted(sums), {sizes[i] for i in chosen}
+            sums |= sums << sizes[i]
+        inside, own = set(chosen), {sizes[i] for i in chosen}
         seen = 0
         for i in range(bisect_left(falling, -room), n):
             y = sizes[i]
             if y == seen or i in inside:
                 continue
             seen = y
-            k = bisect_left(order, y - slack)
-            if k < len(order) and order[k] <= y and not (order[k] == y and y in own):
+            least = max(y - slack, 1)
+            give = sums >> least & (1 << (y - least + 1)) - 1
+            if y in own:
+                give &= ~(1 << y - least)  # an equal document is no gain
+            if give:
                 return True
         return False
 
@@ -159,22 +165,19 @@ SCHEMA = pa.schema([(n, pa.int64()) for n in ("bin_id", "place", "doc_id", "piec
 DDL = ", ".join(f"{n} bigint" for n in SCHEMA.names)
 
 
-def _pack(capacity: int, group: int, nodes: int):
+def _pack(capacity: int, nodes: int):
     def run(table: pa.Table) -> pa.Table:
-        g, rows, bin_ = table["grp"][0].as_py(), [], 0
-        docs = sorted(zip(table["doc_id"].to_pylist(), table["n"].to_pylist()), key=lambda d: (-(d[1] % capacity), d[0] is None, d[0]))
-        for at in range(0, len(docs), 4 * group):
-            part, rest = docs[at : at + 4 * group], []
-            for doc_id, n in part:
-                for k in range(n // capacity):
-                    rows.append((g << 24 | bin_, 0, doc_id, k, k * capacity, capacity, capacity))
-                    bin_ += 1
-                if n % capacity:
-                    rest.append((doc_id, n // capacity, n - n % capacity, n % capacity))
-            for b in complete([r[3] for r in rest], capacity, nodes):
-                used = sum(rest[i][3] for i in b)
-                rows += [(g << 24 | bin_, p, *rest[i], used) for p, i in enumerate(b)]
+        g, rows, bin_, rest = table["grp"][0].as_py(), [], 0, []
+        for doc_id, n in sorted(zip(table["doc_id"].to_pylist(), table["n"].to_pylist()), key=lambda d: (-(d[1] % capacity), d[0] is None, d[0])):
+            for k in range(n // capacity):
+                rows.append((g << 24 | bin_, 0, doc_id, k, k * capacity, capacity, capacity))
                 bin_ += 1
+            if n % capacity:
+                rest.append((doc_id, n // capacity, n - n % capacity, n % capacity))
+        for b in complete([r[3] for r in rest], capacity, nodes):
+            used = sum(rest[i][3] for i in b)
+            rows += [(g << 24 | bin_, p, *rest[i], used) for p, i in enumerate(b)]
+            bin_ += 1
         return pa.table([pa.array(x, pa.int64()) for x in zip(*rows)], schema=SCHEMA) if rows else SCHEMA.empty_table()
 
     return run
@@ -183,6 +186,12 @@ def _pack(capacity: int, group: int, nodes: int):
 def best_fit_packing(df: DataFrame, capacity: int = CAPACITY, group: int = GROUP, nodes: int = NODES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(bin_id, place, doc_id, piece, start_char, n_chars, bin_chars) of every piece of every document."""
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.length(F.col(text_col).cast("string")).cast("bigint").alias("n")).where("n > 0")
-    groups = max(1, -(-docs.count() // group))
-    grouped = docs.withColumn("grp", F.pmod(F.xxhash64("doc_id", "n"), F.lit(groups)))
-    return grouped.groupBy("grp").applyInArrow(_pack(capacity, group, nodes), DDL)
+    alike = cut(docs.groupBy("doc_id", "n").agg(F.count("*").alias("copies")))
+    groups = alike.agg(F.greatest(F.lit(1), F.ceil(F.sum("copies") / group)).alias("groups"))
+    many = groups.first()[0] or 1
+    # Two steps, so that no row holds a list as long as the copies are many.
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / 4096))).alias("block")
+    one = F.explode(F.sequence(F.lit(0), F.least(F.col("copies") - 4096 * F.col("block"), F.lit(4096)) - 1)).alias("copy")
+    each = alike.select("doc_id", "n", "copies", block).select("doc_id", "n", "block", one)
+    grouped = each.select("doc_id", "n", F.pmod(F.xxhash64("doc_id", "n", "block", "copy"), F.lit(many)).alias("grp"))
+    return grouped.groupBy("grp").applyInArrow(_pack(capacity, nodes), DDL)
