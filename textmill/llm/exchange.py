@@ -8,43 +8,14 @@ and numpy does the work on both sides of the shuffle.
 
 from __future__ import annotations
 
-import gc
 import os
-import tempfile
-import time
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    have = spark.conf.get("spark.checkpoint.dir", None)
-    if not have:
-        have = "file://" + tempfile.mkdtemp(prefix="textmill-")
-        spark.conf.set("spark.checkpoint.dir", have)
-    return have.rstrip("/")
-
-
-def cut(df: DataFrame, free: bool = True) -> DataFrame:
-    """Write df as a table in the shared folder and read it again: lineage ends there.
-
-    A lost executor then costs a reread instead of the stages before.  With
-    ``free`` the shuffle files that only those stages needed are let go.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._cut_path = path
-    for _ in range(2 if free else 0):  # the first pass finds what nothing refers to, the second lets Spark's cleaner act on it
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-    return out
+from ..functions.lineage import release, written as cut  # noqa: F401 - the operators take them from here
 
 
 def pack6(h: np.ndarray) -> bytes:
@@ -58,12 +29,6 @@ def unpack6(x: np.ndarray) -> np.ndarray:
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
-def release(df: DataFrame) -> None:
-    """Delete the table of a cut that nothing reads any more, since a later cut has what came of it."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_path)
-    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """The name, or one like it that df has no column of."""
     have = {c.lower() for c in df.columns}

@@ -285,7 +285,7 @@ def labels(links: DataFrame) -> DataFrame:
     Labels spread by large-star and small-star steps, whose number grows with
     the logarithm of a component's width; each step's edges are a written table.
     """
-    edges = cut(links.where("sig <> other").select(F.col("sig").alias("u"), F.col("other").alias("v")), free=False)
+    edges = cut(links.where("sig <> other").select(F.col("sig").alias("u"), F.col("other").alias("v")))
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -294,7 +294,7 @@ def labels(links: DataFrame) -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u")
-        last, edges = edges, cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), free=False)
+        last, edges = edges, cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         release(last)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
