@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.functions import lineage, urls
 from textmill.functions import text as T
-from textmill.operators import cleaning, dedup, html, mixing, neardup, pii, quality
+from textmill.operators import cleaning, crawl, dedup, html, mixing, neardup, pii, quality
 from textmill.sources import readers, writers
 from textmill.streaming import stream
 
@@ -149,3 +150,107 @@ def test_model_scores_are_per_worker(spark):
     score = quality.model_score(lambda: lambda texts: [float(len(t)) for t in texts], F.col("text"))
     rows = spark.createDataFrame([("abc",), (None,), ("",)], "text string").select(score.alias("s")).collect()
     assert [r.s for r in rows][0] == 3.0 and rows[1].s is None or rows[1].s != rows[1].s
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_dense_ids_of_a_wide_table(spark, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        n = 2_000_000
+        df = spark.range(n).selectExpr("(id * 7919) % 1000003 AS k", "repeat(cast(id AS string), 3) AS a", "id AS b", "md5(cast(id AS string)) AS c").repartition(6)
+        out = crawl.dense_ids(df, "k")
+        got = out.agg(F.count("*").alias("n"), F.count_distinct("id").alias("d"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_distinct("b").alias("b")).first()
+        assert (got.n, got.d, got.lo, got.hi, got.b) == (n, n, 0, n - 1, n)
+        wrong = out.selectExpr("k", "lead(k) OVER (PARTITION BY id DIV 1000 ORDER BY id) AS next").where("next < k").count()
+        assert wrong == 0 and out.columns == ["k", "a", "b", "c", "id"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_dense_ids_of_nulls_and_nothing(spark):
+    df = spark.createDataFrame([(None, "x"), (3, "y"), (None, "x"), (1, "z")], "k int, __at string")
+    assert [(r.id, r.k) for r in crawl.dense_ids(df, "k").orderBy("id").collect()] == [(0, None), (1, None), (2, 1), (3, 3)]
+    assert crawl.dense_ids(df.limit(0), "k").count() == 0
+
+
+def test_copies_with_odd_ids(spark):
+    rows = [(1, "a"), (1, "b"), (None, "zz"), (5, "q"), (5, "q"), (None, "b"), (7, None), (8, None), (None, "zz")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    blank = sorted((r.doc_id or 0, r.text or "") for r in dedup.blank_copies(df, F.col("text")).collect())
+    assert blank == sorted([(1, "a"), (1, "b"), (0, "zz"), (5, "q"), (5, ""), (0, ""), (7, ""), (8, ""), (0, "")])
+    kept = sorted((r.doc_id or 0, r.text or "") for r in dedup.drop_copies(df, F.col("text")).collect())
+    assert kept == sorted([(1, "a"), (1, "b"), (0, "zz"), (5, "q"), (7, "")])
+    assert dedup.duplicates(df, F.col("text")).count() == 8
+    assert dedup.drop_copies(df.limit(0), F.col("text")).count() == 0
+
+
+def test_lines_of_odd_rows(spark):
+    rows = [(1, "x\n\nlong template line\ny"), (None, "long template line\nx"), (2, None), (2, ""), (1, "x\n\nlong template line\ny")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    out = dedup.drop_template_lines(df, 5, 3)
+    assert sorted(r.text for r in out.collect()) == ["", "", "x", "x\n\ny", "x\n\ny"]
+    first = {(r.doc_id, r.text) for r in dedup.first_of_lines(df).collect()}
+    assert first == {(1, "x\nlong template line\ny"), (None, ""), (2, "")}
+
+
+def test_public_suffixes(spark):
+    hosts = {"a.b.co.uk": "b.co.uk", "co.uk": "co.uk", "x.y.example.com": "example.com", "me.github.io": "me.github.io", "a.me.github.io": "me.github.io", "x.city.kawasaki.jp": "city.kawasaki.jp", "a.b.foo.kawasaki.jp": "b.foo.kawasaki.jp", "www.ck": "www.ck", "a.b.ck": "a.b.ck", "192.168.0.1": "192.168.0.1", "localhost": "localhost"}
+    df = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", urls.domain_of(F.col("h")).alias("d"), urls.public_suffix(F.col("h")).alias("s"))
+    got = {r.h: (r.d, r.s) for r in df.collect()}
+    assert {h: d for h, (d, _) in got.items()} == hosts
+    assert got["a.b.co.uk"][1] == "co.uk" and got["a.b.ck"][1] == "b.ck" and got["192.168.0.1"][1] == "192.168.0.1"
+    assert one(spark, F.to_json(urls.parameters(F.col("text"))), "http://a/?q=a%20b&x=&y&z=1+2#f") == '[{"name":"q","value":"a b"},{"name":"z","value":"1 2"}]'
+
+
+def test_metrics_equal_the_columns(spark):
+    texts = ["", "The cat, the hat\nand THE\tmat! $$$", "İstanbul ΟΔΟΣ ß", None, "a" * 50_000, "  \n ", "不了 有 和"]
+    df = spark.createDataFrame([(t, "zh" if t and "不" in t else "en") for t in texts], "text string, lang string")
+    rows = quality.with_metrics(df).withColumn("words", T.words(F.col("text"))).withColumn("special", T.special_ratio(F.col("text"))).collect()
+    for r in rows:
+        if r.text is None:
+            assert r.n_words is None and r.special_ratio is None and r.word_repetition is None
+            continue
+        assert r.n_words == len(r.words) and r.special_ratio == pytest.approx(r.special)
+    assert rows[1].stopword_ratio == pytest.approx(4 / 6) and rows[0].stopword_ratio == 0.0
+    assert quality.filter_documents(df.limit(0)).count() == 0
+    assert quality.words_of("a\tb c") == ["a", "b", "c"]
+
+
+def test_repair_by_language(spark):
+    text = "see http://x.org/a now\n\n" + "w" * 60 + " end\tcell www\t"
+    df = spark.createDataFrame([(text, k) for k in ("en", "de", "zh", None)], "text string, lang string")
+    got = [r.x for r in df.select(quality.repair(F.col("text")).alias("x")).collect()]
+    assert got[0] == "see now\nend\tcell"
+    assert got[1] == got[2] == got[3] == "see http://x.org/a now\n" + "w" * 60 + " end\tcell www"
+
+
+def test_tokenization_and_language_plug_ins(spark):
+    df = spark.createDataFrame([("ab c",), (None,)], "text string")
+    assert [r.x for r in df.select(quality.tokenization(F.col("text"), lambda: list, join=True).alias("x")).collect()] == ["a b   c", None]
+    info = quality.language_info(F.col("text"), lambda: lambda texts: [("xx", float(len(t))) for t in texts])
+    rows = spark.createDataFrame([("ab\nc",), (None,)], "text string").select(info.alias("i")).collect()
+    assert rows[0].i.lang == "xx" and [x.score for x in rows[0].i.lines] == [2.0, 1.0]
+    assert [r.x for r in spark.createDataFrame([("the the der",)], "text string").select(quality.vote_language(F.col("text"))["lang"].alias("x")).collect()] == ["en"]
+
+
+def test_references_need_stop_words(spark):
+    with pytest.raises(KeyError):
+        cleaning.remove_references(F.col("text"), "xx")
+    assert one(spark, cleaning.remove_references(F.col("text"), "pt"), "o gato e a casa\nSilva 2004\n") == "o gato e a casa"
+    assert one(spark, cleaning.remove_references(F.col("text"), "zh"), "这是我们的一个\nSmith 2003") == "这是我们的一个"
+
+
+def test_the_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    class Far:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(ValueError):
+        lineage.shared_folder(Far)
+    table = lineage.written(spark.range(3))
+    assert table.count() == 3
+    lineage.release(table)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..data import word_lists
+
 _FIELDS = ("long_word", "min_words", "max_words", "char_n", "char_max", "word_n", "word_max", "special_max", "stop_min", "flagged_max", "lang_min", "perplexity_max")
 _ROWS = """
 default 0 10 100000 10 .2 5 .3 .4 .1 .1 .7 10000
@@ -27,14 +29,16 @@ PARAMETERS: dict[str, dict[str, float]] = {r.split()[0]: dict(zip(_FIELDS, map(f
 #: Languages whose stop and flagged words also look at joined pairs of words, and the joint.
 PAIRS = {"vi": " ", "zh": ""}
 
-STOPWORDS: dict[str, list[str]] = {
-    "en": "the of and to in is was for on that by with as at from be this are an or it his her which not have had but they you we".split(),
-    "fr": "le la les de des du et un une en est que qui dans pour par sur avec pas au aux ne se ce il elle nous vous".split(),
-    "de": "der die das und in zu den mit von ist im für auf nicht ein eine als auch es an dem sich des er sie wir".split(),
-    "es": "el la los las de y en que un una es por con para del se no su al lo como más o pero sus le ya".split(),
-}
-FLAGGED: dict[str, list[str]] = {k: "trash stupid pathetic worthless loser idiot".split() for k in ("en", "fr", "de", "es")}
-LANGUAGE_NAMES = {"ar": "Arabic", "bn": "Bengali", "ca": "Catalan", "de": "German", "en": "English", "es": "Spanish", "eu": "Basque", "fr": "French", "hi": "Hindi", "id": "Indonesian", "pt": "Portuguese", "ur": "Urdu", "vi": "Vietnamese", "zh": "Chinese"}
+STOPWORDS: dict[str, list[str]] = word_lists("stopwords.txt")
+FLAGGED: dict[str, list[str]] = word_lists("flagged.txt")
+#: Languages whose documents keep words that hold fragments of links; those without a long_word keep long words anyway.
+KEEP_FRAGMENTS = ("default", "zh")
+_NAMES = """
+ar=Arabic bn=Bengali ca=Catalan code=Code de=German en=English es=Spanish eu=Basque fr=French gu=Gujarati hi=Hindi id=Indonesian kn=Kannada ml=Malayalam mr=Marathi ne=Nepali
+or=Odia pa=Punjabi pt=Portuguese ta=Tamil te=Telugu ur=Urdu vi=Vietnamese zh=Chinese zhs=Simplified_Chinese zht=Traditional_Chinese as=Assamese ak=Akan bm=Bambara fon=Fon ig=Igbo
+ki=Kikuyu lg=Luganda ln=Lingala nso=Northern_Sotho ny=Chichewa rn=Kirundi rw=Kinyarwanda sn=Shona st=Sesotho sw=Swahili tn=Setswana ts=Xitsonga tum=Tumbuka tw=Twi wo=Wolof xh=Xhosa yo=Yoruba zu=Zulu
+"""
+LANGUAGE_NAMES = {k: v.replace("_", " ") for k, v in (x.split("=") for x in _NAMES.split())}
 
 
 def parameter(name: str, lang: str | Column = "lang") -> Column:

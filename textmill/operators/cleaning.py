@@ -27,7 +27,8 @@ WIKTIONARY_PARTS = [
     "If you are familiar with the IPA then please add some!",
     "A user has added this entry to requests for deletion(+)",
 ]
-REFERENCE_RATIOS = {k: v["stop_min"] for k, v in P.PARAMETERS.items() if k != "default"}
+#: Languages whose references can be told: those with stop words.
+REFERENCE_RATIOS = {k: P.PARAMETERS.get(k, P.PARAMETERS["default"])["stop_min"] for k in P.STOPWORDS}
 SPLIT_LANGUAGES = ("ar", "bn", "ca", "en", "es", "eu", "fr", "gu", "hi", "id", "kn", "ml", "mr", "pa", "pt", "ta", "te", "ur", "vi", "zh")
 
 
@@ -47,12 +48,20 @@ def strip_parts(c: Column, parts) -> Column:
 
 
 def remove_references(c: Column, lang: str) -> Column:
-    """The text up to the last line in which stop words exceed their least share; empty if none does."""
-    stop, share = F.array(*map(F.lit, P.STOPWORDS.get(lang, []))), REFERENCE_RATIOS.get(lang, P.PARAMETERS["default"]["stop_min"])
+    """The text up to the last line in which stop words exceed their least share; empty if none does.  A language without stop words is an error.
+
+    Chinese lines have no blanks: there the share is of characters that stop words cover.
+    """
+    if lang not in REFERENCE_RATIOS:
+        raise KeyError(f"there are no stop words of {lang}")
+    share, stop = REFERENCE_RATIOS[lang], P.STOPWORDS[lang]
 
     def passes(line: Column) -> Column:
+        if lang == "zh":
+            one = F.lit("[" + "".join(w for w in stop if len(w) == 1) + "]")
+            return F.regexp_count(line, one) > F.length(line) * F.lit(share)
         w = F.filter(F.split(line, r"(?U)\s+"), lambda x: x != "")
-        return F.size(F.filter(w, lambda x: F.array_contains(stop.cast("array<string>"), x))) > F.size(w) * F.lit(share)
+        return F.size(F.filter(w, lambda x: x.isin(stop))) > F.size(w) * F.lit(share)
 
     ok = F.transform(T.lines(c), lambda x, i: F.when(passes(x), i + 1).otherwise(0))
     return F.array_join(F.slice(T.lines(c), F.lit(1), F.coalesce(F.array_max(ok), F.lit(0))), "\n")
@@ -118,7 +127,7 @@ MAPS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "remove_html_spans_sanad": _map(partial(drop_lines_with, parts=BAD_LINES["html_spans_sanad"])),
     "remove_wiki_mojibake": _map(partial(drop_lines_with, parts=BAD_LINES["wiki_mojibake"])),
     "strip_substrings_en_wiktionary": _map(partial(strip_parts, parts=WIKTIONARY_PARTS)),
-    **{f"remove_references_{k}": _map(partial(remove_references, lang=k)) for k in sorted({*REFERENCE_RATIOS, *P.STOPWORDS})},
+    **{f"remove_references_{k}": _map(partial(remove_references, lang=k)) for k in sorted(REFERENCE_RATIOS)},
     **{f"split_sentences_{k}": _map(partial(split_sentences, lang=k)) for k in SPLIT_LANGUAGES},
 }
 FILTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -231,6 +240,17 @@ def code_filters(content: Column, licence: Column | None = None, keep_gpl: bool
     return found
 
 
+def by_all(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """Rows that meet every condition; an unknown one counts as false."""
+    return reduce(lambda d, c: d.where(F.coalesce(c, F.lit(False))), conditions.values(), df)
+
+
+def unique_files(df: DataFrame, id_col: str = "doc_id", longest: int = 1000) -> DataFrame:
+    """The first file of each hash without white space, if no line of it is longer than ``longest``."""
+    first = D.drop_copies(df, D.no_space_key(F.col("text")), id_col)
+    return first.where(F.array_max(F.transform(T.lines(F.col("text")), F.length)) <= longest)
+
+
 def dataset_language(name: Column) -> Column:
     """Language of a dataset name like lm_xx_name; the two Chinese scripts have names of their own."""
     lang = F.regexp_extract(name, r"^(?:.*/)?lm_([a-z]+(?:-[a-z]+)?)_", 1)

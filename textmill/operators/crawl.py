@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import written
+
 
 def seed_lookup(index: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Index rows under a seed: equal registered domain, and a key that starts with the seed's."""
+    """Index rows under a seed: equal registered domain, and a key that starts with the seed's.
+
+    The prefixes of a key that are as long as some seed of its domain meet the
+    seeds by equality, so a domain with many rows and seeds doesn't pair them all.
+    """
     s = seeds.select(F.col("id").alias("seed_id"), F.col("url_host_registered_domain").alias("__domain"), F.col("url_surtkey").alias("__key"))
-    cond = (F.col("url_host_registered_domain") == F.col("__domain")) & F.startswith(F.col("url_surtkey"), F.col("__key"))
-    return index.join(s, cond).drop("__domain", "__key")
+    lengths = s.groupBy("__domain").agg(F.collect_set(F.length("__key")).alias("__lengths"))
+    of = index.join(lengths, F.col("url_host_registered_domain") == F.col("__domain")).drop("__domain")
+    fits = F.filter("__lengths", lambda n: n <= F.length("url_surtkey"))
+    of = of.withColumn("__n", F.explode(fits)).withColumn("__prefix", F.expr("left(url_surtkey, __n)"))
+    cond = (F.col("url_host_registered_domain") == F.col("__domain")) & (F.col("__prefix") == F.col("__key"))
+    return of.join(s, cond).drop("__domain", "__key", "__lengths", "__n", "__prefix")
 
 
 def next_lookup(index: DataFrame, urls: DataFrame) -> DataFrame:
@@ -25,16 +35,26 @@ def latest(df: DataFrame, key: str = "url", time: str = "fetch_time", tie: str |
 
 
 def dense_ids(df: DataFrame, order: str, name: str = "id") -> DataFrame:
-    """Row numbers from 0 without gaps, in the given order.
+    """Row numbers from 0 without gaps, in the given order; nulls come first, ties go by a hash of the row.
 
-    Only the counts of the range partitions meet in one place; rows are numbered
-    in their own partition.
+    Rows are sorted by ranges, numbered within their range and written once; a
+    row per range then says where its numbers start.
     """
-    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__p", F.spark_partition_id())
-    local = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(order)))
-    counts = local.groupBy("__p").agg(F.count("*").alias("__c"))
+    ties = F.xxhash64(*df.columns)
+    at = monotonic_name(df)
+    ranged = written(df.repartitionByRange(F.col(order), ties).sortWithinPartitions(F.col(order), ties).withColumn(at, F.monotonically_increasing_id()))
+    part, place = F.shiftrightunsigned(at, 33), F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ranged.groupBy(part.alias("__p")).agg(F.count("*").alias("__c"))
     start = counts.select("__p", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__s"))
-    return local.join(F.broadcast(start), "__p").withColumn(name, F.col("__s") + F.col("__n") - 1).drop("__p", "__n", "__s")
+    return ranged.join(F.broadcast(start), part == F.col("__p")).withColumn(name, F.col("__s") + place).drop("__p", "__s", at)
+
+
+def monotonic_name(df: DataFrame) -> str:
+    """A column name that df doesn't have."""
+    have, name = {c.lower() for c in df.columns}, "__at"
+    while name in have:
+        name = "_" + name
+    return name
 
 
 def next_urls(pages: DataFrame, known: DataFrame) -> DataFrame:
@@ -43,11 +63,11 @@ def next_urls(pages: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def expand(seeds: DataFrame, index: DataFrame, depth: int) -> DataFrame:
-    """Pages reached from the seeds in up to ``depth`` steps of links, with the step as depth."""
-    level = seeds.withColumn("depth", F.lit(0).cast("smallint"))
+    """Pages reached from the seeds in up to ``depth`` steps of links, with the step as depth; each level is written, so none is made twice."""
+    level = written(seeds.withColumn("depth", F.lit(0).cast("smallint")))
     found = level
     for d in range(1, depth + 1):
-        level = next_lookup(index, next_urls(level, found)).withColumn("depth", F.lit(d).cast("smallint"))
+        level = written(next_lookup(index, next_urls(level, found)).withColumn("depth", F.lit(d).cast("smallint")))
         found = found.unionByName(level)
     return found
 

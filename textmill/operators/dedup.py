@@ -1,8 +1,12 @@
 """Exact deduplication of documents and lines.
 
-The first row by id wins everywhere, which a window or an aggregate decides, so
-no state is carried through rows.  Lines are joined to what the corpus knows of
-them by a hash; the empty line, the commonest of all, is never shuffled.
+The first row by id wins everywhere, which an aggregate decides, so no state is
+carried through rows.  A null id comes last; of rows with one id the one whose
+text has the least hash comes first, and of rows equal in id and text any one.
+
+Lines are counted by two 64-bit hashes with partial aggregation, and only the
+hashes, ids and positions of the lines that must go are shuffled; texts stay in
+place and are cut by position.  Rows equal in id and text are one document there.
 """
 
 from __future__ import annotations
@@ -49,28 +53,38 @@ def id_parameter_key(url: Column) -> Column:
     return F.md5(U.keep_parameters(url, {"id": "id", "news-id": "id"}))
 
 
-def _first(key: Column, id_col: str) -> Column:
-    return F.row_number().over(Window.partitionBy(key).orderBy(id_col)) == 1
+def _ranked(df: DataFrame, key: Column, id_col: str, text_col: str) -> DataFrame:
+    """df with __first: whether a row is the one of its key that stays.
 
+    Ids, keys and hashes are aggregated; only rows that share key, id and text
+    with the first, which no column tells apart, are numbered by a window.
+    """
+    this = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    rows = df.withColumns({"__key": key, "__this": this})
+    alike = rows.groupBy("__key", "__this").agg(F.count("*").alias("n"))
+    firsts = alike.groupBy("__key").agg(F.min(F.struct("__this", "n")).alias("f")).select(F.col("__key").alias("k"), F.col("f.__this").alias("t"), F.col("f.n").alias("many"))
+    joined = rows.join(firsts, F.col("__key").eqNullSafe(F.col("k")) & F.col("__this").eqNullSafe(F.col("t")), "left").drop("k", "t")
+    single = joined.where("many IS NULL OR many = 1").withColumn("__first", F.col("many").isNotNull())
+    several = joined.where("many > 1").withColumn("__first", F.row_number().over(Window.partitionBy("__key", "__this").orderBy(F.lit(1))) == 1)
+    return single.unionByName(several).drop("__key", "__this", "many")
 
-def blank_copies(df: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
-    """Every row stays; the text of all but the first row of a key becomes empty.
 
-    Only ids and keys are sorted: the texts of the copies are blanked by a join.
-    """
-    firsts = df.select(id_col, key.alias("__key")).groupBy("__key").agg(F.min(id_col).alias(id_col)).select(id_col, F.lit(True).alias("__first"))
-    return df.join(firsts, id_col, "left").withColumn("text", F.when(F.col("__first"), F.col("text")).otherwise(F.lit(""))).select(*df.columns)
+def blank_copies(df: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
+    """Every row stays; the text of all but the first row of a key becomes empty.  A null key is a key like others."""
+    return _ranked(df, key, id_col, "text").withColumn("text", F.when(F.col("__first"), F.col("text")).otherwise(F.lit(""))).select(*df.columns)
 
 
-def drop_copies(df: DataFrame, key: Column, id_col: str = "doc_id") -> DataFrame:
+def drop_copies(df: DataFrame, key: Column, id_col: str = "doc_id", text_col: str | None = None) -> DataFrame:
     """The first row of every key."""
-    firsts = df.select(id_col, key.alias("__key")).groupBy("__key").agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(firsts, id_col, "left_semi")
+    text_col = text_col or ("text" if "text" in df.columns else df.columns[-1])
+    return _ranked(df, key, id_col, text_col).where("__first").select(*df.columns)
 
 
 def duplicates(df: DataFrame, key: Column) -> DataFrame:
-    """All rows whose key occurs more than once."""
-    return df.withColumn("__many", F.count("*").over(Window.partitionBy(key))).where("__many > 1").drop("__many")
+    """All rows whose key occurs more than once; the keys are counted, the rows joined to those."""
+    keyed = df.withColumn("__key", key)
+    many = keyed.groupBy("__key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("__key").alias("k"))
+    return keyed.join(many, F.col("__key").eqNullSafe(F.col("k")), "left_semi").drop("__key")
 
 
 def explode_lines(df: DataFrame, id_col: str = "doc_id", strip: bool = False) -> DataFrame:
@@ -83,23 +97,37 @@ def join_lines(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return lines.groupBy(id_col).agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n").alias("text"))
 
 
-def _with_text(df: DataFrame, texts: DataFrame, id_col: str) -> DataFrame:
-    """df with the new texts; documents that lost all lines stay, empty."""
-    new = texts.withColumnRenamed("text", "__new")
-    return df.join(new, id_col, "left").withColumn("text", F.coalesce("__new", F.lit(""))).select(*df.columns)
+def _line_keys(df: DataFrame, id_col: str, strip: bool) -> DataFrame:
+    """(id, v, pos, a, b, len): the hashes of every line; v is a hash of the text."""
+    lines = T.lines(F.col("text"))
+    lines = F.transform(lines, T.unicode_strip) if strip else lines
+    return df.select(F.col(id_col).alias("id"), F.xxhash64("text").alias("v"), F.posexplode(lines).alias("pos", "line")).select(
+        "id", "v", "pos", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"), F.length("line").alias("len")
+    )
+
+
+def _without(df: DataFrame, gone: DataFrame, id_col: str, strip: bool, empty: bool = True) -> DataFrame:
+    """df without the lines at the positions (id, v, pos) of ``gone``, and without empty ones unless ``empty``; null texts become empty."""
+    per = gone.groupBy(F.col("id").alias("__id"), F.col("v").alias("__v")).agg(F.collect_set("pos").alias("__gone"))
+    lines = T.lines(F.col("text"))
+    lines = F.transform(lines, T.unicode_strip) if strip else lines
+    kept = F.when(F.col("__gone").isNull(), lines).otherwise(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)))
+    kept = kept if empty else F.filter(kept, lambda x: x != "")
+    joined = df.join(per, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__v")), "left")
+    return joined.withColumn("text", F.coalesce(F.array_join(kept, "\n"), F.lit(""))).select(*df.columns)
 
 
 def template_lines(df: DataFrame, least_length: int, least_count: int, id_col: str = "doc_id") -> DataFrame:
-    """(h) of the stripped lines of some length that occur often in the corpus."""
-    lines = explode_lines(df, id_col, strip=True).where(F.length("line") >= least_length)
-    return lines.groupBy(F.md5("line").alias("h")).count().where(F.col("count") >= least_count).select("h")
+    """(a, b): hashes of the stripped lines of some length that occur often in the corpus."""
+    lines = _line_keys(df, id_col, strip=True).where(F.col("len") >= least_length)
+    return lines.groupBy("a", "b").count().where(F.col("count") >= least_count).select("a", "b")
 
 
 def drop_template_lines(df: DataFrame, least_length: int = 15, least_count: int = 10, id_col: str = "doc_id") -> DataFrame:
     """Documents without template lines; the lines that stay are stripped."""
-    lines = explode_lines(df, id_col, strip=True)
-    kept = lines.withColumn("h", F.md5("line")).join(template_lines(df, least_length, least_count, id_col), "h", "left_anti")
-    return _with_text(df, join_lines(kept, id_col), id_col)
+    bad = template_lines(df, least_length, least_count, id_col)
+    gone = _line_keys(df, id_col, strip=True).where(F.col("len") >= least_length).join(bad, ["a", "b"], "left_semi")
+    return _without(df, gone, id_col, strip=True)
 
 
 def frequent_lines(df: DataFrame, least: int, share: float | None = None, unique_pages: bool = True, per_document: bool = True, id_col: str = "doc_id") -> DataFrame:
@@ -117,10 +145,14 @@ def frequent_lines(df: DataFrame, least: int, share: float | None = None, unique
     return counts.crossJoin(F.broadcast(total)).where(F.col("n") > F.greatest(F.lit(float(least)), F.col("docs") * share)).select("line", "n")
 
 
+def _skip_keys(skip: DataFrame) -> DataFrame:
+    return skip.select(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")).distinct()
+
+
 def skip_lines(df: DataFrame, skip: DataFrame, id_col: str = "doc_id", least_chars: int | None = None) -> DataFrame:
     """Documents without the lines of ``skip``, stripped; those of least_chars characters or fewer are dropped."""
-    lines = explode_lines(df, id_col)
-    out = _with_text(df, join_lines(lines.join(skip.select("line"), "line", "left_anti"), id_col), id_col).withColumn("text", T.unicode_strip(F.col("text")))
+    gone = _line_keys(df, id_col, strip=False).join(_skip_keys(skip), ["a", "b"], "left_semi")
+    out = _without(df, gone, id_col, strip=False).withColumn("text", T.unicode_strip(F.col("text")))
     return out if least_chars is None else out.where(F.length("text") > least_chars)
 
 
@@ -131,15 +163,13 @@ def first_of_lines(df: DataFrame, skip: DataFrame | None = None, id_col: str = "
     that ``preserve`` marks are not touched, nor do they count.
     """
     todo = df if preserve is None else df.where(~preserve)
-    lines = explode_lines(todo, id_col, strip=skip is None)
-    if skip is None:
-        lines = lines.where("line <> ''")
-        some = lines
-    else:
-        some = lines.join(skip.select("line"), "line", "left_semi")
-    firsts = some.groupBy("line").agg(F.min(F.struct(id_col, "pos")).alias("first")).select("line", "first")
-    joined = lines.join(firsts, "line", "left").where(F.col("first").isNull() | ((F.col(f"first.{id_col}") == F.col(id_col)) & (F.col("first.pos") == F.col("pos"))))
-    out = _with_text(todo, join_lines(joined, id_col), id_col)
+    keys = _line_keys(todo, id_col, strip=skip is None)
+    some = keys.where("len > 0") if skip is None else keys.join(_skip_keys(skip), ["a", "b"], "left_semi")
+    place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("v"), F.col("pos"))
+    # Lines that occur once have no position to give up, so only the others are joined.
+    firsts = some.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    gone = some.join(firsts, ["a", "b"]).where(~place.eqNullSafe(F.col("first"))).select("id", "v", "pos")
+    out = _without(todo, gone, id_col, strip=skip is None, empty=skip is not None)
     return out if preserve is None else out.unionByName(df.where(preserve))
 
 

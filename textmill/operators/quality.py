@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..functions import params as P
 from ..functions import text as T
@@ -45,38 +45,63 @@ def word_repetition(words: list[str], n: int) -> float:
     return float(freq[freq > 1].sum() / freq.sum())
 
 
-@F.pandas_udf(DoubleType())
-def char_repetition_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for text, n in batches:
-        yield pd.Series([None if t is None else char_repetition(t, int(k)) for t, k in zip(text, n)], dtype="float64")
+_GAPS = str.maketrans("\n\t", "  ")
+_DROP = {ord(c): None for c in T.SPECIAL}
 
 
-@F.pandas_udf(DoubleType())
-def word_repetition_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for words, n in batches:
-        yield pd.Series([None if w is None else word_repetition(list(w), int(k)) for w, k in zip(words, n)], dtype="float64")
+def words_of(text: str) -> list[str]:
+    """What ``functions.text.words`` gives for a text."""
+    return [w for w in (x.strip(T.SPECIAL) for x in text.lower().translate(_GAPS).split(" ") if x) if w]
 
 
-def native_metrics(text: str = "text", lang: str = "lang") -> dict[str, Column]:
-    """Metrics that stay in the JVM; ``words`` must be a column."""
-    w = F.col("words")
-    pairs = F.create_map(*[F.lit(x) for kv in P.PAIRS.items() for x in kv])[F.col(lang)]
-    more = F.when(pairs.isNotNull() & (F.size(w) >= 2), F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat(w[i - 1], pairs, w[i]))).otherwise(F.array().cast("array<string>"))
+def member_share(words: list[str], members: frozenset | None, pair: str | None) -> float | None:
+    """Share of words (and, with a joint, of pairs of neighbours) that are members, at most 1; None without a list."""
+    if members is None:
+        return None
+    if not words:
+        return 0.0
+    hits = sum(map(members.__contains__, words))
+    if pair is not None:
+        hits += sum(f"{a}{pair}{b}" in members for a, b in zip(words, words[1:]))
+    return min(hits / len(words), 1.0)
 
-    def share(lists):
-        members = P.word_list(lists, lang)
-        both = F.concat(w, more)
-        return F.when(members.isNotNull(), F.least(T.ratio(F.size(F.filter(both, lambda x: F.array_contains(members, x))), F.size(w)), F.lit(1.0)))
 
-    return {"n_words": F.size(w), "special_ratio": T.special_ratio(F.col(text)), "stopword_ratio": share(P.STOPWORDS), "flagged_ratio": share(P.FLAGGED)}
+METRICS = ("n_words", "special_ratio", "stopword_ratio", "flagged_ratio", "char_repetition", "word_repetition")
+_KIND = "n_words int, special_ratio double, stopword_ratio double, flagged_ratio double, char_repetition double, word_repetition double"
 
 
-def with_metrics(df: DataFrame, text: str = "text", lang: str = "lang", repetition: bool = True) -> DataFrame:
-    """df with words and its metrics; words are made once, in a projection of their own."""
-    df = df.withColumn("words", T.words(F.col(text))).withColumns(native_metrics(text, lang))
-    if repetition:
-        df = df.withColumns({"char_repetition": char_repetition_udf(F.col(text), P.parameter("char_n", lang)), "word_repetition": word_repetition_udf(F.col("words"), P.parameter("word_n", lang))})
-    return df
+def metrics_udf(repetition: bool = True, make_words: Callable[[], Callable[[str], list[str]]] | None = None, stopwords: dict | None = None, flagged: dict | None = None):
+    """All metrics of a text in one pass: its words are made once, and lists are sets.
+
+    make_words makes, once per worker, another way to get a text's words, such as
+    a model's pieces for languages that don't write blanks.  A null text has null
+    metrics.  The function counts as not deterministic, so that the planner
+    neither repeats it nor moves it.
+    """
+    lists = [{k: frozenset(v) for k, v in (x or default).items()} for x, default in ((stopwords, P.STOPWORDS), (flagged, P.FLAGGED))]
+
+    @F.pandas_udf(_KIND)
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        split = make_words() if make_words else words_of
+        for texts, langs in batches:
+            rows = []
+            for text, lang in zip(texts, langs):
+                if text is None:
+                    rows.append((None,) * len(METRICS))
+                    continue
+                p, w = P.PARAMETERS.get(lang) or P.PARAMETERS["default"], split(text)
+                special = (len(text) - len(text.translate(_DROP))) / len(text) if text else 0.0
+                shares = [member_share(w, x.get(lang), P.PAIRS.get(lang)) for x in lists]
+                rows.append((len(w), special, *shares, *((char_repetition(text, int(p["char_n"])), word_repetition(w, int(p["word_n"]))) if repetition else (None, None))))
+            yield pd.DataFrame(rows, columns=METRICS).astype({"n_words": "Int32", **{m: "float64" for m in METRICS[1:]}})
+
+    return run.asNondeterministic()
+
+
+def with_metrics(df: DataFrame, text: str = "text", lang: str = "lang", repetition: bool = True, **options) -> DataFrame:
+    """df with its metrics, which one Arrow function makes of text and language alone."""
+    found = df.withColumn("__m", metrics_udf(repetition, **options)(F.col(text), F.col(lang)))
+    return found.withColumns({m: F.col(f"__m.{m}") for m in METRICS[: None if repetition else 4]}).drop("__m")
 
 
 def checks(lang: str = "lang", repetition: bool = True) -> dict[str, Column]:
@@ -92,16 +117,20 @@ def checks(lang: str = "lang", repetition: bool = True) -> dict[str, Column]:
     }
 
 
-def filter_documents(df: DataFrame, lang: str = "lang") -> DataFrame:
-    """Documents that pass all checks; native ones are evaluated below the Python ones."""
-    cols = df.columns
-    cheap = [c for n, c in checks(lang, False).items()]
-    dear = [c for n, c in checks(lang).items() if "repetition" in n]
-    kept = with_metrics(df, lang=lang, repetition=False)
-    for c in cheap:
-        kept = kept.where(c)
-    kept = kept.withColumns({"char_repetition": char_repetition_udf(F.col("text"), P.parameter("char_n", lang)), "word_repetition": word_repetition_udf(F.col("words"), P.parameter("word_n", lang))})
-    return kept.where(dear[0] & dear[1]).select(*cols)
+def model_checks(predicted: Column, score: Column, perplexity: Column | None = None, lang: str = "lang") -> dict[str, Column]:
+    """The filters that need models: the predicted language is the row's and sure enough, the perplexity not too high.  Null scores pass."""
+    found = {"language_ok": F.coalesce((predicted == F.col(lang)) & (score >= P.parameter("lang_min", lang)), F.lit(True))}
+    if perplexity is not None:
+        found["perplexity_ok"] = F.coalesce(perplexity <= P.parameter("perplexity_max", lang), F.lit(True))
+    return found
+
+
+def filter_documents(df: DataFrame, lang: str = "lang", more: dict[str, Column] | None = None, **options) -> DataFrame:
+    """Documents that pass all checks, and those of ``more`` (as ``model_checks`` gives them)."""
+    ok = F.lit(True)
+    for c in (checks(lang) | (more or {})).values():
+        ok = ok & c
+    return with_metrics(df, lang=lang, **options).where(ok).select(*df.columns)
 
 
 def discarded_share(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
@@ -116,36 +145,97 @@ def should_keep(value: Column, threshold: float, kind: str) -> Column:
     return value <= threshold if kind == "max" else value >= threshold
 
 
-def repair(c: Column, lang: str = "lang", bad_parts=BAD_PARTS, marks: bool = False) -> Column:
-    """A document without words that hold link fragments and without over-long words, its line and tab structure kept."""
-    c = T.uniform_spaces(T.unicode_strip(c))
-    c = T.plain_marks(c) if marks else c
-    limit = P.parameter("long_word", lang)
+_ENDS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACES = {ord(c): " " for c in T.WIDE_SPACES}
+
+
+def repaired(text: str, limit: int, bad: re.Pattern | None) -> str:
+    """A text without words that hold what ``bad`` finds and without words over the limit (0: none), its line and tab structure kept."""
+    def good(w: str) -> bool:
+        if not limit or len(w) <= limit:
+            return bad is None or not bad.search(w) or not bad.search(w.strip(T.SPECIAL))
+        core = w.strip(T.SPECIAL)
+        return 1 <= len(core) <= limit and (bad is None or not bad.search(core))
+
+    def cell(c: str) -> str:
+        return " ".join([w for w in c.split(" ") if w and good(w)])
+
+    def line(x: str) -> str:
+        return "\t".join([y for y in map(cell, x.split("\t")) if y])
 
-    def good(w: Column) -> Column:
-        core = T.strip_special(w)
-        clean = ~F.exists(F.array(*map(F.lit, bad_parts)), lambda b: F.contains(core, b))
-        short = (limit == 0) | (F.length(w) <= limit) | ((F.length(core) >= 1) & (F.length(core) <= limit))
-        return (w != "") & clean & short
+    return "\n".join([y for y in map(line, text.strip(_ENDS).translate(_SPACES).split("\n")) if y])
 
-    def cell(t: Column) -> Column:
-        return F.array_join(F.filter(F.split(t, " "), good), " ")
 
-    def line(x: Column) -> Column:
-        return F.array_join(F.filter(F.transform(F.split(x, "\t"), cell), lambda y: y != ""), "\t")
+def repair(c: Column, lang: str | Column = "lang", bad_parts=BAD_PARTS, marks: bool = False) -> Column:
+    """A document without words that hold link fragments and without over-long words, as its language wants it.
 
-    return F.array_join(F.filter(F.transform(F.split(c, "\n"), line), lambda y: y != ""), "\n")
+    Languages of KEEP_FRAGMENTS, and unknown ones, keep words with fragments.
+    """
+    @F.pandas_udf("string")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        bad = re.compile("|".join(map(re.escape, bad_parts)))
+        for texts, langs in batches:
+            out = []
+            for text, lang in zip(texts, langs):
+                known = lang if lang in P.PARAMETERS else "default"
+                out.append(None if text is None else repaired(text, int(P.PARAMETERS[known]["long_word"]), None if known in P.KEEP_FRAGMENTS else bad))
+            yield pd.Series(out, dtype=object)
 
+    done = run(c, F.col(lang) if isinstance(lang, str) else lang)
+    return T.plain_marks(done) if marks else done
 
-def vote_language(w: Column, lists: dict[str, list[str]] = P.STOPWORDS) -> Column:
-    """struct(lang, score): the language most of whose stop words occur, and its share of all hits; the default for a plug-in model."""
-    def counted(lang: str) -> Column:
-        return F.struct(F.size(F.filter(w, lambda x: x.isin(*lists[lang]))).alias("hits"), F.lit(lang).alias("lang"))
 
-    hits = F.array(*map(counted, sorted(lists)))
-    total = F.aggregate(hits, F.lit(0), lambda a, x: a + x["hits"])
-    best = F.aggregate(hits, hits[0], lambda a, x: F.when(x["hits"] > a["hits"], x).otherwise(a))  # of equals the first by name
-    return F.struct(F.when(total > 0, best["lang"]).otherwise("unknown").alias("lang"), T.ratio(best["hits"], total).alias("score"))
+def vote(words: list[str], lists: dict[str, frozenset]) -> tuple[str, float]:
+    hits = [(sum(map(v.__contains__, words)), k) for k, v in lists.items()]
+    total = sum(n for n, _ in hits)
+    most = max(n for n, _ in hits)
+    return (min(k for n, k in hits if n == most), most / total) if total else ("unknown", 0.0)
+
+
+def vote_language(c: Column, lists: dict[str, list[str]] | None = None) -> Column:
+    """struct(lang, score): the language most of whose stop words a text has, and its share of all hits; the default for a plug-in model."""
+    sets = {k: frozenset(v) for k, v in sorted((lists or P.STOPWORDS).items())}
+
+    @F.pandas_udf("lang string, score double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([(None, None) if t is None else vote(words_of(t), sets) for t in b], columns=["lang", "score"]).astype({"score": "float64"})
+
+    return run(c)
+
+
+Identify = Callable[[list[str]], list[tuple[str, float]]]
+
+
+def language_info(text: Column, make: Callable[[], Identify] | None = None) -> Column:
+    """struct(lang, score, lines: array of (lang, score)): the prediction for a text and for each of its lines; without a model by stop words."""
+    sets = {k: frozenset(v) for k, v in sorted(P.STOPWORDS.items())}
+
+    @F.pandas_udf("lang string, score double, lines array<struct<lang: string, score: double>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        identify = make() if make else lambda texts: [vote(words_of(t), sets) for t in texts]
+        for b in batches:
+            rows = []
+            for t in b:
+                if t is None:
+                    rows.append((None, None, None))
+                    continue
+                (whole, *lines) = identify([t.replace("\n", " "), *t.split("\n")])
+                rows.append((*whole, [{"lang": k, "score": s} for k, s in lines]))
+            yield pd.DataFrame(rows, columns=["lang", "score", "lines"]).astype({"score": "float64"})
+
+    return run(text)
+
+
+def tokenization(text: Column, make: Callable[[], Callable[[str], list[str]]], join: bool = False) -> Column:
+    """The pieces that a tokenizer, made once per worker, cuts a text into; joined by blanks if asked."""
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cut = make()
+        for b in batches:
+            yield pd.Series([None if t is None else list(cut(t)) for t in b], dtype=object)
+
+    return F.array_join(run(text), " ") if join else run(text)
 
 
 Scorer = Callable[[list[str]], list[float]]

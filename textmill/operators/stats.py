@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .crawl import dense_ids
+
 
 def coverage(df: DataFrame, by: str, url: Column, size: Column, kind: Column) -> DataFrame:
     """Rows, distinct URLs, bytes and the counts of each kind as JSON, per group."""
@@ -36,19 +38,27 @@ def percentile_clip(df: DataFrame, column: str, q: float = 0.99) -> DataFrame:
     return df.crossJoin(F.broadcast(edge)).where(F.col(column) <= F.col("__edge")).drop("__edge")
 
 
-def without_outliers(df: DataFrame, column: str, width: float = 3.0) -> DataFrame:
-    """Rows within ``width`` median absolute deviations of the median; all of them where the deviation is 0."""
+def without_outliers(df: DataFrame, column: str, width: float = 9.0) -> DataFrame:
+    """Rows nearer to the median than ``width`` median absolute deviations; all of them where the median is 0.  The medians are one row."""
     mid = df.agg(F.median(column).alias("__m"))
     off = F.abs(F.col(column) - F.col("__m"))
     both = df.crossJoin(F.broadcast(mid))
     mad = both.agg(F.median(off).alias("__d"))
-    return both.crossJoin(F.broadcast(mad)).where((F.col("__d") == 0) | (off <= width * F.col("__d"))).drop("__m", "__d")
+    return both.crossJoin(F.broadcast(mad)).where((F.col("__m") == 0) | (off < width * F.col("__d"))).drop("__m", "__d")
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
-    """(bin, n) of values in [low, high]; the last bin has its upper edge."""
+    """(bin, n) of all values: bins of [low, high], whose last has its upper edge; -1 and ``bins`` are those below and above, null those that are null."""
     at = F.least(F.floor((F.col(column) - low) / ((high - low) / bins)), F.lit(bins - 1)).cast("int")
-    return df.where(F.col(column).between(low, high)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    return df.groupBy(F.when(F.col(column) < low, -1).when(F.col(column) > high, bins).otherwise(at).alias("bin")).agg(F.count("*").alias("n"))
+
+
+def clipped_histogram(df: DataFrame, column: str, bins: int = 50, width: float = 9.0) -> DataFrame:
+    """(bin, n) of equal bins from the least to the greatest value that is no outlier."""
+    kept = without_outliers(df.select(F.col(column).cast("double").alias("v")), "v", width)
+    edges = kept.agg(F.min("v").alias("__lo"), F.max("v").alias("__hi"))
+    at = F.least(F.floor(F.coalesce(F.try_divide((F.col("v") - F.col("__lo")) * bins, F.col("__hi") - F.col("__lo")), F.lit(0.0))), F.lit(bins - 1)).cast("int")
+    return kept.crossJoin(F.broadcast(edges)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
 
 
 def language_sizes(df: DataFrame) -> DataFrame:
@@ -62,9 +72,13 @@ def splits_summary(splits: Column) -> dict[str, Column]:
 
 
 def zipf(words: DataFrame) -> DataFrame:
-    """(word, n, rank), most frequent first."""
+    """(word, n, rank), most frequent first.
+
+    Rows are numbered in their range of the order, so no window holds all words.
+    """
     n = words.groupBy("word").agg(F.count("*").alias("n"))
-    return n.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "word")))
+    ranked = dense_ids(n.select(F.struct((-F.col("n")).alias("m"), F.col("word").alias("w")).alias("o"), "word", "n"), "o", "rank")
+    return ranked.select("word", "n", (F.col("rank") + 1).cast("int").alias("rank"))
 
 
 def step_log(log: DataFrame) -> DataFrame:

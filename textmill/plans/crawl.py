@@ -17,13 +17,13 @@ from ..registry import query
 _HOST = r"nullif(regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', ''), '')"
 _PATH = r"coalesce(nullif(regexp_extract({0}, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), ''), '/')"
 _SURT = f"array_to_string(list_reverse(string_split(regexp_replace({_HOST}, '^www\\.', ''), '.')), ',') || ')' || lower({_PATH.format('url')})"
-_DOMAIN = f"coalesce(nullif(regexp_extract({_HOST}, '([^.]+\\.[^.]+)$', 1), ''), {_HOST})"
+_KEYED = f"(SELECT *, {U.sql_suffix('h')[1]} AS d FROM (SELECT *, {_HOST} AS h FROM pages))"
 _LINKS = "list_distinct(regexp_extract_all(html, '(?i)<a\\s[^>]*\\bhref\\s*=\\s*[\"'']([^\"''>]*)[\"'']', 1))"
 
 
-@query(f"SELECT page_id, {_HOST} AS host, {_DOMAIN} AS domain, {_SURT} AS surt FROM pages")
+@query(f"SELECT page_id, h AS host, d AS domain, {U.sql_suffix('h')[0]} AS suffix, {_SURT} AS surt FROM {_KEYED}")
 def map_url_keys(t):
-    return t.pages.select("page_id", U.host(F.col("url")).alias("host"), U.registered_domain(F.col("url")).alias("domain"), U.surt(F.col("url")).alias("surt"))
+    return t.pages.select("page_id", U.host(F.col("url")).alias("host"), U.registered_domain(F.col("url")).alias("domain"), U.public_suffix(U.host(F.col("url"))).alias("suffix"), U.surt(F.col("url")).alias("surt"))
 
 
 @query(rf"SELECT page_id, left(coalesce(nullif(regexp_replace({_PATH.format('url')}, '[^/]*\.[^/]*$', ''), ''), '/'), 16) AS prefix FROM pages")
@@ -41,7 +41,7 @@ def map_links(t):
     return t.pages.select("page_id", F.explode(H.links(F.col("html"))).alias("link"))
 
 
-@query(f"SELECT page_id, array_to_string(list_sort(list_filter({_LINKS}, lambda x: regexp_matches(x, '^(?i)https?://') AND NOT contains(x, {_DOMAIN}))), ' ') AS external FROM pages")
+@query(f"SELECT page_id, array_to_string(list_sort(list_filter({_LINKS}, lambda x: regexp_matches(x, '^(?i)https?://') AND NOT contains(x, d))), ' ') AS external FROM {_KEYED}")
 def map_external_links(t):
     return t.pages.select("page_id", F.array_join(F.sort_array(H.external_links(F.col("html"), U.registered_domain(F.col("url")))), " ").alias("external"))
 
@@ -65,14 +65,17 @@ def ddp_strict_url(t):
     return D.drop_copies(t.pages.select("page_id", "url"), D.strict_url_key(F.col("url")), "page_id").select("page_id")
 
 
-@query("SELECT page_id, regexp_extract(url, '^(.*?)(?:/amp(?:$|[/?#])|\\?|$)', 1) AS key FROM pages")
+@query("SELECT page_id, md5(regexp_extract(url, '^(.*?)(?:/amp(?:$|[/?#])|\\?|$)', 1)) AS key FROM pages")
 def ddp_amp_key(t):
-    return t.pages.select("page_id", F.regexp_extract("url", r"^(.*?)(?:/amp(?:$|[/?#])|\?|$)", 1).alias("key"))
+    return t.pages.select("page_id", D.amp_key(F.col("url")).alias("key"))
 
 
-@query("SELECT page_id, regexp_extract(regexp_replace(url, '#.*$', ''), '^(.[^?]*)', 1) || CASE WHEN regexp_matches(url, '[?&]page=') THEN '?id=' || regexp_extract(url, '[?&]page=([^&#]*)', 1) ELSE '' END AS key FROM pages")
+_PARTS = "list_transform(list_filter(string_split(q, '&'), lambda p: regexp_matches(p, '^(id|news-id)=')), lambda p: 'id=' || regexp_replace(p, '^[^=]*=', ''))"
+
+
+@query(f"SELECT page_id, md5(b || CASE WHEN len({_PARTS}) > 0 THEN '?' || array_to_string({_PARTS}, '&') ELSE '' END) AS key FROM (SELECT page_id, regexp_extract(regexp_replace(url, '#.*$', ''), '^(.[^?]*)', 1) AS b, regexp_extract(replace(url, 'page=', 'news-id='), '[?]([^#]*)', 1) AS q FROM pages)")
 def ddp_parameter_key(t):
-    return t.pages.select("page_id", U.keep_parameters(F.col("url"), {"page": "id"}).alias("key"))
+    return t.pages.select("page_id", D.id_parameter_key(F.replace("url", F.lit("page="), F.lit("news-id="))).alias("key"))
 
 
 @query("SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
@@ -80,16 +83,18 @@ def win_latest_per_key(t):
     return K.latest(t.events, "user_id", "ts", "event_id").select("event_id", "user_id", "event_type")
 
 
-@query(f"WITH i AS (SELECT page_id, url, {_DOMAIN} AS d, {_SURT} AS k FROM pages), s AS (SELECT page_id AS seed_id, d AS sd, regexp_extract(k, '^([^)]*\\))', 1) AS sk FROM i WHERE page_id % 25 = 0) SELECT page_id, seed_id FROM i JOIN s ON d = sd AND starts_with(k, sk)")
+@query(f"WITH i AS (SELECT page_id, d, {_SURT} AS k FROM {_KEYED}), s AS (SELECT min(page_id) AS seed_id, d AS sd, regexp_extract(k, '^([^)]*)', 1) AS sk FROM i WHERE k IS NOT NULL GROUP BY ALL) SELECT page_id, seed_id FROM i JOIN s ON d = sd AND starts_with(k, sk)")
 def joi_seed_prefix(t):
     index = t.pages.select("page_id", U.registered_domain(F.col("url")).alias("url_host_registered_domain"), U.surt(F.col("url")).alias("url_surtkey"))
-    seeds = index.where("page_id % 25 = 0").select(F.col("page_id").alias("id"), "url_host_registered_domain", F.regexp_extract("url_surtkey", r"^([^)]*\))", 1).alias("url_surtkey"))
-    return K.seed_lookup(index, seeds).select("page_id", "seed_id")
+    hosts = index.where("url_surtkey IS NOT NULL").groupBy("url_host_registered_domain", F.regexp_extract("url_surtkey", r"^([^)]*)", 1).alias("url_surtkey")).agg(F.min("page_id").alias("id"))
+    return K.seed_lookup(index, hosts).select("page_id", "seed_id")
 
 
-@query("SELECT page_id, url FROM pages WHERE url IN (SELECT url FROM pages WHERE page_id % 3 = 0)")
+@query(f"SELECT page_id, url FROM pages WHERE url IN (SELECT unnest({_LINKS}) FROM pages UNION SELECT regexp_replace(url, '\\?.*$', '') FROM pages)")
 def joi_next_lookup(t):
-    return K.next_lookup(t.pages.select("page_id", "url"), t.pages.where("page_id % 3 = 0"))
+    links = t.pages.select(F.explode(H.links(F.col("html"))).alias("url"))
+    plain = t.pages.select(F.regexp_replace("url", r"\?.*$", "").alias("url"))
+    return K.next_lookup(t.pages.select("page_id", "url"), links.unionByName(plain))
 
 
 @query(f"SELECT DISTINCT link AS url FROM (SELECT unnest({_LINKS}) AS link FROM pages) WHERE link NOT IN (SELECT url FROM pages)")
@@ -107,10 +112,10 @@ def joi_external_ids(t):
     return K.external_ids(pages, "event_id", time="ts").select("event_id", F.array_join(F.col("external_ids").cast("array<string>"), ",").alias("external_ids"))
 
 
-@query("SELECT o_orderkey, c_name, n_name FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1) JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal BETWEEN 0 AND 5000")
+@query("SELECT o_orderkey, c_name, n_name FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1) JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey")
 def joi_pre_dedup(t):
     one = t.orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
-    return one.join(t.customer.where("c_acctbal BETWEEN 0 AND 5000"), F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "c_name", "n_name")
+    return one.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "c_name", "n_name")
 
 
 _FILES = "SELECT p_partkey AS id, p_name || CASE p_size % 4 WHEN 0 THEN '.py' WHEN 1 THEN '.md' WHEN 2 THEN '.rs' ELSE '' END AS path, p_brand AS repo_name FROM part"
@@ -130,9 +135,9 @@ def flt_not_in(t):
     return t.customer.where(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
 def joi_anti(t):
-    return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return t.documents.join(t.labels, "doc_id", "left_anti").select("doc_id")
 
 
 @query("SELECT event_type, CASE WHEN event_type IN ('click', 'view') THEN event_type ELSE 'unknown' END AS kind, count(*)::BIGINT AS n FROM events GROUP BY ALL")
@@ -146,9 +151,13 @@ def agg_coverage(t):
     return t.events.groupBy("event_type").agg(F.count("*").alias("captures"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query()
+@query("SELECT event_type, sum(n)::BIGINT AS captures, sum(bytes)::BIGINT AS bytes, true AS near, '{' || string_agg('\"' || k || '\":' || n, ',' ORDER BY k) || '}' AS histogram FROM (SELECT event_type, strftime(ts, '%Y-%m') AS k, count(*) AS n, sum(user_id) AS bytes FROM events GROUP BY ALL) GROUP BY event_type")
 def agg_coverage_estimates(t):
-    return S.coverage(t.events, "event_type", F.col("user_id"), F.col("value"), F.date_format("ts", "yyyy-MM"))
+    """The estimate of distinct users lies within a tenth of their number."""
+    found = S.coverage(t.events, "event_type", F.col("user_id"), F.col("user_id"), F.date_format("ts", "yyyy-MM"))
+    exact = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("urls_estimate") - F.col("users")) <= 0.1 * F.col("users")
+    return found.join(exact, "event_type").select("event_type", "captures", "bytes", near.alias("near"), "histogram")
 
 
 @query("SELECT json_extract_string(props, '$.k') AS key, count(*)::BIGINT AS n FROM events GROUP BY ALL ORDER BY n DESC, key LIMIT 10")
@@ -192,10 +201,10 @@ def prj_depth(t):
     return t.events.select("event_id", K.depth_of(flavor).alias("depth"))
 
 
-@query("SELECT o_orderkey, l_linenumber FROM orders JOIN (SELECT l_orderkey, max(l_linenumber) AS l_linenumber FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-URGENT'")
+@query("SELECT o_orderkey, l_linenumber FROM orders JOIN (SELECT l_orderkey, max(l_linenumber) AS l_linenumber FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey")
 def agg_max_depth(t):
     most = t.lineitem.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("l_linenumber"))
-    return t.orders.where("o_orderpriority = '1-URGENT'").join(most, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "l_linenumber")
+    return t.orders.join(most, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "l_linenumber")
 
 
 @query("SELECT c_custkey, c_nationkey, round(level, 4) AS level FROM (SELECT c_custkey, c_nationkey, least(coalesce(min(CASE WHEN even <= c_acctbal THEN even END) OVER (PARTITION BY c_nationkey), max(c_acctbal) OVER (PARTITION BY c_nationkey)), c_acctbal) AS level FROM (SELECT *, (least(20000, total) - coalesce(sum(c_acctbal) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / (count(*) OVER (PARTITION BY c_nationkey) - row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) + 1) AS even FROM (SELECT c_custkey, c_nationkey, c_acctbal, sum(c_acctbal) OVER (PARTITION BY c_nationkey) AS total FROM customer WHERE c_acctbal > 0)))")

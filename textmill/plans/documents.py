@@ -108,23 +108,49 @@ def qlt_normalize(t):
 _LONG = P.sql_parameter("long_word")
 _CORE = f"{{'w': w, 'c': trim(w, {CHARS})}}"
 _BAD = "|".join(b.replace(".", "\\.") for b in Q.BAD_PARTS)
-_GOOD = f"x.w <> '' AND NOT regexp_matches(x.c, '{_BAD}') AND (lw = 0 OR length(x.w) <= lw OR length(x.c) BETWEEN 1 AND lw)"
+_CLEANED = ", ".join(f"'{k}'" for k in P.PARAMETERS if k not in P.KEEP_FRAGMENTS)
+_GOOD = f"x.w <> '' AND NOT (cleaned AND regexp_matches(x.c, '{_BAD}')) AND (lw = 0 OR length(x.w) <= lw OR length(x.c) BETWEEN 1 AND lw)"
 _CELL = f"array_to_string(list_transform(list_filter(list_transform(string_split(c, ' '), lambda w: {_CORE}), lambda x: {_GOOD}), lambda x: x.w), ' ')"
 
 
-@query(f"SELECT doc_id, array_to_string(list_filter(list_transform(string_split({_SPACES.format(strip_sql('text'))}, chr(10)), lambda l: array_to_string(list_filter(list_transform(string_split(l, chr(9)), lambda c: {_CELL}), lambda y: y <> ''), chr(9))), lambda y: y <> ''), chr(10)) AS text FROM (SELECT doc_id, text, {_LONG} AS lw FROM documents)")
+@query(f"SELECT doc_id, array_to_string(list_filter(list_transform(string_split({_SPACES.format(strip_sql('text'))}, chr(10)), lambda l: array_to_string(list_filter(list_transform(string_split(l, chr(9)), lambda c: {_CELL}), lambda y: y <> ''), chr(9))), lambda y: y <> ''), chr(10)) AS text FROM (SELECT doc_id, text, {_LONG} AS lw, lang IN ({_CLEANED}) AS cleaned FROM documents)")
 def qlt_repair(t):
     return t.documents.select("doc_id", Q.repair(F.col("text")).alias("text"))
 
 
-_HITS = {k: f"len(list_filter(w, lambda x: list_contains({v!r}, x)))" for k, v in P.STOPWORDS.items()}
-_VOTE = "SELECT doc_id, " + ", ".join(f"{h} AS {k}_n" for k, h in _HITS.items()) + f" FROM (SELECT doc_id, {WORDS} AS w FROM documents)"
+_LANGS = sorted(P.STOPWORDS)
 
 
-@query(f"SELECT doc_id, CASE WHEN t = 0 THEN 'unknown' WHEN de_n = m THEN 'de' WHEN en_n = m THEN 'en' WHEN es_n = m THEN 'es' ELSE 'fr' END AS lang, CASE WHEN t = 0 THEN 0 ELSE round(m::DOUBLE / t, 6) END AS score FROM (SELECT *, greatest(de_n, en_n, es_n, fr_n) AS m, de_n + en_n + es_n + fr_n AS t FROM ({_VOTE}))")
+def vote_sql(source: str, keys: str) -> str:
+    """(keys, lang, score) of source (keys, text): the language with the most stop words; of equals the first by name."""
+    hits = ", ".join(f"len(list_filter(w, lambda x: list_contains({P.STOPWORDS[k]!r}, x))) AS {k}_n" for k in _LANGS)
+    best = "CASE " + " ".join(f"WHEN {k}_n = m THEN '{k}'" for k in _LANGS) + " END"
+    return (
+        f"SELECT {keys}, CASE WHEN t = 0 THEN 'unknown' ELSE {best} END AS lang, CASE WHEN t = 0 THEN 0 ELSE round(m::DOUBLE / t, 6) END AS score FROM "
+        f"(SELECT *, greatest({', '.join(f'{k}_n' for k in _LANGS)}) AS m, {' + '.join(f'{k}_n' for k in _LANGS)} AS t FROM (SELECT {keys}, {hits} FROM (SELECT {keys}, {WORDS} AS w FROM ({source}))))"
+    )
+
+
+@query(vote_sql("SELECT doc_id, text FROM documents", "doc_id"))
 def qlt_language_vote(t):
-    v = Q.vote_language(T.words(F.col("text")))
-    return t.documents.select("doc_id", v.alias("v")).select("doc_id", "v.lang", F.round("v.score", 6).alias("score"))
+    return t.documents.select("doc_id", Q.vote_language(F.col("text")).alias("v")).select("doc_id", "v.lang", F.round("v.score", 6).alias("score"))
+
+
+@query(vote_sql("SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents", "doc_id, line"))
+def map_line_languages(t):
+    lines = t.documents.select("doc_id", F.posexplode(Q.language_info(F.col("text"))["lines"]).alias("line", "v"))
+    return lines.select("doc_id", F.col("line").cast("bigint").alias("line"), "v.lang", F.round("v.score", 6).alias("score"))
+
+
+_SCORED = vote_sql("SELECT doc_id, lang AS want, length(text) AS n, text FROM documents", "doc_id, want, n")
+
+
+@query(f"SELECT doc_id, coalesce(lang = want AND score >= {P.sql_parameter('lang_min', 'want')}, true) AS language_ok, round(pow(10.0::DOUBLE, n / 2000.0), 1) <= {P.sql_parameter('perplexity_max', 'want')} AS perplexity_ok FROM ({_SCORED})")
+def qlt_model_verdicts(t):
+    d = t.documents.withColumn("v", Q.vote_language(F.col("text")))
+    model = Q.perplexity(-F.length("text").cast("double"), F.lit(2000))  # the place of a language model's sum
+    ok = Q.model_checks(F.col("v.lang"), F.round("v.score", 6), model)
+    return d.select("doc_id", *[c.alias(n) for n, c in ok.items()])
 
 
 @query(f"SELECT lang, count(*)::BIGINT AS n, coalesce(sum(length(text)), 0)::BIGINT AS chars FROM documents GROUP BY lang")
@@ -157,13 +183,21 @@ def map_strip_substrings(t):
 _REF_WORDS = "list_filter(regexp_split_to_array(x, '[\\s\\x0b]+'), lambda y: y <> '')"
 
 
-@query(f"""SELECT doc_id, array_to_string(l[1:cut], chr(10)) AS text FROM (SELECT doc_id, l, coalesce(list_max(list_transform(range(1, len(l) + 1), lambda i: CASE WHEN ok[i] THEN i ELSE 0 END)), 0) AS cut FROM (
-SELECT doc_id, string_split(text, chr(10)) AS l, list_transform(string_split(text, chr(10)), lambda x: len(list_filter({_REF_WORDS}, lambda y: list_contains({P.STOPWORDS['en']!r}, y))) > len({_REF_WORDS}) * {C.REFERENCE_RATIOS['en']}::DOUBLE) AS ok FROM documents))""")
-def map_remove_references_en(t):
-    return C.apply("remove_references_en", t.documents).select("doc_id", "text")
+def _references_sql(lang: str) -> str:
+    words = f"list_filter(string_split_regex(x, '[\\s\\x0b\\x{{85}}\\p{{Z}}]+'), lambda y: y <> '')"
+    ok = f"len(list_filter({words}, lambda y: list_contains({P.STOPWORDS[lang]!r}, y))) > len({words}) * {C.REFERENCE_RATIOS[lang]}::DOUBLE"
+    if lang == "zh":
+        one = "".join(w for w in P.STOPWORDS["zh"] if len(w) == 1)
+        ok = f"length(x) - length(translate(x, '{one}', '')) > length(x) * {C.REFERENCE_RATIOS['zh']}::DOUBLE"
+    return f"""SELECT doc_id, array_to_string(l[1:cut], chr(10)) AS text FROM (SELECT doc_id, l, coalesce(list_max(list_transform(range(1, len(l) + 1), lambda i: CASE WHEN ok[i] THEN i ELSE 0 END)), 0) AS cut FROM (
+SELECT doc_id, string_split(text, chr(10)) AS l, list_transform(string_split(text, chr(10)), lambda x: {ok}) AS ok FROM documents))"""
 
 
-@query()
+for _lang in sorted(C.REFERENCE_RATIOS):
+    query(_references_sql(_lang), name=f"map_remove_references_{_lang}")(lambda t, k=_lang: C.apply(f"remove_references_{k}", t.documents).select("doc_id", "text"))
+
+
+@query("SELECT doc_id, regexp_replace(regexp_replace(text, '([.!?…][\"''”’»)\\]]*)[ \\t]+', '\\1' || chr(1), 'g'), chr(1) || '([^\\s]|$)', chr(10) || '\\1', 'g') AS text FROM documents")
 def map_split_sentences_en(t):
     return C.apply("split_sentences_en", t.documents).select("doc_id", "text")
 
@@ -207,17 +241,42 @@ _LINES_LEN = "list_transform(string_split(text, chr(10)), lambda x: length(x))"
 _TOK = "list_transform(list_filter(regexp_split_to_array(text, '[\\s\\x0b]+'), lambda x: x <> ''), lambda x: length(x)::DOUBLE)"
 
 
-@query(f"""SELECT doc_id, md5(regexp_replace(text, '[\\s\\x0b\\x{{85}}\\p{{Z}}]+', '', 'g')) AS hash, round(list_avg({_LINES_LEN}), 6) AS line_mean, list_max({_LINES_LEN})::INT AS line_max,
+@query(f"""SELECT doc_id, md5(regexp_replace(text, '[\\s\\x0b\\x{{85}}\\p{{Z}}]+', '', 'g')) AS hash, round(list_avg({_LINES_LEN}), 6) AS line_mean, list_max({_LINES_LEN})::INT AS line_max, CASE WHEN length(text) = 0 THEN 0 ELSE round((length(text) - length(regexp_replace(text, '[\\p{{L}}\\p{{Nd}}]', '', 'g')))::DOUBLE / length(text), 6) END AS alpha_frac,
 regexp_matches(lower(array_to_string(string_split(text, chr(10))[1:5], chr(10))), 'auto-generated|autogenerated|automatically generated') AS autogenerated FROM documents""")
 def map_code_stats(t):
     s = C.code_stats(F.col("text"))
-    return t.documents.select("doc_id", *[s[k].alias(k) for k in ("hash", "line_mean", "line_max", "autogenerated")])
+    return t.documents.select("doc_id", *[s[k].alias(k) for k in ("hash", "line_mean", "line_max", "alpha_frac", "autogenerated")])
+
 
+_ODD_SHARE = "CASE WHEN length(text) = 0 THEN 1 ELSE 1 - (length(text) - length(regexp_replace(text, '[\\p{L}\\p{Nd}_]', '', 'g')))::DOUBLE / length(text) END"
+_LICENCE = "CASE source WHEN 'src0' THEN 'gpl-3.0' WHEN 'src1' THEN 'lgpl-2.1' ELSE 'mit' END"
+_CODE_OK = {
+    "token_length_ok": f"coalesce(list_stddev_pop({_TOK}), 0) > 3",
+    "length_ok": "length(text) > 100 AND length(text) < 200000",
+    "special_ok": f"{_ODD_SHARE} > 0.15 AND {_ODD_SHARE} < 0.65",
+    "longest_line_ok": f"list_max({_LINES_LEN}) > 20 AND list_max({_LINES_LEN}) < 1000",
+    "licence_ok": f"{_LICENCE} = 'mit'",
+}
+
+
+def _licence():
+    return F.when(F.col("source") == "src0", "gpl-3.0").when(F.col("source") == "src1", "lgpl-2.1").otherwise("mit")
 
-@query(f"""SELECT doc_id, coalesce(list_stddev_pop({_TOK}), 0) > 3 AS token_length_ok, length(text) > 100 AND length(text) < 200000 AS length_ok, list_max({_LINES_LEN}) > 20 AND list_max({_LINES_LEN}) < 1000 AS longest_line_ok FROM documents""")
+
+@query("SELECT doc_id, " + ", ".join(f"({c}) AS {n}" for n, c in _CODE_OK.items()) + " FROM documents")
 def flt_code_heuristics(t):
-    f = C.code_filters(F.col("text"))
-    return t.documents.select("doc_id", *[f[k].alias(k) for k in ("token_length_ok", "length_ok", "longest_line_ok")])
+    f = C.code_filters(F.col("text"), _licence())
+    return t.documents.select("doc_id", *[c.alias(k) for k, c in f.items()])
+
+
+@query("SELECT doc_id FROM documents WHERE " + " AND ".join(f"({c})" for c in _CODE_OK.values()))
+def flt_code_by_all(t):
+    return C.by_all(t.documents, C.code_filters(F.col("text"), _licence())).select("doc_id")
+
+
+@query(f"SELECT doc_id FROM documents QUALIFY list_max({_LINES_LEN}) <= 1000 AND row_number() OVER (PARTITION BY regexp_replace(text, '[\\s\\x0b\\x{{85}}\\p{{Z}}]+', '', 'g') ORDER BY doc_id) = 1")
+def flt_code_unique(t):
+    return C.unique_files(t.documents).select("doc_id")
 
 
 # Deduplication
@@ -379,7 +438,7 @@ def smp_round_robin(t):
 def smp_contiguous(t):
     from ..operators.crawl import dense_ids
 
-    rows = dense_ids(t.documents.select("doc_id"), "doc_id", "row").crossJoin(F.broadcast(t.documents.agg(F.count("*").alias("n"))))
+    rows = dense_ids(t.documents, "doc_id", "row").crossJoin(F.broadcast(t.documents.agg(F.count("*").alias("n"))))
     return rows.select("doc_id", M.contiguous(F.col("row"), F.col("n"), 7).alias("shard"))
 
 
@@ -424,12 +483,20 @@ def agg_percentile_clip(t):
     return S.percentile_clip(t.documents.select("doc_id", "n_chars"), "n_chars").select("doc_id")
 
 
-@query("WITH m AS (SELECT median(n_chars) AS m FROM documents), d AS (SELECT median(abs(n_chars - m)) AS d FROM documents, m) SELECT doc_id FROM documents, m, d WHERE d = 0 OR abs(n_chars - m) <= 3 * d")
+_CLIPPED = "WITH m AS (SELECT median(n_chars) AS m FROM documents), d AS (SELECT median(abs(n_chars - m)) AS d FROM documents, m), k AS (SELECT doc_id, n_chars::DOUBLE AS v FROM documents, m, d WHERE m = 0 OR abs(n_chars - m) < 9 * d)"
+
+
+@query(f"{_CLIPPED} SELECT doc_id FROM k")
 def agg_mad_clip(t):
     return S.without_outliers(t.documents.select("doc_id", "n_chars"), "n_chars").select("doc_id")
 
 
-@query("SELECT least(floor(n_chars / 500), 19)::INT AS bin, count(*)::BIGINT AS n FROM documents WHERE n_chars BETWEEN 0 AND 10000 GROUP BY ALL")
+@query(f"{_CLIPPED}, e AS (SELECT min(v) AS lo, max(v) AS hi FROM k) SELECT least(floor(CASE WHEN hi = lo THEN 0 ELSE (v - lo) * 50 / (hi - lo) END), 49)::INT AS bin, count(*)::BIGINT AS n FROM k, e GROUP BY ALL")
+def agg_clipped_histogram(t):
+    return S.clipped_histogram(t.documents, "n_chars")
+
+
+@query("SELECT CASE WHEN n_chars < 0 THEN -1 WHEN n_chars > 10000 THEN 20 ELSE least(floor(n_chars / 500), 19) END::INT AS bin, count(*)::BIGINT AS n FROM documents GROUP BY ALL")
 def agg_histogram(t):
     return S.histogram(t.documents, "n_chars", 0, 10000, 20)
 
@@ -464,11 +531,11 @@ def prj_lengths(t):
     return t.documents.select("doc_id", F.octet_length("text").alias("len"))
 
 
-@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS id FROM documents")
+@query("SELECT doc_id, lang, length(text) AS n, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS id FROM documents")
 def prj_dense_ids(t):
     from ..operators.crawl import dense_ids
 
-    return dense_ids(t.documents.select("doc_id"), "doc_id")
+    return dense_ids(t.documents, "doc_id").select("doc_id", "lang", F.length("text").alias("n"), "id")
 
 
 @query(f"SELECT doc_id, CASE lang {' '.join(f'WHEN {lit_sql(k)} THEN {lit_sql(v)}' for k, v in P.LANGUAGE_NAMES.items())} END AS language FROM documents")
