@@ -7,43 +7,30 @@ prior whose concentration is estimated from all groups of that level by the
 method of moments.  A page is kept if the lower bound of its host's posterior is
 high enough; a host without labels has its domain's prior, and so on up.
 
-All of it is joins and sums of counts by host; the three concentrations and the
-overall rate are one row.
+Outcomes are summed by host once, into a written table; the three levels are
+aggregates of it, and the three concentrations and the overall rate are one row.
+The bound is the normal one, which is rough for hosts of fewer than about five
+labels.
 
 Defined results: a null URL or one without a host has null bounds and is not
 kept; labels without a page, and null labels, count for nothing; a page with
-several labels counts each; without any label every host has the rate 1/2 and
-the widest prior.  Columns beyond those named are ignored.
+several labels counts each, and a repeated page row counts its labels once more;
+URLs of any length are read whole; without any label every host has the rate 1/2
+and the widest prior.  Columns beyond those named are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Public suffixes of two labels; any other suffix is the last label.  A fuller list is a parameter.
-SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "ne.jp", "com.br", "com.cn", "com.mx", "com.ar", "co.in", "co.za", "co.kr", "com.tr", "com.tw")
+from ..functions import urls as U
+from .exchange import cut
+
 LEAST, Z = 0.5, 1.645
 _MOST_RHO, _LEAST_RHO = 0.999, 0.0001
 
 
-def host(url: Column) -> Column:
-    found = F.regexp_extract(F.lower(url), r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:@]+)", 1)
-    return F.when(found != "", F.regexp_replace(found, r"\.+$", ""))
-
-
-def suffix(host: Column, suffixes=SUFFIXES) -> Column:
-    two = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    return F.when(two.isin(*suffixes), two).otherwise(F.regexp_extract(host, r"([^.]+)$", 1))
-
-
-def domain(host: Column, suffixes=SUFFIXES) -> Column:
-    two = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    three = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
-    found = F.when(two.isin(*suffixes), three).otherwise(two)
-    return F.when(found != "", found).otherwise(host)
-
-
 def _concentration(groups: DataFrame, name: str) -> DataFrame:
     """One row: the concentration of the prior that groups (n, s, centre) share."""
     sums = groups.agg(
@@ -58,32 +45,34 @@ def _concentration(groups: DataFrame, name: str) -> DataFrame:
     return sums.select(((1 - rho) / rho).alias(name))
 
 
-def host_reputation(pages: DataFrame, labels: DataFrame, least: float = LEAST, z: float = Z, suffixes=SUFFIXES, page_id: str = "page_id", label_id: str = "doc_id") -> DataFrame:
+def host_reputation(pages: DataFrame, labels: DataFrame, least: float = LEAST, z: float = Z, page_id: str = "page_id", label_id: str = "doc_id") -> DataFrame:
     """(page_id, host, domain, suffix, labelled, mean, lower, keep) of every page.
 
     A label is good if its quality is 1 and its toxic is 0.  Means and bounds are
     rounded to nine digits.
     """
-    at = host(F.col("url"))
-    urls = pages.select(F.col(page_id).alias("page_id"), at.alias("host"), domain(at, suffixes).alias("domain"), suffix(at, suffixes).alias("suffix"))
+    urls = pages.select(F.col(page_id).alias("page_id"), U.host(F.col("url")).alias("host"))
     good = ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("bigint")
     outcomes = labels.select(F.col(label_id).alias("page_id"), good.alias("good")).where("good IS NOT NULL")
-    hosts = urls.where("host IS NOT NULL").join(outcomes, "page_id").groupBy("host", "domain", "suffix").agg(F.count("*").alias("n"), F.sum("good").alias("s"))
+    counts = urls.where("host IS NOT NULL").join(outcomes, "page_id").groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("s"))
+    hosts = cut(counts.select("host", U.domain_of(F.col("host")).alias("domain"), U.public_suffix(F.col("host")).alias("suffix"), "n", "s"))
     whole = hosts.agg(((F.coalesce(F.sum("s"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).alias("p0"))
 
     by_suffix = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).crossJoin(F.broadcast(whole)).withColumnRenamed("p0", "centre")
+    by_suffix = cut(by_suffix)
     k0 = _concentration(by_suffix, "k0")
-    of_suffix = by_suffix.crossJoin(F.broadcast(k0)).select("suffix", ((F.col("s") + F.col("k0") * F.col("centre")) / (F.col("n") + F.col("k0"))).alias("suffix_mean"))
+    of_suffix = cut(by_suffix.crossJoin(F.broadcast(k0)).select("suffix", ((F.col("s") + F.col("k0") * F.col("centre")) / (F.col("n") + F.col("k0"))).alias("suffix_mean")))
 
-    by_domain = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).join(of_suffix, "suffix").withColumnRenamed("suffix_mean", "centre")
+    by_domain = cut(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).join(of_suffix, "suffix").withColumnRenamed("suffix_mean", "centre"))
     k1 = _concentration(by_domain, "k1")
-    of_domain = by_domain.crossJoin(F.broadcast(k1)).select("domain", ((F.col("s") + F.col("k1") * F.col("centre")) / (F.col("n") + F.col("k1"))).alias("domain_mean"))
+    of_domain = cut(by_domain.crossJoin(F.broadcast(k1)).select("domain", ((F.col("s") + F.col("k1") * F.col("centre")) / (F.col("n") + F.col("k1"))).alias("domain_mean")))
 
     by_host = hosts.join(of_domain, "domain").withColumnRenamed("domain_mean", "centre")
     k2 = _concentration(by_host, "k2")
 
+    urls = urls.withColumns({"domain": U.domain_of(F.col("host")), "suffix": U.public_suffix(F.col("host"))})
     known = urls.join(hosts.select("host", "n", "s"), "host", "left").join(of_domain, "domain", "left").join(of_suffix, "suffix", "left")
-    wide = known.crossJoin(F.broadcast(whole.crossJoin(k2)))
+    wide = known.crossJoin(F.broadcast(cut(whole.crossJoin(k2))))
     prior = F.coalesce("domain_mean", "suffix_mean", "p0")
     a = F.col("k2") * prior + F.coalesce("s", F.lit(0))
     b = F.col("k2") * (1 - prior) + F.coalesce("n", F.lit(0)) - F.coalesce("s", F.lit(0))
@@ -95,18 +84,14 @@ def host_reputation(pages: DataFrame, labels: DataFrame, least: float = LEAST, z
     )
 
 
-_TWO = ", ".join(f"'{s}'" for s in SUFFIXES)
-
-
 def _k(groups: str, name: str) -> str:
     return f"""SELECT (1 - rho) / rho AS {name} FROM (SELECT coalesce(least(greatest(CASE WHEN n - n2 / n - (g - 1) > 0 THEN (q - (g - 1)) / (n - n2 / n - (g - 1)) ELSE {_LEAST_RHO} END, {_LEAST_RHO}), {_MOST_RHO}), {_LEAST_RHO}) AS rho
   FROM (SELECT sum(pow(s / n - centre, 2) * n / (centre * (1 - centre))) AS q, count(*) AS g, sum(n) AS n, sum(n * n) AS n2 FROM {groups}))"""
 
 
 ORACLE = rf"""
-WITH u0 AS (SELECT page_id, nullif(regexp_replace(regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.+$', ''), '') AS host FROM pages),
-u AS (SELECT page_id, host, regexp_extract(host, '([^.]+\.[^.]+)$', 1) AS two, regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS three, regexp_extract(host, '([^.]+)$', 1) AS one FROM u0),
-urls AS (SELECT page_id, host, CASE WHEN host IS NULL THEN NULL ELSE coalesce(nullif(CASE WHEN two IN ({_TWO}) THEN three ELSE two END, ''), host) END AS domain, CASE WHEN two IN ({_TWO}) THEN two ELSE one END AS suffix FROM u),
+WITH u AS (SELECT page_id, nullif(regexp_replace(regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.+$', ''), '') AS host FROM pages),
+urls AS (SELECT page_id, host, {U.sql_suffix("host")[1]} AS domain, {U.sql_suffix("host")[0]} AS suffix FROM u),
 hosts AS (SELECT host, domain, suffix, count(*)::DOUBLE AS n, sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END)::DOUBLE AS s FROM urls JOIN labels ON page_id = doc_id WHERE host IS NOT NULL AND (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY ALL),
 whole AS (SELECT (coalesce(sum(s), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS p0 FROM hosts),
 by_suffix AS (SELECT suffix, sum(n) AS n, sum(s) AS s, any_value(p0) AS centre FROM hosts, whole GROUP BY suffix),

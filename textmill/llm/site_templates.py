@@ -29,9 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.urls import host
 from . import words as W
 from .exchange import binary, blobs, bucket, buckets, cut
-from .host_reputation import host
 
 LEAST_PAGES = 5
 #: Occurrences that a worker gathers before it sends them to the buckets.
