@@ -11,13 +11,17 @@ neighbours and one pass without a shuffle decides.  The lower bounds of the four
 languages lie between what the vocabularies make of running text (articles of
 pages, which are not documents) and of the same words between symbols, in
 capitals or as cells of tables; those of scripts, for text of unknown language,
-are wide.  A text may lack ODD characters at a lower bound, so that a short one
-with a secret or an identifier stays.
+are wide.  A text may lack ODD characters at a lower bound or have them beyond an
+upper one, and FELL of its pieces may be bytes, so that a short one with a secret,
+an identifier or a sign stays.  A text of n tokens can have log2(n) bits at most,
+so the bound on entropy is that share of log2(n) which it is of FULL tokens' up to
+there.  All of this holds at every length; nothing is accepted unmeasured.
 
 Defined results: a null, empty or white text has no tokens; its measures are
-null and it is rejected as ``no_tokens``.  Texts of fewer than MIN_TOKENS tokens
-are too short to measure and are accepted.  A null language goes by script.
-Other columns are ignored.
+null and it is rejected as ``no_tokens``.  A null language goes by script; rows
+that repeat are measured each; a text however long is one text.  Of several
+reasons the first in the order of ``verdict`` is named.  Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ from . import units as U
 from . import words as W
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
-MIN_TOKENS, ODD = 64, 64
+ODD, FELL, FULL = 64, 4, 64
 #: least and most characters per token (byte-level, piece), most byte-fallback share, least entropy in bits
 BANDS = {
     "en": (2.48, 7.5, 2.45, 7.0, 0.05, 4.75),
@@ -123,20 +127,22 @@ def verdict(bands: dict, lang: str = "lang"):
     """Reason of rejection as a column, null for accepted documents."""
     keys = F.create_map(*[x for k, v in bands.items() for x in (F.lit(k), F.array(*map(F.lit, map(float, v))))])
     band = F.coalesce(keys[F.col(lang)], keys[F.concat(F.lit("script:"), F.col("script"))], keys[F.lit("script:other")])
-    short = F.col("n_tokens") < MIN_TOKENS
+    full = F.least(F.log2(F.col("n_tokens")) / float(np.log2(FULL)), F.lit(1.0))
 
     def low(per: str, n: str, least):
         return F.col(per) < least - F.lit(float(ODD)) / F.col(n)
 
+    def high(per: str, n: str, most):
+        return F.col(per) > most + F.lit(float(ODD)) / F.col(n)
+
     return (
         F.when(F.col("chars_per_token").isNull(), "no_tokens")
-        .when(short, F.lit(None))
-        .when(F.col("fallback_share") > band[4], "byte_fallback")
-        .when(F.col("token_entropy") < band[5], "entropy_low")
+        .when(F.col("fallback_share") > band[4] + F.lit(float(FELL)) / F.col("n_pieces"), "byte_fallback")
+        .when(F.col("token_entropy") < band[5] * full - 1e-9, "entropy_low")
         .when(low("chars_per_token", "n_tokens", band[0]), "chars_per_token_low")
-        .when(F.col("chars_per_token") > band[1], "chars_per_token_high")
+        .when(high("chars_per_token", "n_tokens", band[1]), "chars_per_token_high")
         .when(low("chars_per_piece", "n_pieces", band[2]), "chars_per_piece_low")
-        .when(F.col("chars_per_piece") > band[3], "chars_per_piece_high")
+        .when(high("chars_per_piece", "n_pieces", band[3]), "chars_per_piece_high")
     )
 
 
