@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, list_array, pack6, release, unpack6
 
-LENGTH, Q = 50, 25
+LENGTH, Q = 50, 12
 _TOP = np.uint64(W._M)
 _LAST = np.iinfo(np.int64).max
 _TWICE = np.int64(1 << 62)
