@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import crawl, documents  # noqa: F401 - they register their queries
+from .plans import crawl, documents, metadata  # noqa: F401 - they register their queries
 from .registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "qlt_document_metrics"
