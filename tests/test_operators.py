@@ -7,9 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from textmill import config
 from textmill.functions import lineage, urls
 from textmill.functions import text as T
-from textmill.operators import cleaning, crawl, dedup, html, mixing, neardup, pii, quality
+from textmill.operators import cleaning, crawl, dedup, html, metadata, mixing, neardup, pii, quality
 from textmill.sources import readers, writers
 from textmill.streaming import stream
 
@@ -212,7 +213,7 @@ def test_metrics_equal_the_columns(spark):
             assert r.n_words is None and r.special_ratio is None and r.word_repetition is None
             continue
         assert r.n_words == len(r.words) and r.special_ratio == pytest.approx(r.special)
-    assert rows[1].stopword_ratio == pytest.approx(4 / 6) and rows[0].stopword_ratio == 0.0
+    assert rows[1].stopword_ratio == pytest.approx(4 / 7) and rows[0].stopword_ratio == 0.0
     assert quality.filter_documents(df.limit(0)).count() == 0
     assert quality.words_of("a\tb c") == ["a", "b", "c"]
 
@@ -254,3 +255,88 @@ def test_the_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
     table = lineage.written(spark.range(3))
     assert table.count() == 3
     lineage.release(table)
+
+
+def test_personal_data_has_its_places(spark):
+    text = "a.b@c.example.org wrote @me to a.b@c.example.org (x)"
+    row = pii.run_pii(spark.createDataFrame([(1, text), (2, None)], "doc_id int, text string")).orderBy("doc_id").first()
+    places = json.loads(row.regex_metadata)
+    assert [text[m["start"] : m["end"]] for m in places] == [m["match"] for m in places]
+    assert sorted(m["start"] for m in places if m["tag"] == "EMAIL") == [0, 31]
+    assert pii.only_modified(pii.run_pii(spark.createDataFrame([(1, text), (2, "plain")], "doc_id int, text string"))).count() == 1
+
+
+def test_metadata_of_all_kinds(spark):
+    metas = ['{"a": 1, "b": null}', "{'a': None, 'b': ['x', 1]}", "not a dict", None, "__import__('os').getcwd()", "[1]"]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(metas)], "id int, meta string").select("id", metadata.parse_meta(F.col("meta")).alias("m")).orderBy("id")
+    got = [r.m for r in df.collect()]
+    assert got == [{"a": "1", "b": None}, {"a": None, "b": '["x", 1]'}, None, None, None, None]
+    docs = spark.createDataFrame([("t", None, 5)], "text string, meta string, n int")
+    out = metadata.folded(docs, F.lit("src"), default={"k": "v"}).first()
+    assert json.loads(out.meta) == {"k": "v", "n": "5", "source_dataset": "src"} and out.text == "t"
+    assert metadata.processes(-1, 8) == 8
+    with pytest.raises(ValueError):
+        metadata.processes(9, 8)
+
+
+def test_plug_ins_add_columns(spark):
+    class Length(metadata.Preprocessor):
+        columns = "n int"
+
+        def preprocess(self, batch):
+            return batch.assign(n=batch["text"].str.len())
+
+    assert [r.n for r in metadata.preprocessed(spark.createDataFrame([("ab",), ("",)], "text string"), Length()).collect()] == [2, 0]
+
+
+def test_shards_and_lists_keep_the_order(spark, tmp_path):
+    df = spark.range(20).selectExpr("19 - id AS id", "concat('t', id) AS text").repartition(3)
+    writers.round_robin_shards(df, f"{tmp_path}/rr", "id", 8)
+    rows = spark.read.json(f"{tmp_path}/rr").collect()
+    assert {(r.id % 8, r.shard) for r in rows} == {(k, f"0{k}-of-08") for k in range(8)} and len(rows) == 20
+    writers.aligned_columns(df, f"{tmp_path}/two", "id", "text")
+    ids = [r.value for r in spark.read.text(f"{tmp_path}/two/id.csv").select("value").collect()]
+    assert sorted(map(int, ids)) == list(range(20))
+    for k, body in enumerate(("n\nb\na\n", "n\nz\n")):
+        (tmp_path / f"l{k}.csv").write_text(body)
+    got = readers.listed(spark, [f"{tmp_path}/l1.csv", f"{tmp_path}/l0.csv"], "n string", "n").orderBy("row").collect()
+    assert [(r.row, r.value) for r in got] == [(0, "z"), (1, "b"), (2, "a")]
+    assert [r.id for r in readers.row_range(df, "id", 5, 8).orderBy("id").collect()] == [5, 6, 7]
+    with pytest.raises(Exception):
+        readers.one_seed(df.selectExpr("id AS seed_id"), 3).collect()
+
+
+def test_pages_of_records(spark):
+    def record(body, kind="text/html"):
+        return gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\nHTTP/1.1 200 OK\r\nContent-Type: " + kind.encode() + b"\r\n\r\n" + body)
+
+    rows = [(1, record("<meta charset=cp1251><p>да".encode("cp1251")), "text/html"), (2, record(b"caf\xe9"), "text/html"), (3, record("é".encode()), "text/html"), (4, None, "text/html"), (5, b"junk", "text/html")]
+    df = readers.with_html(spark.createDataFrame(rows, "id int, compressed_warc binary, content_mime_detected string")).orderBy("id").collect()
+    assert df[0].html_str.endswith("да") and df[1].html_str == "café" and df[2].html_str == "é" and df[3].html_str is None and df[4].html_error
+
+
+def test_job_settings(tmp_path):
+    (tmp_path / "job.yaml").write_text("# near copies\ninput: /a\noutput: '/b'\nwindow_size: 4  # words\nlowercase: no\n")
+    job = config.load(str(tmp_path / "job.yaml"))
+    assert (job.input, job.output, job.window_size, job.lowercase, job.num_blocks) == ("/a", "/b", 4, False, 5)
+    (tmp_path / "bad.yaml").write_text("input: a\noutput: b\nwindows: 3\n")
+    with pytest.raises(ValueError):
+        config.load(str(tmp_path / "bad.yaml"))
+
+
+def test_crawl_expansion_by_depth(spark):
+    index = spark.createDataFrame([("a", ["b", "c"]), ("b", ["d", "a"]), ("c", []), ("d", ["e"]), ("e", [])], "url string, external_urls array<string>")
+    got = {r.url: r.depth for r in crawl.expand(index.where("url = 'a'"), index, 2).collect()}
+    assert got == {"a": 0, "b": 1, "c": 1, "d": 2}
+
+
+def test_streams_count_by_window_and_forget(spark, tmp_path):
+    rows = pd.DataFrame({"doc_id": [1, 2, 3], "text": ["x", "x", "y"], "lang": ["en", "en", "fr"], "ts": pd.to_datetime(["2024-01-01 00:10", "2024-01-01 00:20", "2024-01-01 05:00"])})
+    spark.createDataFrame(rows).write.parquet(f"{tmp_path}/in")
+    source = stream.documents(spark, f"{tmp_path}/in", "doc_id bigint, text string, lang string, ts timestamp")
+    stream.write(stream.first_texts(source, "ts"), f"{tmp_path}/out", f"{tmp_path}/s1").awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+    stream.write(stream.counts(source, "ts", "lang"), f"{tmp_path}/n", f"{tmp_path}/s2").awaitTermination(120)
+    assert {(r.lang, r.n) for r in spark.read.parquet(f"{tmp_path}/n").collect()} == {("en", 2)}
+    stream.write_shuffled(source, f"{tmp_path}/sh", f"{tmp_path}/s3", 2).awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_path}/sh").count() == 2

@@ -51,7 +51,7 @@ def parse_meta(meta: Column) -> Column:
 
     Values that are no text are JSON.
     """
-    return F.coalesce(F.try_parse_json(meta).cast(MAP), _literals(meta))
+    return F.coalesce(F.try_variant_get(F.try_parse_json(meta), "$", MAP), _literals(meta))
 
 
 def literal_meta(meta: Column) -> Column:

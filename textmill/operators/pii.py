@@ -64,19 +64,38 @@ def detect(c: Column, tags=ACTIVE) -> Column:
     return F.flatten(F.array(*map(tagged, tags)))
 
 
+def spans(c: Column, found: Column) -> Column:
+    """array<struct<tag, match, start, end>>: every place (characters from 0) at which a matched string stands, by tag and string in their order."""
+
+    def places(m: Column) -> Column:
+        quoted = F.concat(F.lit(r"\Q"), F.replace(m["match"], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+        parts = F.split(c, quoted)
+        before = F.transform(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))), F.length)
+        width = F.length(m["match"])
+        starts = F.transform(before, lambda _, i: F.aggregate(F.slice(before, F.lit(1), i + 1), F.lit(0), lambda a, n: a + n) + i * width)
+        return F.transform(starts, lambda s: F.struct(m["tag"].alias("tag"), m["match"].alias("match"), s.alias("start"), (s + width).alias("end")))
+
+    return F.flatten(F.transform(F.array_distinct(found), places))
+
+
 def redact(c: Column, found: Column) -> Column:
     """The text with every occurrence of every matched string replaced by its tag."""
     return F.aggregate(found, c, lambda t, m: F.replace(t, m["match"], F.concat(F.lit("PI:"), m["tag"])))
 
 
 def run_pii(df: DataFrame, text: str = "text", tags=ACTIVE) -> DataFrame:
-    """df with text redacted, old_text, modified, and regex_metadata (the matches as JSON)."""
+    """df with text redacted, old_text, modified, and regex_metadata (the matches and where they stand in old_text, as JSON)."""
     found = df.withColumn("__found", detect(F.col(text), tags)).withColumnRenamed(text, "old_text")
     out = found.withColumn(text, redact(F.col("old_text"), F.col("__found")))
-    out = out.withColumn("modified", ~F.col("old_text").eqNullSafe(F.col(text))).withColumn("regex_metadata", F.to_json("__found"))
+    out = out.withColumn("modified", ~F.col("old_text").eqNullSafe(F.col(text))).withColumn("regex_metadata", F.to_json(spans(F.col("old_text"), F.col("__found"))))
     return out.drop("__found")
 
 
+def only_modified(df: DataFrame) -> DataFrame:
+    """Rows that a redaction changed."""
+    return df.where("modified")
+
+
 def anonymize(c: Column, rules: dict[str, str], condition: Column | None = None) -> Column:
     """Own rules: each match becomes `` <TAG> `` where the condition holds; without a condition nothing is replaced."""
     if condition is None:

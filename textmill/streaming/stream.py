@@ -25,6 +25,20 @@ def first_texts(df: DataFrame, time: str | None = None, delay: str = "1 day") ->
     return keyed.withWatermark(time, delay).dropDuplicatesWithinWatermark(["key"]).drop("key")
 
 
+def shuffled(df: DataFrame, id_col: str = "doc_id", seed: int = 42, buffer: int = 10_000):
+    """For foreachBatch: each batch, of as many rows as the files it holds, in the order of a hash; ``buffer`` bounds what write_shuffled sorts at once."""
+    return df.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(buffer)
+
+
+def write_shuffled(df: DataFrame, path: str, checkpoint: str, first: int, id_col: str = "doc_id", seed: int = 42):
+    """The first rows, in shuffled order, of every batch of files."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        shuffled(rows, id_col, seed, first).write.mode("append").parquet(path)
+
+    return df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def counts(df: DataFrame, time: str, by: str, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """Rows per window and group; late rows beyond the delay are dropped."""
     return df.withWatermark(time, delay).groupBy(F.window(time, window), by).agg(F.count("*").alias("n"))
