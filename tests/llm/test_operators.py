@@ -472,6 +472,72 @@ def test_table_draws_follow_the_stirling_law():
         assert (t == k).mean() == pytest.approx(w / total, abs=0.015)
 
 
+def test_log_probabilities_against_a_direct_chain(spark):
+    order, burn_in, sweeps, seed = 3, 1, 3, 5
+    texts = ["abab cab", "abab cab", "", "bca", "aé b" * 5]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in hpy.pitman_yor_perplexity(df, order, 0.7, 1.0, burn_in, sweeps, seed).collect()}
+    # The same chain without Spark: all n-grams in dictionaries, one process.
+    count = collections.Counter()
+    for t in texts:
+        x = [2] * (order - 1) + [ord(c) for c in t] + [3]
+        count.update(tuple(x[i : i + order]) for i in range(len(x) - order + 1))
+    shards = {}
+    for v in sorted({g[-2] for g in count}):
+        rows = np.array(sorted((g for g in count if g[-2] == v), key=lambda g: g[::-1]), np.uint32)
+        shards[v] = (rows, hpy.Shard(rows, np.array([count[tuple(map(int, r))] for r in rows]), np.zeros(len(rows)), 0.7, 1.0))
+    rng, root, d, strength = np.random.default_rng(seed), hpy.Root(0.7, 1.0), [0.7] * 2, [1.0] * 2
+    customers = collections.Counter()
+    for v, w in {g[-2:] for g in count}:
+        customers[w] += 1
+    total = {v: np.zeros(len(rows)) for v, (rows, _) in shards.items()}
+    for number in range(burn_in + sweeps):
+        base, rest = root.sweep(dict(customers), rng)
+        assert sum(base.values()) + rest == pytest.approx(1)
+        sums, customers = [np.zeros(5) for _ in range(2)], collections.Counter()
+        for v, (rows, s) in shards.items():
+            own = np.random.default_rng([seed, number, v])
+            s.base, s.d, s.strength = np.array([base.get(int(r[-1]), rest) for r in rows]), d, strength
+            s.sweep(own)
+            if number >= burn_in:
+                total[v] += s.predictive()[0]
+            for k, (r, _) in enumerate(s.levels):
+                c, t = np.bincount(r, s.c[k]).astype(int), np.bincount(r, s.t[k]).astype(int)
+                sums[k] += [*hpy.strength_sums(c, t, d[k], strength[k], own), len(c), (s.c[k] == 1).sum(), (s.c[k] == 2).sum()]
+            for i, n in zip(s.top, s.t[-1]):
+                customers[int(rows[i][-1])] += int(n)
+        strength = []
+        for x in sums:
+            strength.append(hpy.draw_strength(x[0], int(x[1]), int(x[2]), rng))
+        d = [hpy.counted_discount(int(x[3]), int(x[4])) for x in sums]
+    p = {tuple(map(int, g)): total[v][i] / sweeps for v, (rows, _) in shards.items() for i, g in enumerate(rows)}
+    for k, t in enumerate(texts):
+        x = [2] * (order - 1) + [ord(c) for c in t] + [3]
+        want = sum(np.log(p[tuple(x[i : i + order])]) for i in range(len(x) - order + 1))
+        assert got[k].log_prob == pytest.approx(want, rel=1e-5) and got[k].perplexity == pytest.approx(np.exp(-want / (len(t) + 1)), rel=1e-5)
+
+
+def test_strengths_are_drawn_near_the_one_that_seated(spark):
+    rng, d, strength = np.random.default_rng(3), 0.3, 4.0
+    c, t = [], []
+    for _ in range(400):  # restaurants whose customers each bring a dish of their own table or sit down by the process
+        tables = []
+        for n in range(30):
+            new = rng.random() < (strength + d * len(tables)) / (strength + n)
+            if new:
+                tables.append(1)
+            else:
+                w = np.array(tables) - d
+                tables[rng.choice(len(tables), p=w / w.sum())] += 1
+        c.append(30)
+        t.append(len(tables))
+    drawn, now = [], 1.0
+    for _ in range(60):
+        now = hpy.draw_strength(*hpy.strength_sums(np.array(c), np.array(t), d, now, rng), len(c), rng)
+        drawn.append(now)
+    assert np.mean(drawn[20:]) == pytest.approx(strength, rel=0.15)
+
+
 def test_perplexity_separates_held_out_kinds(spark, docs, clashing, none):
     rng = random.Random(2)
     plain = lambda: " ".join(rng.choice(["sun", "moon", "star", "sky"]) for _ in range(60))

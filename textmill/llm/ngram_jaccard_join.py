@@ -11,16 +11,18 @@ The steps, none of which compares all documents with all:
    the ones that more than one document has, with their counts.  A document
    whose repeated n-grams are fewer than t |Q| has no partner and is done;
 2. documents with equal sets become one class: a row, however many copies it has;
-3. groups are the classes of equal minimum hash; large ones are cut in parts by
-   hash, which the bound allows because any partition into groups is exact;
+3. groups are the classes of equal minimum hash; those of more than GROUP n-grams
+   are cut in parts by hash, which the bound allows because any partition into
+   groups is exact;
 4. the prefix of Q in order of rising count (|Q| - ceil(t |Q|) + 1 n-grams)
    meets the groups' prefix unions: pairs (Q, group) with nothing in common
    there can't reach t;
 5. each remaining query of another group is bounded by |Q n union(group)| with
    the stored union alone;
-6. the members of the groups that qualify are shuffled and counted exactly.  A
-   task returns a row for each class it found a partner of - how many documents
-   it is linked to there, and one class of its component - not a row per pair;
+6. the members of the groups that qualify, or that have several, are shuffled and
+   counted exactly.  A task returns a row for each class it found a partner of -
+   how many documents it is linked to there, and one class of its component - not
+   a row per pair;
 7. classes that are linked, directly or through others, get one class id.
 
 Every document is a query; there is no cap on partners, and every link between
@@ -43,7 +45,9 @@ from pyspark.sql import functions as F
 from . import words as W
 from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, pack6, release, unpack6
 
-N, THRESHOLD, GROUP, QUERIES = 3, 0.55, 1024, 4096
+N, THRESHOLD, GROUP, QUERIES = 3, 0.55, 2_000_000, 8192
+#: Rows of a few numbers that are broadcast (some 20 MB); with more the join is a shuffle.
+SLIM = 500_000
 #: Stands for a null id inside, so that it comes last.
 _LAST = np.iinfo(np.int64).max
 
@@ -124,7 +128,7 @@ SUSPECT = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("size", p
 
 
 def _suspects(t: float):
-    """Of one chunk: the documents with t |Q| repeated n-grams or more, rarest first."""
+    """Of one chunk: the documents with t |Q| repeated n-grams or more, rarest first; of equal sets the first has the n-grams."""
 
     def run(table: pa.Table) -> pa.Table:
         seen = table["seen"].to_pylist()
@@ -145,33 +149,69 @@ def _suspects(t: float):
         h, many = h[order], np.where(open_, many, 0)
         at, which = np.concatenate([[0], np.cumsum(many)]), np.flatnonzero(open_)
         parts = [h[at[i] : at[i + 1]] for i in which]
-        return pa.table([ids[which], version[which], size[which], sig[which], np.array([int(p.min()) for p in parts], np.uint64).astype(np.int64), pa.array([binary(p) for p in parts], pa.binary())], schema=SUSPECT)
+        lead = np.zeros(len(which), bool)
+        lead[np.unique(sig[which], return_index=True)[1]] = True
+        return pa.table([ids[which], version[which], size[which], sig[which], np.array([int(p.min()) for p in parts], np.uint64).astype(np.int64), pa.array([binary(p) if x else None for p, x in zip(parts, lead)], pa.binary())], schema=SUSPECT)
 
     return run
 
 
-def _prefixes(t: float):
-    """(token, class, group, size) for each n-gram of a class's prefix."""
+def _once(batches):
+    """Rows of classes that this partition has not had yet."""
+    seen: set[int] = set()
+    for batch in batches:
+        new = []
+        for sig in batch.column("sig").to_pylist():
+            new.append(sig not in seen)
+            seen.add(sig)
+        yield batch.filter(pa.array(new, pa.bool_()))
+
+
+MATRIX = pa.schema([("grp", pa.int64()), ("near", pa.int64()), ("sig", pa.int64()), ("size", pa.int64()), ("copies", pa.int64()), ("tokens", pa.binary())])
+
+
+def _matrix(sets: pa.Table, classes: pa.Table) -> pa.Table:
+    """Of one group: a row for each class, and one without a class that has the union of their n-grams."""
+    if not sets.num_rows:
+        return MATRIX.empty_table()
+    tokens = dict(zip(sets["sig"].to_pylist(), sets["tokens"].to_pylist()))
+    sig = classes["sig"].to_pylist()
+    union = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in tokens.values()]))
+    rows = pa.table([classes["grp"], classes["near"], classes["sig"], classes["size"], classes["copies"], pa.array([tokens[x] for x in sig], pa.binary())], schema=MATRIX)
+    head = pa.table([classes["grp"][:1], classes["near"][:1], pa.array([None], pa.int64()), pa.array([len(union)]), pa.array([len(sig)]), pa.array([binary(union)], pa.binary())], schema=MATRIX)
+    return pa.concat_tables([head, rows])
+
+
+def _slim(table: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, broadcast while its rows are counted to be SLIM at most: then the n-grams that it meets needn't be shuffled for it."""
+    return F.broadcast(table) if table.count() <= SLIM else table
+
+
+def _prefixes(t: float, index: bool):
+    """(token, class, group, size) for each n-gram of a class's prefix; for the index (token, group, least size, greatest size)."""
 
     def run(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             size, tokens = batch.column("size").to_numpy(), blobs(batch.column("tokens"), np.int64)
             many = np.array([len(x) for x in tokens], np.int64)
             # The n-grams that no other document has come first in the order and need no probe.
             take = np.clip(size - least_overlap(size, t) + 1 - (size - many), 0, many)
-            if batch.num_rows:
-                yield pa.record_batch(
-                    [pa.array(np.concatenate([x[:k] for x, k in zip(tokens, take)]))]
-                    + [pa.array(np.repeat(batch.column(c).to_numpy(), take)) for c in ("sig", "grp", "size")],
-                    ["token", "sig", "grp", "size"],
-                )
+            token, grp, size = np.concatenate([x[:k] for x, k in zip(tokens, take)]), np.repeat(batch.column("grp").to_numpy(), take), np.repeat(size, take)
+            if not index:
+                yield pa.record_batch([token, np.repeat(batch.column("sig").to_numpy(), take), grp, size], ["token", "sig", "grp", "size"])
+                continue
+            order = np.lexsort((size, grp, token))
+            token, grp, size = token[order], grp[order], size[order]
+            new = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (grp[1:] != grp[:-1]))) if len(token) else np.zeros(0, np.int64)
+            last = np.append(new[1:], len(token))[: len(new)] - 1
+            yield pa.record_batch([token[new], grp[new], size[new], size[last]], ["token", "to", "least", "most"])
 
     return run
 
 
-def _union(t: pa.Table) -> pa.Table:
-    """The matrix row of one group: the union of its members' n-grams."""
-    return pa.table({"grp": t["grp"].slice(0, 1), "union": pa.array([binary(np.unique(np.concatenate(blobs(t["tokens"], np.uint64))))], pa.binary())})
+QUALIFIED = pa.schema([("grp", pa.int64()), ("sig", pa.int64()), ("size", pa.int64()), ("copies", pa.int64()), ("tokens", pa.binary())])
 
 
 def _bound(t: float):
@@ -179,12 +219,12 @@ def _bound(t: float):
 
     def run(union: pa.Table, queries: pa.Table) -> pa.Table:
         if not union.num_rows or not queries.num_rows:
-            return pa.schema([("sig", pa.int64()), ("grp", pa.int64())]).empty_table()
+            return QUALIFIED.empty_table()
         have, open_ = blobs(union["union"], np.uint64)[0], []
         for size, q in zip(queries["size"].to_pylist(), blobs(queries["tokens"], np.uint64)):
             at = np.minimum(np.searchsorted(have, q), len(have) - 1)
             open_.append(int((have[at] == q).sum()) >= least_overlap(size, t))
-        return queries.select(["sig", "grp"]).filter(pa.array(open_))
+        return queries.select(QUALIFIED.names).filter(pa.array(open_)).cast(QUALIFIED)
 
     return run
 
@@ -196,7 +236,7 @@ def _verify(t: float):
     """Of one opened group: (class, a class of its component, linked documents) for each class with a partner."""
 
     def run(members: pa.Table, queries: pa.Table) -> pa.Table:
-        if not members.num_rows or not queries.num_rows:
+        if not members.num_rows:
             return LINK.empty_table()
         tokens = blobs(members["tokens"], np.uint64)
         union, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
@@ -204,26 +244,33 @@ def _verify(t: float):
         order = np.argsort(inverse, kind="stable")
         owner, at = owner[order], np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(union)))])
         msig, msize, mcopies = members["sig"].to_numpy(), members["size"].to_numpy(), members["copies"].to_numpy()
-        qsig, qcopies = queries["sig"].to_numpy(), queries["copies"].to_numpy()
+        qsig, qsize, qcopies = queries["sig"].to_numpy(), queries["size"].to_numpy(), queries["copies"].to_numpy()
         every, place = np.unique(np.concatenate([msig, qsig]), return_inverse=True)
         mine, theirs = place[: len(msig)], place[len(msig) :]
         links, root = np.zeros(len(every), np.int64), np.arange(len(every))
-        for i, (size, own, q) in enumerate(zip(queries["size"].to_pylist(), queries["own"].to_pylist(), blobs(queries["tokens"], np.uint64))):
+
+        def ask(q: np.ndarray, sig: int, size: int, copies: int, me: int, own: bool) -> None:
             pos = np.minimum(np.searchsorted(union, q), len(union) - 1)
             hit = pos[union[pos] == q]
             if len(hit) < least_overlap(size, t):
-                continue
+                return
             first, many = at[hit], at[hit + 1] - at[hit]
             ends = np.cumsum(many)
             both = np.bincount(owner[np.arange(ends[-1]) - np.repeat(ends - many - first, many)], minlength=len(tokens))
-            good = np.flatnonzero((both / (size + msize - both) >= t - 1e-12) & ((msig > qsig[i]) if own else True))
+            good = np.flatnonzero((both / (size + msize - both) >= t - 1e-12) & ((msig > sig) if own else True))
             if not len(good):
-                continue
-            links[theirs[i]] += mcopies[good].sum()
-            links[mine[good]] += qcopies[i]
-            roots = np.unique(root[np.append(mine[good], theirs[i])])
+                return
+            links[me] += mcopies[good].sum()
+            links[mine[good]] += copies
+            roots = np.unique(root[np.append(mine[good], me)])
             if len(roots) > 1:
                 root[np.isin(root, roots)] = roots[0]
+
+        # A group's own members ask too, each in the task of its salt.
+        for i in np.flatnonzero(members["asks"].to_numpy(zero_copy_only=False)):
+            ask(tokens[i], msig[i], msize[i], mcopies[i], mine[i], True)
+        for i, q in enumerate(blobs(queries["tokens"], np.uint64)):
+            ask(q, qsig[i], qsize[i], qcopies[i], theirs[i], False)
         found = np.flatnonzero(links)
         return pa.table([every[found], every[root[found]], links[found]], schema=LINK)
 
@@ -242,40 +289,50 @@ def classes_and_links(df: DataFrame, n: int = N, threshold: float = THRESHOLD, i
     sent = docs.mapInArrow(_send(n, many), "bucket bigint, chunk bigint, h binary, per binary")
     back = sent.groupBy("bucket").applyInArrow(_repeated(many), "bucket bigint, chunk bigint, h binary, per binary, seen binary")
     suspects = cut(back.groupBy("chunk").applyInArrow(_suspects(threshold), "doc_id bigint, version bigint, size bigint, sig bigint, near bigint, tokens binary"))
-    classes = cut(
-        suspects.groupBy("sig").agg(F.first("size").alias("size"), F.first("near").alias("near"), F.first("tokens").alias("tokens"), F.count("*").alias("copies"), F.min("doc_id").alias("least"))
-    )
-    parts = classes.groupBy("near").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    reps = classes.join(parts, "near").select("sig", "size", "copies", "tokens", F.xxhash64("near", F.pmod("sig", "parts")).alias("grp"))
-    probes = reps.mapInArrow(_prefixes(threshold), "token bigint, sig bigint, grp bigint, size bigint")
-    index = probes.groupBy("token", "grp").agg(F.min("size").alias("least"), F.max("size").alias("most")).withColumnRenamed("grp", "to")
+    classes = cut(suspects.groupBy("sig", "near", "size").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least")))
+    # Most minimum hashes have one part; only those with more are looked up.
+    parts = classes.groupBy("near").agg(F.ceil(F.sum("size") / GROUP).alias("parts")).where("parts > 1")
+    parts = _slim(cut(parts))
+
+    def in_groups(rows: DataFrame) -> DataFrame:
+        return rows.join(parts, "near", "left").withColumn("grp", F.xxhash64("near", F.pmod("sig", F.coalesce("parts", F.lit(1))))).drop("parts")
+
+    sets = suspects.where("tokens IS NOT NULL").select("sig", "near", "tokens").mapInArrow(_once, "sig bigint, near bigint, tokens binary")
+    matrix = cut(in_groups(sets).groupBy("grp").cogroup(in_groups(classes).groupBy("grp")).applyInArrow(_matrix, "grp bigint, near bigint, sig bigint, size bigint, copies bigint, tokens binary"))
+    reps = matrix.where("sig IS NOT NULL")
+    unions = matrix.where("sig IS NULL").select(F.col("grp").alias("grp"), F.col("copies").alias("members"), F.col("tokens").alias("union"))
+    probes = reps.select("sig", "grp", "size", "tokens").mapInArrow(_prefixes(threshold, False), "token bigint, sig bigint, grp bigint, size bigint")
+    # The index is made of what each batch has once, so only the join's own exchange is needed.
+    index = reps.select("grp", "size", "tokens").mapInArrow(_prefixes(threshold, True), "token bigint, to bigint, least bigint, most bigint").repartition("token").groupBy("token", "to").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     probed = cut(
         probes.join(index, "token")
-        .where((F.col("grp") <= F.col("to")) & (F.col("least") * threshold <= F.col("size") + 1e-9) & (F.col("size") * threshold <= F.col("most") + 1e-9))
-        .select("sig", F.col("to").alias("grp"), (F.col("grp") == F.col("to")).alias("own"))
+        .where((F.col("grp") < F.col("to")) & (F.col("least") * threshold <= F.col("size") + 1e-9) & (F.col("size") * threshold <= F.col("most") + 1e-9))
+        .select("sig", F.col("to").alias("grp"))
         .distinct()
     )
 
-    def salted(queries: DataFrame) -> DataFrame:
+    def salted(counts: DataFrame) -> DataFrame:
         """(grp, salts): a group that draws many queries is opened in several tasks, with what they need in each."""
-        return queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
+        return counts.select("grp", F.ceil(F.col("queries") / QUERIES).cast("int").alias("salts"))
 
-    def routed(queries: DataFrame, salts: DataFrame) -> DataFrame:
-        at = queries.join(salts, "grp").select("sig", "grp", "own", F.pmod(F.xxhash64("sig"), F.col("salts")).cast("int").alias("salt"))
-        return at.join(reps.select("sig", "size", "copies", "tokens"), "sig").groupBy("grp", "salt")
+    def salt(sig: str, salts: str):
+        return F.pmod(F.xxhash64(sig), F.col(salts)).cast("int")
 
     every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-    foreign = probed.where("NOT own")
-    salts = salted(foreign)
-    unions = reps.join(salts, "grp", "left_semi").groupBy("grp").applyInArrow(_union, "grp bigint, union binary").join(salts, "grp").select("grp", every, "union")
-    qualify = unions.groupBy("grp", "salt").cogroup(routed(foreign, salts)).applyInArrow(_bound(threshold), "sig bigint, grp bigint")
-    open_ = cut(probed.where("own").select("sig", "grp", "own").unionByName(qualify.select("sig", "grp", F.lit(False).alias("own"))))
+    salts = _slim(cut(salted(probed.groupBy("grp").agg(F.count("*").alias("queries")))))
+    queries = reps.select("sig", "size", "copies", "tokens").join(_slim(cut(probed.join(salts, "grp").select("sig", "grp", salt("sig", "salts").alias("salt")))), "sig")
+    stored = unions.select("grp", "union").join(salts, "grp").select("grp", every, "union")
+    open_ = cut(stored.groupBy("grp", "salt").cogroup(queries.groupBy("grp", "salt")).applyInArrow(_bound(threshold), "grp bigint, sig bigint, size bigint, copies bigint, tokens binary"))
     release(probed)
-    alone = open_.groupBy("grp").agg(F.bool_and("own").alias("alone")).join(reps.groupBy("grp").agg(F.count("*").alias("members")), "grp").where("NOT alone OR members > 1").select("grp")
-    salts = salted(open_.join(alone, "grp", "left_semi"))
-    members = reps.join(salts, "grp").select("grp", every, "sig", "size", "copies", "tokens")
-    links = cut(members.groupBy("grp", "salt").cogroup(routed(open_, salts)).applyInArrow(_verify(threshold), "sig bigint, other bigint, links bigint"))
+    # Groups of several members, and those that qualified for a query of another group.
+    asked = open_.groupBy("grp").agg(F.count("*").alias("asked"))
+    opened = unions.select("grp", "members").join(asked, "grp", "left").where("members > 1 OR asked > 0")
+    salts = _slim(cut(salted(opened.select("grp", (F.col("members") + F.coalesce("asked", F.lit(0))).alias("queries")))))
+    members = reps.join(salts, "grp").select("grp", every, "sig", "size", "copies", "tokens", salt("sig", "salts").alias("home")).withColumn("asks", F.col("home") == F.col("salt")).drop("home")
+    asking = open_.join(salts, "grp").select("grp", salt("sig", "salts").alias("salt"), "sig", "size", "copies", "tokens")
+    links = cut(members.groupBy("grp", "salt").cogroup(asking.groupBy("grp", "salt")).applyInArrow(_verify(threshold), "sig bigint, other bigint, links bigint"))
     release(open_)
+    release(matrix)
     return suspects.select("doc_id", "version", "sig"), classes.select("sig", "copies", "least"), links
 
 

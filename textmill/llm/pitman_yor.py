@@ -9,33 +9,42 @@ up to the empty context, which all share, over a uniform base.
    to hash buckets, which add them up.  All of every text is counted.
 2. Seating: contexts that end alike share all their parents but the empty one,
    so the last character of a context is the shard, and a shard holds its
-   restaurants of every length.  Gibbs sweeps draw the number of tables of each
+   restaurants of every length.  A Gibbs sweep draws the number of tables of each
    dish in each restaurant from its conditional, given the other dishes' tables
    and the parent's predictive probability (generalised Stirling numbers count
    the seatings; customers beyond EXACT are seated after the others, in blocks of
-   a BLOCK-th of those who sit already).  Dishes of a restaurant take turns in two halves.  Each
-   table sends one customer to the parent.  The empty context's customers are
-   the shards' tables: a row per character of the alphabet.
-3. Predictive probabilities are averaged over the sweeps after burn-in.
-4. Scoring: chunks send how often each of their documents has each n-gram, the
+   a BLOCK-th of those who sit already).  Dishes of a restaurant take turns in two
+   halves.  Each table sends one customer to the parent.
+3. The empty context is part of the same chain: after each sweep the shards'
+   tables, a row per shard and character of the alphabet, are its customers, its
+   own tables are drawn, and its probabilities are the base of the next sweep.
+   So are the strengths of each length, drawn from their conditional by auxiliary
+   variables; discounts follow the counts of dishes of one and two customers.
+   A sweep reads the shards' states from the table of the sweep before and writes
+   the next, so a lost executor costs a part of one sweep.
+4. Predictive probabilities are averaged over the SWEEPS sweeps after burn-in.
+5. Scoring: chunks send how often each of their documents has each n-gram, the
    bucket joins the probabilities, and a sum per document comes back.
 
 Defined results: documents are padded, and their end is predicted too, so a null
 or empty text has one event; repeated rows are counted and scored each; a null
-id stays null.  Other columns are ignored.
+id stays null; a text however long is scored as one.  Ids must be integers or
+castable to them.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut
+from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, release
 
-ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, EXACT, BLOCK = 5, 0.75, 1.0, 2, 4, 29, 48, 20
+ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, EXACT, BLOCK = 5, 0.75, 1.0, 4, 10, 29, 48, 20
 _PAD, _END = 0x2, 0x3
 
 
@@ -99,6 +108,8 @@ def _merge_counts(order: int):
 
 
 _STIRLING: dict[float, np.ndarray] = {}
+#: Discounts are rounded to such steps, so that tables of Stirling numbers are few.
+_STEP = 0.01
 
 
 def stirling(d: float) -> np.ndarray:
@@ -147,8 +158,9 @@ def draw_tables(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float,
 class Shard:
     """Restaurants of all contexts that end with one character, of lengths order - 1 to 1."""
 
-    def __init__(self, rows: np.ndarray, count: np.ndarray, base: np.ndarray, d: float, strength: float):
-        self.d, self.strength, n = d, strength, rows.shape[1]
+    def __init__(self, rows: np.ndarray, count: np.ndarray, base: np.ndarray, d, strength):
+        n = rows.shape[1]
+        self.d, self.strength = (np.broadcast_to(np.asarray(x, float), n - 1) for x in (d, strength))  # longest context first
         self.base = base  # probability of each leaf's symbol under the empty context
         self.levels = []  # (restaurant of each dish, parent dish of each dish)
         leaf = np.arange(len(rows))
@@ -174,7 +186,7 @@ class Shard:
             rest, up = self.levels[k]
             c, t = np.bincount(rest, self.c[k]), np.bincount(rest, self.t[k])
             parent = self.base[self.top] if up is None else out[k + 1][up]
-            out[k] = (self.c[k] - self.d * self.t[k] + (self.strength + self.d * t[rest]) * parent) / (self.strength + c[rest])
+            out[k] = (self.c[k] - self.d[k] * self.t[k] + (self.strength[k] + self.d[k] * t[rest]) * parent) / (self.strength[k] + c[rest])
         return out
 
     def sweep(self, rng: np.random.Generator) -> None:
@@ -185,59 +197,104 @@ class Shard:
             for turn in (half, ~half):
                 total = np.bincount(rest, self.t[k])[rest]
                 i = np.flatnonzero(turn)
-                self.t[k][i] = draw_tables(self.c[k][i], total[i] - self.t[k][i], parent[i], self.d, self.strength, rng)
+                self.t[k][i] = draw_tables(self.c[k][i], total[i] - self.t[k][i], parent[i], self.d[k], self.strength[k], rng)
             if up is not None:
                 self.c[k + 1] = np.bincount(up, self.t[k]).astype(np.int64)
 
 
-def _shard(t: pa.Table, base: dict, rest: float, d: float, strength: float, order: int) -> Shard:
-    rows = np.concatenate(blobs(t["gram"], np.uint32)).reshape(-1, order)
-    order_ = np.lexsort(rows.T)
-    rows, count = rows[order_], t["count"].to_numpy()[order_]
-    sym, inverse = np.unique(rows[:, -1], return_inverse=True)
-    return rows, Shard(rows, count, np.array([base.get(int(s), rest) for s in sym])[inverse], d, strength)
+def strength_sums(c: np.ndarray, t: np.ndarray, d: float, strength: float, rng: np.random.Generator) -> tuple[float, int]:
+    """Of restaurants with c customers at t tables: the auxiliary sums from which a strength with a gamma prior is drawn."""
+    some = c > 1
+    log_x = float(np.log(np.maximum(rng.beta(strength + 1, c[some] - 1), 1e-300)).sum())
+    # Of every table but a restaurant's first, whether it opened for the strength and not for the discount.
+    more = np.bincount(t[t > 0])[::-1].cumsum()[::-1][2:]  # more[i - 1]: restaurants with more than i tables
+    i = np.arange(1, len(more) + 1)
+    return log_x, int(rng.binomial(more, strength / (strength + d * i)).sum())
+
+
+def draw_strength(log_x: float, opened: int, restaurants: int, rng: np.random.Generator) -> float:
+    """Gamma(1, 1) prior; each restaurant's first table opens for the strength."""
+    return float(np.clip(rng.gamma(1 + opened, 1 / (1 - log_x)), 0.01, 1e4)) if restaurants else STRENGTH
+
+
+def counted_discount(ones: int, twos: int) -> float:
+    """The discount that counts of counts suggest."""
+    return float(np.clip(round(ones / max(ones + 2 * twos, 1) / _STEP) * _STEP, 0.05, 0.95)) if ones else DISCOUNT
 
 
-def _tables(base, rest, d, strength, order, sweeps, seed):
+def _start(order: int):
+    """The state of one shard before the first sweep."""
+
     def run(t: pa.Table) -> pa.Table:
-        rows, s = _shard(t, base, rest, d, strength, order)
-        rng = np.random.default_rng([seed, int(rows[0, -2])])
-        for _ in range(sweeps):
-            s.sweep(rng)
-        return pa.table({"symbol": rows[s.top, -1].astype(np.int64), "tables": s.t[-1].astype(np.int64)})
+        rows = np.concatenate(blobs(t["gram"], np.uint32)).reshape(-1, order)
+        by = np.lexsort(rows.T)
+        rows, count = rows[by], t["count"].to_numpy()[by]
+        s = Shard(rows, count, np.zeros(len(rows)), DISCOUNT, STRENGTH)
+        state = {"levels": [(r.astype(np.int32), None if u is None else u.astype(np.int32)) for r, u in s.levels], "c": s.c, "t": s.t, "h": _hash_rows(rows), "symbol": rows[s.top, -1].astype(np.int64), "total": np.zeros(len(rows))}
+        return pa.table({"shard": t["shard"][:1], "state": pa.array([pickle.dumps(state, 5)], pa.binary())})
 
     return run
 
 
-def _average(base, rest, d, strength, order, burn_in, sweeps, seed, many):
-    def run(t: pa.Table) -> pa.Table:
-        rows, s = _shard(t, base, rest, d, strength, order)
-        rng = np.random.default_rng([seed + 1, int(rows[0, -2])])
-        total = np.zeros(len(rows))
-        for k in range(burn_in + sweeps):
-            s.sweep(rng)
-            if k >= burn_in:
-                total += s.predictive()[0]
-        h = _hash_rows(rows)
-        return pa.table({"bucket": bucket(h, many), "h": h.astype(np.int64), "lp": np.log(total / sweeps)})
+SWEPT = "shard bigint, state binary, symbols array<bigint>, tables array<bigint>, log_x array<double>, opened array<bigint>, restaurants array<bigint>, ones array<bigint>, twos array<bigint>"
+
+
+def _sweep(base: dict, rest: float, d: list, strength: list, seed: int, number: int, keep: bool):
+    """The state of each shard after one more sweep, and what the empty context and the parameters need of it."""
+
+    def run(batches):
+        for batch in batches:
+            for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("state").to_pylist()):
+                state, rng = pickle.loads(blob), np.random.default_rng([seed, number, shard])
+                s = Shard.__new__(Shard)
+                s.levels, s.c, s.t, s.d, s.strength = state["levels"], state["c"], state["t"], d, strength
+                s.base, s.top = np.array([base.get(x, rest) for x in state["symbol"].tolist()]), slice(None)
+                s.sweep(rng)
+                if keep:
+                    state["total"] += s.predictive()[0]
+                sums = []
+                for k, (r, _) in enumerate(s.levels):
+                    c, t = np.bincount(r, s.c[k]).astype(np.int64), np.bincount(r, s.t[k]).astype(np.int64)
+                    sums.append((*strength_sums(c, t, d[k], strength[k], rng), len(c), int((s.c[k] == 1).sum()), int((s.c[k] == 2).sum())))
+                out = [[x] for x in ([*map(list, zip(*sums))])]
+                yield pa.record_batch([pa.array([shard]), pa.array([pickle.dumps(state, 5)], pa.binary()), pa.array([state["symbol"].tolist()]), pa.array([s.t[-1].tolist()], pa.list_(pa.int64())), *(pa.array(x) for x in out)], [x.split()[0] for x in SWEPT.split(", ")])
+
+    return run
+
+
+def _model(sweeps: int, many: int):
+    """Averaged log probability of every n-gram."""
+
+    def run(batches):
+        for batch in batches:
+            for blob in batch.column("state").to_pylist():
+                state = pickle.loads(blob)
+                yield pa.record_batch([pa.array(bucket(state["h"], many)), pa.array(state["h"].astype(np.int64)), pa.array(np.log(state["total"] / sweeps))], ["bucket", "h", "lp"])
 
     return run
 
 
-def _root(customers: dict, d: float, strength: float, rng: np.random.Generator, draws: int) -> tuple[dict, float]:
-    """Averaged predictive probability of each symbol under the empty context, and of one never seen."""
-    sym = sorted(customers)
-    c = np.array([customers[s] for s in sym], np.int64)
-    v = len(sym) + 1
-    t, p, unseen = np.minimum(c, 1), np.zeros(len(sym)), 0.0
-    for _ in range(draws):
+class Root:
+    """The restaurant of the empty context, over a uniform base of the alphabet and one character more."""
+
+    def __init__(self, d: float, strength: float):
+        self.d, self.strength, self.t = d, strength, {}
+
+    def sweep(self, customers: dict[int, int], rng: np.random.Generator) -> tuple[dict[int, float], float]:
+        """Draw its tables and strength; its probability of each symbol, and of one never seen."""
+        sym = sorted(customers)
+        c = np.array([customers[x] for x in sym], np.int64)
+        v = len(sym) + 1
+        t = np.clip(np.array([self.t.get(x, 1) for x in sym], np.int64), np.minimum(c, 1), c)
         half = rng.random(len(c)) < 0.5
         for turn in (half, ~half):
-            t[turn] = draw_tables(c[turn], t.sum() - t[turn], np.full(turn.sum(), 1 / v), d, strength, rng)
-        more = (strength + d * t.sum()) / v
-        p += (c - d * t + more) / (strength + c.sum())
-        unseen += more / (strength + c.sum())
-    return dict(zip(sym, (p / draws).tolist())), unseen / draws
+            t[turn] = draw_tables(c[turn], t.sum() - t[turn], np.full(turn.sum(), 1 / v), self.d, self.strength, rng)
+        self.t = dict(zip(sym, t.tolist()))
+        log_x, opened = strength_sums(np.array([c.sum()]), np.array([t.sum()]), self.d, self.strength, rng)
+        self.strength = draw_strength(log_x, opened, 1, rng)
+        more = (self.strength + self.d * t.sum()) / v
+        p = (c - self.d * t + more) / (self.strength + c.sum())
+        return dict(zip(sym, p.tolist())), float(more / (self.strength + c.sum()))
 
 
 _COLUMNS = ["bucket", "chunk", "h", "per", "gram", "freq"]
@@ -328,15 +385,24 @@ def pitman_yor_perplexity(df: DataFrame, order: int = ORDER, discount: float = D
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sent = docs.select("text").mapInArrow(_send_counts(order, many), "bucket bigint, gram binary, count binary")
     counts = cut(sent.groupBy("bucket").applyInArrow(_merge_counts(order), "gram binary, shard bigint, symbol bigint, count bigint"))
-    rng = np.random.default_rng(seed)
-    # The empty context: a number per character of the alphabet, first the contexts that each follows, then the shards' tables.
-    first = {r[0]: r[1] for r in counts.groupBy("symbol").agg(F.countDistinct("shard")).collect()}
-    base, rest = _root(first, discount, strength, rng, burn_in + sweeps)
-    seated = counts.groupBy("shard").applyInArrow(_tables(base, rest, discount, strength, order, burn_in, seed), "symbol bigint, tables bigint")
-    customers = {r[0]: r[1] for r in seated.groupBy("symbol").agg(F.sum("tables")).collect()}
-    base, rest = _root(customers, discount, strength, rng, burn_in + sweeps)
-    model = counts.groupBy("shard").applyInArrow(_average(base, rest, discount, strength, order, burn_in, sweeps, seed, many), "bucket bigint, h bigint, lp double")
-    model = cut(model)
+    rng, root = np.random.default_rng(seed), Root(discount, strength)
+    ds, strengths = [discount] * (order - 1), [strength] * (order - 1)
+    # To the driver come numbers per shard and character of the alphabet: first the contexts that each character follows, then the shards' tables.
+    customers = {r[0]: r[1] for r in counts.groupBy("symbol").agg(F.countDistinct("shard")).collect()}
+    state = cut(counts.groupBy("shard").applyInArrow(_start(order), "shard bigint, state binary"))
+    release(counts)
+    for number in range(burn_in + sweeps):
+        base, rest = root.sweep(customers, rng) if customers else ({}, 1.0)
+        before, state = state, cut(state.select("shard", "state").mapInArrow(_sweep(base, rest, ds, strengths, seed, number, number >= burn_in), SWEPT))
+        release(before)
+        customers = {r[0]: r[1] for r in state.select(F.explode(F.arrays_zip("symbols", "tables")).alias("z")).groupBy("z.symbols").agg(F.sum("z.tables")).collect()}
+        names, levels = ("log_x", "opened", "restaurants", "ones", "twos"), range(order - 1)
+        sums = state.agg(*[F.sum(F.col(x)[k]) for k in levels for x in names]).first()
+        for k in levels:
+            log_x, opened, restaurants, ones, twos = (x or 0 for x in sums[k * len(names) : (k + 1) * len(names)])
+            strengths[k], ds[k] = draw_strength(log_x, opened, restaurants, rng), counted_discount(ones, twos)
+    model = cut(state.mapInArrow(_model(sweeps, many), "bucket bigint, h bigint, lp double"))
+    release(state)
     entries = docs.mapInArrow(_send_documents(order, many), "bucket bigint, chunk bigint, h binary, per binary, gram binary, freq binary")
     sums = entries.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(_score(many), "bucket bigint, chunk bigint, a binary, b binary, c binary")
     return sums.groupBy("chunk").applyInArrow(_add, "doc_id bigint, events bigint, log_prob double, perplexity double")

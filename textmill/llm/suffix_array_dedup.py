@@ -232,7 +232,9 @@ def _names(back: pa.Table) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint64), *parts])
 
 
-def _send_pairs(step: int, many: int):
+def _send_pairs(step: int, many: int, last: bool):
+    """Distinct pairs of identifiers by range; with the last refinement each says who is its chunk's first, before that only whether the chunk has it twice."""
+
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -240,18 +242,38 @@ def _send_pairs(step: int, many: int):
                 x, y, order, rank, new = s.pairs(step)
                 if not len(x):
                     continue
+                # The range is the row's; the rank in it and the identifier ahead make the key.
+                key = np.stack([x & np.uint64((1 << 40) - 1), y & np.uint64(0xFFFFFFFF), y >> np.uint64(32)], 1).astype(np.uint32)
+                if not last:
+                    yield pa.record_batch(_packed(s.c, (x >> np.uint64(40)).astype(np.int64), many, key, (np.bincount(rank) > 1).astype(np.uint8)), ["bucket", "chunk", "a", "b"])
+                    continue
                 # The first by (doc_id, chunk, document, position) speaks for the chunk.
                 by = np.lexsort((s.pos[order], s.doc[order], s.ids[s.doc[order]], rank))
                 lead = order[by[new]]
                 place = s.doc[lead].astype(np.int64) << 32 | s.pos[lead]
                 who = np.stack([s.ids[s.doc[lead]], place | (np.bincount(rank) > 1).astype(np.int64) * _TWICE], 1)
-                # The range is the row's; the rank in it and the identifier ahead make the key.
-                key = np.stack([x & np.uint64((1 << 40) - 1), y & np.uint64(0xFFFFFFFF), y >> np.uint64(32)], 1).astype(np.uint32)
                 yield pa.record_batch(_packed(s.c, (x >> np.uint64(40)).astype(np.int64), many, key, who), ["bucket", "chunk", "a", "b"])
 
     return run
 
 
+def _rank(t: pa.Table) -> pa.Table:
+    """Sort one range on (identifier, identifier ahead): new ranks, 0 for a pair that occurs once."""
+    parts = [x.reshape(-1, 3) for x in blobs(t["a"], np.uint32)]
+    key = np.concatenate(parts).astype(np.uint64)
+    x, y = key[:, 0], key[:, 1] | key[:, 2] << np.uint64(32)
+    del key
+    order = np.lexsort((y, x))
+    new = np.ones(len(order), bool)
+    new[1:] = (x[order[1:]] != x[order[:-1]]) | (y[order[1:]] != y[order[:-1]])
+    group = np.cumsum(new) - 1
+    many = np.bincount(group, 1 + np.concatenate(blobs(t["b"], np.uint8))[order])
+    back = np.zeros(len(order), np.uint32)
+    back[order] = np.where(many > 1, np.arange(1, len(many) + 1), 0).astype(np.uint32)[group]
+    cuts = np.cumsum([len(x) for x in parts])[:-1]
+    return pa.table([t["bucket"], t["chunk"], pa.array([binary(x) for x in np.split(back, cuts)], pa.binary()), pa.array([b""] * t.num_rows, pa.binary())], schema=BACK)
+
+
 def _refine(t: pa.Table) -> pa.Table:
     """Sort one range on (identifier, identifier ahead); new ranks and each bucket's first suffix as (chunk, place)."""
     parts = [x.reshape(-1, 3) for x in blobs(t["a"], np.uint32)]
@@ -371,8 +393,8 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, q: int = Q, id_col: str
     depth = q
     while True:
         step = min(depth, length - depth)
-        back = state.mapInArrow(_send_pairs(step, many), HEAD).groupBy("bucket").applyInArrow(_refine, HEAD)
         depth += step
+        back = state.mapInArrow(_send_pairs(step, many, depth == length), HEAD).groupBy("bucket").applyInArrow(_refine if depth == length else _rank, HEAD)
         if depth == length:
             break
         state = _next(state, back, step)
