@@ -472,6 +472,27 @@ def test_table_draws_follow_the_stirling_law():
         assert (t == k).mean() == pytest.approx(w / total, abs=0.015)
 
 
+@pytest.mark.parametrize("d", [0.05, 0.5, 0.75, 0.9])
+def test_table_draws_of_many_customers_have_the_same_law(d):
+    many, strength, others, parent = 600, 1.0, 40, 0.2
+    exact = np.full((many + 1, many + 1), -np.inf)
+    exact[0, 0], t = 0.0, np.arange(many + 1)
+    for c in range(many):
+        stay = exact[c] + np.log(np.maximum(c - t * d, 1e-300))
+        exact[c + 1] = np.logaddexp(np.append(-np.inf, exact[c, :-1]), np.where(t > c, -np.inf, stay))
+    for c in (hpy.TABLE + 1, many):
+        k = np.arange(1, c + 1)
+        assert np.abs(hpy.log_stirling(np.full(c, c), k, d) - exact[c, k]).max() < 0.012
+        lw = exact[c, k] + np.cumsum(np.log(strength + d * (others + k - 1))) + k * np.log(parent)
+        want = np.exp(lw - lw.max()) / np.exp(lw - lw.max()).sum()
+        n, rng = 3000, np.random.default_rng(c)
+        now = np.ones(n, np.int64)
+        for _ in range(4):
+            now = hpy.draw_tables(np.full(n, c), np.full(n, others), np.full(n, parent), d, strength, rng, now)
+        assert now.min() >= 1 and now.max() <= c
+        assert np.abs(np.cumsum(np.bincount(now, minlength=c + 1)[1:] / n) - np.cumsum(want)).max() < 0.04
+
+
 def test_log_probabilities_against_a_direct_chain(spark):
     order, burn_in, sweeps, seed = 3, 1, 3, 5
     texts = ["abab cab", "abab cab", "", "bca", "aé b" * 5]

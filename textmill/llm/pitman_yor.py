@@ -11,10 +11,12 @@ up to the empty context, which all share, over a uniform base.
    so the last character of a context is the shard, and a shard holds its
    restaurants of every length.  A Gibbs sweep draws the number of tables of each
    dish in each restaurant from its conditional, given the other dishes' tables
-   and the parent's predictive probability (generalised Stirling numbers count
-   the seatings; customers beyond EXACT are seated after the others, in blocks of
-   a BLOCK-th of those who sit already).  Dishes of a restaurant take turns in two
-   halves.  Each table sends one customer to the parent.
+   and the parent's predictive probability, in which generalised Stirling numbers
+   count the seatings.  Those are a table up to TABLE customers, from which the
+   conditional is drawn, and a convergent series or a saddle point beyond, where
+   STEPS Metropolis steps have that same conditional as their law.  Dishes of a
+   restaurant take turns in two halves.  Each table sends one customer to the
+   parent.
 3. The empty context is part of the same chain: after each sweep the shards'
    tables, a row per shard and character of the alphabet, are its customers, its
    own tables are drawn, and its probabilities are the base of the next sweep.
@@ -44,7 +46,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, release
 
-ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, EXACT, BLOCK = 5, 0.75, 1.0, 4, 10, 29, 48, 20
+ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, TABLE, STEPS = 5, 0.75, 1.0, 4, 10, 29, 48, 2
 _PAD, _END = 0x2, 0x3
 
 
@@ -113,11 +115,11 @@ _STEP = 0.01
 
 
 def stirling(d: float) -> np.ndarray:
-    """log S(c, t): the seatings of c customers at t tables, weighted as the discount d does."""
+    """log S(c, t) up to TABLE customers: the seatings of c customers at t tables, weighted as the discount d does."""
     if d not in _STIRLING:
-        s = np.full((EXACT + 1, EXACT + 1), -np.inf)
+        s = np.full((TABLE + 1, TABLE + 1), -np.inf)
         s[0, 0] = 0.0
-        for c in range(EXACT):
+        for c in range(TABLE):
             for t in range(1, c + 2):
                 stay = s[c, t] + np.log(c - t * d) if t <= c and c - t * d > 0 else -np.inf
                 s[c + 1, t] = np.logaddexp(s[c, t - 1], stay)
@@ -125,33 +127,128 @@ def stirling(d: float) -> np.ndarray:
     return _STIRLING[d]
 
 
-def draw_tables(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, strength: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of dishes with c customers, given the tables of the restaurant's other dishes and the parent's probability."""
-    t = np.minimum(c, 1)
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """log gamma from Stirling's series, right to 1e-9 from 8 on."""
+    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """log gamma of positive numbers."""
+    x = np.asarray(x, float)
+    return _log_gamma(x + 8) - np.log(x * (x + 1) * (x + 2) * (x + 3)) - np.log((x + 4) * (x + 5) * (x + 6) * (x + 7))
+
+
+def _tilt(w: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of x with log odds w: log x, log(1 - x), log(1 - (1 - x)^d), and the log of the mean size of a table when sizes are weighted by x^size."""
+    lu = -np.logaddexp(0, w)
+    lx, lf = w + lu, np.log(-np.expm1(d * lu))
+    return lx, lu, lf, np.log(d) + lx + (d - 1) * lu - lf
+
+
+def _saddle(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    low, high, goal = np.full(len(c), -45.0), np.full(len(c), 700.0), np.log(c / t)
+    for _ in range(36):  # the value hardly depends on the last digits of its saddle point
+        w = (low + high) / 2
+        up = _tilt(w, d)[3] < goal
+        low, high = np.where(up, w, low), np.where(up, high, w)
+    lx, lu, lf, mean = _tilt(w, d)
+    m, r, e = np.exp(mean), np.exp(w), 1 - d
+    m2, m3, m4 = m * (1 + e * r), m * (1 + 3 * e * r + e * (2 - d) * r * r), m * (1 + 7 * e * r + 6 * e * (2 - d) * r * r + e * (2 - d) * (3 - d) * r**3)
+    k2, k3, k4 = m2 - m * m, m3 - 3 * m2 * m + 2 * m**3, m4 - 4 * m3 * m - 3 * m2 * m2 + 12 * m2 * m * m - 6 * m**4
+    return t * lf - c * lx - 0.5 * np.log(2 * np.pi * t * k2) + (k4 / k2**2 / 8 - 5 * k3**2 / k2**3 / 24) / t
 
-    def exact(i: np.ndarray, customers: np.ndarray) -> None:
-        order = np.argsort(customers, kind="stable")
-        i, customers = i[order], customers[order]
-        for at in range(0, len(i), 65536):
-            j, n = i[at : at + 65536], customers[at : at + 65536]
-            k = np.arange(1, int(n[-1]) + 1)
-            # [strength + d others] rises by d for each new table, and each new table's dish comes from the parent.
-            rise = np.cumsum(np.log(strength + d * (others[j, None] + k[None] - 1)), axis=1)
-            lw = stirling(d)[n][:, 1 : len(k) + 1] + rise + k * np.log(parent[j])[:, None]
-            w = np.cumsum(np.exp(lw - lw.max(1, keepdims=True)), axis=1)
-            t[j] = 1 + (w < rng.random(len(j))[:, None] * w[:, -1:]).sum(1)
-
-    i = np.flatnonzero(c > 1)
-    exact(i, np.minimum(c[i], EXACT))
-    live = np.flatnonzero(c > EXACT)
-    seated = np.full(len(live), EXACT)
-    while len(live):
-        more = np.minimum(np.maximum(seated // BLOCK, 1), c[live] - seated)
-        a = (strength + d * (others[live] + t[live])) * parent[live]
-        t[live] += rng.binomial(more, a / (a + seated - d * t[live]))
-        seated = seated + more
-        ok = seated < c[live]
-        live, seated = live[ok], seated[ok]
+
+def _series(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    j = np.arange(1.0, 121 if d > 0.75 else 61)
+    left, rest = t[:, None] - j + 1, c[:, None] - j * d
+    # Where less than one is left the term is far below the others, so the series' first terms do.
+    x = np.maximum(rest, 1)
+    size = np.cumsum(np.log(np.maximum(left, 1)), axis=1) + (x - 0.5) * np.log(x) - x + 1 / (12 * x) + (log_gamma(1 + j * d) - log_gamma(j + 1))
+    size[(left <= 0) | (rest <= 0)] = -np.inf
+    top = size.max(1)
+    sign = np.where(j % 2 == 1, 1, -1) * np.sin(np.pi * j * d) / np.pi
+    total = np.exp(size - top[:, None]) @ sign
+    return top + np.log(np.maximum(total, 1e-300)) + 0.5 * np.log(2 * np.pi) - log_gamma(c + 1)
+
+
+def log_stirling(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    """log S(c, t) at any size, from c! / (t! d^t) [x^c] (1 - (1 - x)^d)^t.
+
+    The binomial series is used where its terms hardly cancel, else a saddle
+    point with its second term.
+    """
+    c, t = np.asarray(c, float), np.asarray(t, float)
+    out = t * np.log(d)  # the value at t = c
+    depth = np.exp(np.log(1 - d) + (d * np.log(d) + np.log(t) - d * np.log(c)) / (1 - d))
+    few = (depth < (4 if d <= 0.6 else 2)) & (t < c)
+    many = ~few & (t < c)
+    for i in np.split(np.flatnonzero(few), range(8192, int(few.sum()), 8192)):
+        out[i] = _series(c[i], t[i], d)
+    out[many] = _saddle(c[many], t[many], d)
+    return out + log_gamma(c + 1) - log_gamma(t + 1) - t * np.log(d)
+
+
+def _centre(c: np.ndarray, z: np.ndarray, parent: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """About where the conditional of t has its mode, and its width."""
+
+    def slope(w):
+        _, _, lf, mean = _tilt(w, d)
+        t = c * np.exp(-mean)
+        return t, lf + np.log1p(z / t) + np.log(parent)
+
+    low, high = np.full(len(c), -45.0), np.full(len(c), 300.0)
+    for _ in range(30):
+        w = (low + high) / 2
+        up = slope(w)[1] < 0  # too many tables: more weight on large ones
+        low, high = np.where(up, w, low), np.where(up, high, w)
+    (t0, g0), (t1, g1) = slope(w - 0.05), slope(w + 0.05)
+    width = np.sqrt(np.maximum((t0 - t1) / np.maximum(g1 - g0, 1e-9), 0))
+    return np.clip(np.sqrt(t0 * t1), 1, c), np.clip(np.nan_to_num(width, nan=1, posinf=1), 1, np.sqrt(c))
+
+
+def _metropolis(t: np.ndarray, c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, strength: float, rng: np.random.Generator) -> np.ndarray:
+    """t after STEPS steps whose proposals are logistic around the centre."""
+    c = c.astype(float)
+    z = strength / d + others
+    centre, width = _centre(c, z, parent, d)
+    scale = 0.75 * width
+
+    def worth(t):
+        a, one = (np.abs(t - centre) - 0.5) / scale, 1 / scale
+        proposed = -a + np.log(-np.expm1(-one)) - np.logaddexp(0, -a) - np.logaddexp(0, -a - one)
+        # strength + d others rises by d for each new table, and each new table's dish comes from the parent.
+        return log_stirling(c, t, d) + t * np.log(d) + log_gamma(t + z) - log_gamma(z) + t * np.log(parent) - proposed
+
+    t = np.clip(t.astype(float), 1, c)
+    now = worth(t)
+    for _ in range(STEPS):
+        u = np.clip(rng.random(len(c)), 1e-12, 1 - 1e-12)
+        to = np.rint(centre + scale * np.log(u / (1 - u)))
+        ok = (to >= 1) & (to <= c)
+        then = worth(np.where(ok, to, t))
+        ok &= np.log(np.maximum(rng.random(len(c)), 1e-300)) < then - now
+        t, now = np.where(ok, to, t), np.where(ok, then, now)
+    return t.astype(np.int64)
+
+
+def draw_tables(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, strength: float, rng: np.random.Generator, now: np.ndarray | None = None) -> np.ndarray:
+    """Tables of dishes with c customers, given the tables of the restaurant's other dishes and the parent's probability; ``now`` are the tables they have."""
+    t = np.minimum(c, 1)
+    i = np.flatnonzero((c > 1) & (c <= TABLE))
+    i = i[np.argsort(c[i], kind="stable")]
+    for at in range(0, len(i), 65536):
+        j = i[at : at + 65536]
+        n = c[j]
+        k = np.arange(1, int(n[-1]) + 1)
+        # [strength + d others] rises by d for each new table, and each new table's dish comes from the parent.
+        rise = np.cumsum(np.log(strength + d * (others[j, None] + k[None] - 1)), axis=1)
+        lw = stirling(d)[n][:, 1 : len(k) + 1] + rise + k * np.log(parent[j])[:, None]
+        w = np.cumsum(np.exp(lw - lw.max(1, keepdims=True)), axis=1)
+        t[j] = 1 + (w < rng.random(len(j))[:, None] * w[:, -1:]).sum(1)
+    i = np.flatnonzero(c > TABLE)
+    for at in range(0, len(i), 65536):
+        j = i[at : at + 65536]
+        t[j] = _metropolis((t if now is None else now)[j], c[j], others[j], parent[j], d, strength, rng)
     return t
 
 
@@ -197,7 +294,7 @@ class Shard:
             for turn in (half, ~half):
                 total = np.bincount(rest, self.t[k])[rest]
                 i = np.flatnonzero(turn)
-                self.t[k][i] = draw_tables(self.c[k][i], total[i] - self.t[k][i], parent[i], self.d[k], self.strength[k], rng)
+                self.t[k][i] = draw_tables(self.c[k][i], total[i] - self.t[k][i], parent[i], self.d[k], self.strength[k], rng, self.t[k][i])
             if up is not None:
                 self.c[k + 1] = np.bincount(up, self.t[k]).astype(np.int64)
 
@@ -219,7 +316,7 @@ def draw_strength(log_x: float, opened: int, restaurants: int, rng: np.random.Ge
 
 def counted_discount(ones: int, twos: int) -> float:
     """The discount that counts of counts suggest."""
-    return float(np.clip(round(ones / max(ones + 2 * twos, 1) / _STEP) * _STEP, 0.05, 0.95)) if ones else DISCOUNT
+    return float(np.clip(round(ones / max(ones + 2 * twos, 1) / _STEP) * _STEP, 0.05, 0.9)) if ones else DISCOUNT
 
 
 def _start(order: int):
@@ -288,7 +385,7 @@ class Root:
         t = np.clip(np.array([self.t.get(x, 1) for x in sym], np.int64), np.minimum(c, 1), c)
         half = rng.random(len(c)) < 0.5
         for turn in (half, ~half):
-            t[turn] = draw_tables(c[turn], t.sum() - t[turn], np.full(turn.sum(), 1 / v), self.d, self.strength, rng)
+            t[turn] = draw_tables(c[turn], t.sum() - t[turn], np.full(turn.sum(), 1 / v), self.d, self.strength, rng, t[turn])
         self.t = dict(zip(sym, t.tolist()))
         log_x, opened = strength_sums(np.array([c.sum()]), np.array([t.sum()]), self.d, self.strength, rng)
         self.strength = draw_strength(log_x, opened, 1, rng)
