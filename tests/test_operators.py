@@ -69,6 +69,15 @@ def test_simhash_search_is_exact(spark):
     assert got == {k: v for k, v in want.items() if v <= 3}
 
 
+def test_pairs_of_representatives(spark):
+    docs = spark.createDataFrame([(4, 7), (2, 7), (9, 5), (1, None), (3, 5), (None, 5)], "doc_id bigint, hash bigint")
+    pairs = neardup.near_pairs(docs)
+    got = neardup.representative_pairs(docs, pairs).collect()
+    assert [tuple(r) for r in got] == [(2, 3, 1, 2, 3)]
+    each = {(r.id1, r.id2) for r in neardup.id_pairs(docs, pairs).collect()}
+    assert each == {(2, 3), (3, 4), (2, 9), (4, 9)}
+
+
 def test_simhash_quirks():
     assert neardup.simhash("", 4) == 0 == neardup.simhash("abcd", 4) and neardup.simhash("abcde", 4) != 0
     a, b = neardup.simhash("the quick brown fox jumps over it " * 5), neardup.simhash("the quick brown fox jumped over it " * 5)

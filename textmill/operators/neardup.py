@@ -86,8 +86,25 @@ def near_pairs(hashes: DataFrame, blocks: int = BLOCKS, distance: int = DISTANCE
     return a.join(b, "key").where("a < b").select("a", "b", diff.cast("int").alias("diff")).where(F.col("diff") <= distance).distinct()
 
 
+def representative_pairs(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id1, id2, diff, copies1, copies2) with id1 < id2: the least ids behind each two hashes, and how many documents have each hash.
+
+    A row for two hashes however many documents share them; membership is the
+    hash column of ``docs``.
+    """
+    of = docs.where("hash IS NOT NULL").groupBy("hash").agg(F.min(id_col).alias("id"), F.count("*").alias("copies"))
+    one, two = (of.select(F.col("hash").alias(h), F.struct("id", "copies").alias(f"__{h}")) for h in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    low, high = F.least("__a", "__b"), F.greatest("__a", "__b")
+    return both.select(low["id"].alias("id1"), high["id"].alias("id2"), "diff", low["copies"].alias("copies1"), high["copies"].alias("copies2"))
+
+
 def id_pairs(docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id1, id2, diff) with id1 < id2 of the documents behind the hashes."""
+    """(id1, id2, diff) with id1 < id2 of the documents behind the hashes.
+
+    Copies make a row for each two of them: where they may be many,
+    ``representative_pairs`` says the same in a row for two hashes.
+    """
     one, two = docs.select(F.col("hash").alias("a"), F.col(id_col).alias("x")), docs.select(F.col("hash").alias("b"), F.col(id_col).alias("y"))
     return pairs.join(one, "a").join(two, "b").where("x <> y").select(F.least("x", "y").alias("id1"), F.greatest("x", "y").alias("id2"), "diff").distinct()
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import params as P
 from ..functions import text as T
+from ..functions.lineage import written
 from ..functions.text import lit_sql
 from ..operators import cleaning as C
 from ..operators import dedup as D
@@ -380,13 +381,13 @@ def ddp_simhash(t):
 
 @query()
 def ddp_simhash_pairs(t):
-    h = _hashed(t)
-    return N.id_pairs(h, N.near_pairs(h))
+    h = written(_hashed(t))
+    return N.representative_pairs(h, N.near_pairs(h))
 
 
 @query()
 def ddp_simhash_clusters(t):
-    h = _hashed(t)
+    h = written(_hashed(t))
     return N.clusters(h, N.near_pairs(h))
 
 
@@ -397,7 +398,7 @@ def agg_hamming_distances(t):
 
 @query()
 def agg_cluster_sizes(t):
-    h = _hashed(t)
+    h = written(_hashed(t))
     return N.cluster_sizes(N.clusters(h, N.near_pairs(h)))
 
 
