@@ -79,6 +79,17 @@ def _unique(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return u, inverse, np.minimum(count, 2).astype(np.uint8)
 
 
+def _planes(x: np.ndarray, rising: bool = True) -> bytes:
+    """Numbers as bytes of one weight after another, as differences where they mostly rise: what compression makes small."""
+    x = np.diff(x, prepend=x.dtype.type(0)) if rising else np.ascontiguousarray(x)
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+
+
+def _numbers(b: bytes, kind, rising: bool = True) -> np.ndarray:
+    x = np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+    return np.cumsum(x, dtype=kind) if rising else x
+
+
 def _packed(c: int, b: np.ndarray, many: int, *columns: np.ndarray):
     """A row for each bucket of columns sorted by bucket."""
     to = np.searchsorted(b, np.arange(many + 1))
@@ -166,7 +177,11 @@ def _state(length: int, q: int):
             tail = end[np.minimum(pos + length - 1, len(h) - 1)]
             yield pa.record_batch(
                 [pa.array([next(ids)])]
-                + [pa.array([binary(x)], pa.binary()) for x in (pc.fill_null(chunk.column("doc_id"), _LAST).to_numpy(), chunk.column("key").to_numpy(), doc.astype(np.int32), (pos - woff[doc]).astype(np.int32), window[pos].astype(np.uint8), (start[pos] - doff[doc]).astype(np.int32), (tail - doff[doc]).astype(np.int32), g[pos])],
+                + [pa.array([binary(x)], pa.binary()) for x in (pc.fill_null(chunk.column("doc_id"), _LAST).to_numpy(), chunk.column("key").to_numpy())]
+                + [pa.array([_planes(x.astype(np.int32))], pa.binary()) for x in (doc, pos - woff[doc])]
+                + [pa.array([binary(window[pos].astype(np.uint8))], pa.binary())]
+                + [pa.array([_planes(x.astype(np.int32))], pa.binary()) for x in (start[pos] - doff[doc], tail - doff[doc])]
+                + [pa.array([_planes(g[pos], False)], pa.binary())],
                 ["chunk", "ids", "keys", "doc", "pos", "window", "from", "to", "b"],
             )
 
@@ -182,8 +197,8 @@ class _Chunk:
     def __init__(self, row: dict):
         self.row, self.c = row, row["chunk"]
         self.ids, self.keys = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64)
-        self.doc, self.pos = np.frombuffer(row["doc"], np.int32), np.frombuffer(row["pos"], np.int32)
-        self.window, self.b = np.frombuffer(row["window"], np.uint8).astype(bool), np.frombuffer(row["b"], np.uint64)
+        self.doc, self.pos = _numbers(row["doc"], np.int32), _numbers(row["pos"], np.int32)
+        self.window, self.b = np.frombuffer(row["window"], np.uint8).astype(bool), _numbers(row["b"], np.uint64, False)
 
     def ahead(self, step: int) -> np.ndarray:
         """Bucket identifier of the position ``step`` words on; 0 where that has none."""
@@ -315,7 +330,7 @@ def _take_names(step: int):
             _, _, order, rank, _ = s.pairs(step)
             b[order] = names[rank]
         keep = b > 0
-        row |= {f: binary(np.frombuffer(row[f], k)[keep]) for f, k in (("doc", np.int32), ("pos", np.int32), ("window", np.uint8), ("from", np.int32), ("to", np.int32))} | {"b": binary(b[keep])}
+        row |= {f: _planes(_numbers(row[f], np.int32)[keep]) for f in ("doc", "pos", "from", "to")} | {"window": binary(s.window[keep].astype(np.uint8)), "b": _planes(b[keep], False)}
         return pa.table({"chunk": [row["chunk"]], **{f: pa.array([row[f]], pa.binary()) for f in _FIELDS}})
 
     return run
@@ -339,7 +354,7 @@ def _spans(step: int, length: int):
         by = np.argsort(at)
         at, lead = at[by], lead[by]
         doc, pos = s.doc[at].astype(np.int64), s.pos[at].astype(np.int64)
-        begin, finish = np.frombuffer(row["from"], np.int32), np.frombuffer(row["to"], np.int32)
+        begin, finish = _numbers(row["from"], np.int32), _numbers(row["to"], np.int32)
         home = (lead[:, 0] == s.c) & (lead[:, 1] >> 32 == doc)
         at_first = lead[:, 1] & 0xFFFFFFFF
         first = home & (at_first == pos)
