@@ -493,21 +493,15 @@ def test_table_draws_of_many_customers_have_the_same_law(d):
         assert np.abs(np.cumsum(np.bincount(now, minlength=c + 1)[1:] / n) - np.cumsum(want)).max() < 0.04
 
 
-def test_log_probabilities_against_a_direct_chain(spark):
-    order, burn_in, sweeps, seed = 3, 1, 3, 5
-    texts = ["abab cab", "abab cab", "", "bca", "aé b" * 5]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
-    got = {r.doc_id: r for r in hpy.pitman_yor_perplexity(df, order, 0.7, 1.0, burn_in, sweeps, seed).collect()}
-    # The same chain without Spark: all n-grams in dictionaries, one process.
-    count = collections.Counter()
-    for t in texts:
-        x = [2] * (order - 1) + [ord(c) for c in t] + [3]
-        count.update(tuple(x[i : i + order]) for i in range(len(x) - order + 1))
+def direct_chain(texts, shard_of, order, burn_in, sweeps, seed):
+    """Log probability of each text (a list of symbols), by the same chain without Spark: all n-grams in dictionaries, one process."""
+    padded = [[2] * (order - 1) + t + [3] for t in texts]
+    count = collections.Counter(tuple(x[i : i + order]) for x in padded for i in range(len(x) - order + 1))
     shards = {}
-    for v in sorted({g[-2] for g in count}):
-        rows = np.array(sorted((g for g in count if g[-2] == v), key=lambda g: g[::-1]), np.uint32)
+    for v in sorted({shard_of(g[-2]) for g in count}):
+        rows = np.array(sorted((g for g in count if shard_of(g[-2]) == v), key=lambda g: g[::-1]), np.uint32)
         shards[v] = (rows, hpy.Shard(rows, np.array([count[tuple(map(int, r))] for r in rows]), np.zeros(len(rows)), 0.7, 1.0))
-    rng, root, d, strength = np.random.default_rng(seed), hpy.Root(0.7, 1.0), [0.7] * 2, [1.0] * 2
+    rng, root, d, strength = np.random.default_rng(seed), hpy.Root(0.7, 1.0), [0.7] * (order - 1), [1.0] * (order - 1)
     customers = collections.Counter()
     for v, w in {g[-2:] for g in count}:
         customers[w] += 1
@@ -515,7 +509,7 @@ def test_log_probabilities_against_a_direct_chain(spark):
     for number in range(burn_in + sweeps):
         base, rest = root.sweep(dict(customers), rng)
         assert sum(base.values()) + rest == pytest.approx(1)
-        sums, customers = [np.zeros(5) for _ in range(2)], collections.Counter()
+        sums, customers = [np.zeros(5) for _ in d], collections.Counter()
         for v, (rows, s) in shards.items():
             own = np.random.default_rng([seed, number, v])
             s.base, s.d, s.strength = np.array([base.get(int(r[-1]), rest) for r in rows]), d, strength
@@ -532,10 +526,32 @@ def test_log_probabilities_against_a_direct_chain(spark):
             strength.append(hpy.draw_strength(x[0], int(x[1]), int(x[2]), rng))
         d = [hpy.counted_discount(int(x[3]), int(x[4])) for x in sums]
     p = {tuple(map(int, g)): total[v][i] / sweeps for v, (rows, _) in shards.items() for i, g in enumerate(rows)}
-    for k, t in enumerate(texts):
-        x = [2] * (order - 1) + [ord(c) for c in t] + [3]
-        want = sum(np.log(p[tuple(x[i : i + order])]) for i in range(len(x) - order + 1))
-        assert got[k].log_prob == pytest.approx(want, rel=1e-5) and got[k].perplexity == pytest.approx(np.exp(-want / (len(t) + 1)), rel=1e-5)
+    return [sum(np.log(p[tuple(x[i : i + order])]) for i in range(len(x) - order + 1)) for x in padded]
+
+
+def test_log_probabilities_against_a_direct_chain(spark):
+    order, burn_in, sweeps, seed = 3, 1, 3, 5
+    texts = ["abab cab", "abab cab", "", "bca", "aé b" * 5]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in hpy.pitman_yor_perplexity(df, order, 0.7, 1.0, burn_in, sweeps, seed).collect()}
+    for k, want in enumerate(direct_chain([list(map(ord, t)) for t in texts], lambda v: v, order, burn_in, sweeps, seed)):
+        assert got[k].log_prob == pytest.approx(want, rel=1e-5) and got[k].perplexity == pytest.approx(np.exp(-want / (len(texts[k]) + 1)), rel=1e-5)
+
+
+def test_log_probabilities_of_pieces_against_a_direct_chain(spark):
+    order, burn_in, sweeps, seed = 3, 1, 2, 7
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "cat", "sat", "on", "a", "Überraschung", "日本"]) for _ in range(rng.randrange(30))) for _ in range(30)]
+    texts += ["", None, "  two  blanks ", "the " * 80, texts[0], "line\nline\u2003wide"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in hpy.pitman_yor_perplexity(df, order, 0.7, 1.0, burn_in, sweeps, seed, vocabulary=hpy.VOCABULARY).collect()}
+    sp = U.piece_encoder(U.vocabulary(hpy.VOCABULARY))
+    symbols = [[i + 4 for i in sp.encode(t or "")] for t in texts]
+    shards = hpy.SHARDS * hpy.buckets(spark)
+    want = direct_chain(symbols, lambda v: int(hpy.bucket(hpy.W.mix(np.array([v], np.uint64)), shards)[0]), order, burn_in, sweeps, seed)
+    assert len(got) == len(texts)
+    for k, (lp, x) in enumerate(zip(want, symbols)):
+        assert got[k].events == len(x) + 1 and got[k].log_prob == pytest.approx(lp, rel=1e-5)
 
 
 def test_strengths_are_drawn_near_the_one_that_seated(spark):

@@ -1,15 +1,17 @@
-"""Perplexity under a hierarchical Pitman-Yor model of characters, trained on the corpus itself.
+"""Perplexity under a hierarchical Pitman-Yor model of pieces or characters, trained on the corpus itself.
 
-The context of a character is the ORDER - 1 characters before it.  Each context
-is a restaurant whose customers are the characters seen after it, whose dishes
-come from the restaurant of the context without its oldest character, and so on
-up to the empty context, which all share, over a uniform base.
+Symbols are the pieces of a public vocabulary, or characters where none is
+named.  The context of a symbol is the order - 1 symbols before it.  Each context
+is a restaurant whose customers are the symbols seen after it, whose dishes come
+from the restaurant of the context without its oldest symbol, and so on up to the
+empty context, which all share, over a uniform base.  N-grams of pieces are no
+closed set: the restaurants grow with the corpus.
 
 1. Counts: every chunk of documents sends its distinct n-grams with their counts
    to hash buckets, which add them up.  All of every text is counted.
 2. Seating: contexts that end alike share all their parents but the empty one,
-   so the last character of a context is the shard, and a shard holds its
-   restaurants of every length.  A Gibbs sweep draws the number of tables of each
+   so a shard is what ends with one character, or with the pieces of one hash
+   bucket, and holds its restaurants of every length.  A Gibbs sweep draws the number of tables of each
    dish in each restaurant from its conditional, given the other dishes' tables
    and the parent's predictive probability, in which generalised Stirling numbers
    count the seatings.  Those are a table up to TABLE customers, from which the
@@ -18,7 +20,7 @@ up to the empty context, which all share, over a uniform base.
    restaurant take turns in two halves.  Each table sends one customer to the
    parent.
 3. The empty context is part of the same chain: after each sweep the shards'
-   tables, a row per shard and character of the alphabet, are its customers, its
+   tables, a row per character of the alphabet or piece of the vocabulary, are its customers, its
    own tables are drawn, and its probabilities are the base of the next sweep.
    So are the strengths of each length, drawn from their conditional by auxiliary
    variables; discounts follow the counts of dishes of one and two customers.
@@ -30,23 +32,28 @@ up to the empty context, which all share, over a uniform base.
 
 Defined results: documents are padded, and their end is predicted too, so a null
 or empty text has one event; repeated rows are counted and scored each; a null
-id stays null; a text however long is scored as one.  Ids must be integers or
+id stays null; a text however long is scored as one; equal texts have equal
+scores.  Ids must be integers or
 castable to them.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import pickle
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import units as U
 from . import words as W
 from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, release
 
 ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, TABLE, STEPS = 5, 0.75, 1.0, 4, 10, 29, 48, 2
+#: The registered query's pieces and n-grams of them; shards of pieces for each bucket.
+VOCABULARY, PIECE_ORDER, SHARDS = "piece_bpe_32k.model", 3, 4
 _PAD, _END = 0x2, 0x3
 
 
@@ -70,17 +77,47 @@ def grams(cps: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, np.
     return W.mix(h), start, np.repeat(np.arange(len(many)), many)
 
 
-def _send_counts(order: int, many: int):
+def pieces(text: pa.Array, order: int, sp) -> tuple[np.ndarray, np.ndarray]:
+    """The same of pieces: a unit's are made once a chunk; ids are moved by 4, past the pad and the end."""
+    raw, doc, start, end = U.piece_units(text)
+    _, first, inverse = np.unique(U.hashes(raw, start, end), return_index=True, return_inverse=True)
+    got = sp.encode(U.strings(raw, start[first], end[first]), num_threads=1) if len(first) else []
+    size = np.fromiter(map(len, got), np.int64, len(got))
+    flat = np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))
+    per, begin = size[inverse], (np.cumsum(size) - size)[inverse]
+    ends = np.concatenate([[0], np.cumsum(per)])
+    n = np.diff(ends[np.searchsorted(start, doc)])
+    off = np.concatenate([[0], np.cumsum(n + order)])
+    out = np.full(off[-1], _PAD, np.uint32)
+    at = np.arange(ends[-1])
+    out[at + np.repeat(off[:-1] + order - 1 - (np.cumsum(n) - n), n)] = flat[at + np.repeat(begin - ends[:-1], per)] + np.uint32(4)
+    out[off[1:] - 1] = _END
+    return out, off
+
+
+def _reader(order: int, path: str | None):
+    if path is None:
+        return lambda text: symbols(text, order)
+    sp = U.piece_encoder(path)
+    return lambda text: pieces(text, order, sp)
+
+
+def _kind(path: str | None):
+    return np.uint16 if path else np.uint32  # a vocabulary has fewer than 65,532 pieces
+
+
+def _send_counts(order: int, many: int, path: str | None):
     def run(batches):
+        read = _reader(order, path)
         for chunk in W.chunks(batches):
-            cps, off = symbols(chunk.column("text"), order)
+            cps, off = read(chunk.column("text"))
             h, start, _ = grams(cps, off, order)
             u, first, count = np.unique(h, return_index=True, return_counts=True)
             del h
-            rows = cps[start[first][:, None] + np.arange(order)].astype(np.uint32)
+            rows = cps[start[first][:, None] + np.arange(order)].astype(_kind(path))
             to = np.searchsorted(bucket(u, many), np.arange(many + 1))
             used = [k for k in range(many) if to[k] < to[k + 1]]
-            yield pa.record_batch([pa.array(used, pa.int64()), pa.array([binary(rows[to[k] : to[k + 1]]) for k in used], pa.binary()), pa.array([binary(count[to[k] : to[k + 1]]) for k in used], pa.binary())], ["bucket", "gram", "count"])
+            yield pa.record_batch([pa.array(used, pa.int64()), *(pa.array([binary(x[to[k] : to[k + 1]]) for k in used], pa.binary()) for x in (rows, count.astype(np.uint32)))], ["bucket", "gram", "count"])
 
     return run
 
@@ -92,19 +129,21 @@ def _hash_rows(rows: np.ndarray) -> np.ndarray:
     return W.mix(h)
 
 
-def _text(rows: np.ndarray) -> pa.Array:
-    whole = rows.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    n = rows.shape[1]
-    return pa.array([whole[i : i + n] for i in range(0, len(whole), n)], pa.string())
-
+def _merge_counts(order: int, shards: int, path: str | None):
+    """Of one bucket: a row for each shard with its n-grams and their counts."""
 
-def _merge_counts(order: int):
     def run(t: pa.Table) -> pa.Table:
-        rows = np.concatenate(blobs(t["gram"], np.uint32)).reshape(-1, order)
-        h, first, inverse = np.unique(_hash_rows(rows), return_index=True, return_inverse=True)
-        count = np.bincount(inverse, np.concatenate(blobs(t["count"], np.int64))).astype(np.int64)
-        grams_ = rows[first]
-        return pa.table({"gram": pa.array([binary(r) for r in grams_], pa.binary()), "shard": pa.array(grams_[:, -2].astype(np.int64)), "symbol": pa.array(grams_[:, -1].astype(np.int64)), "count": count})
+        rows = np.concatenate(blobs(t["gram"], _kind(path))).reshape(-1, order)
+        _, first, inverse = np.unique(_hash_rows(rows), return_index=True, return_inverse=True)
+        count = np.bincount(inverse, np.concatenate(blobs(t["count"], np.uint32))).astype(np.int64)
+        rows = rows[first]
+        last = rows[:, -2].astype(np.uint64)
+        shard = bucket(W.mix(last), shards) if path else last.astype(np.int64)
+        by = np.argsort(shard, kind="stable")
+        rows, count, shard = rows[by], count[by], shard[by]
+        at = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+        ends = np.append(at[1:], len(shard))
+        return pa.table({"shard": shard[at], "gram": pa.array([binary(rows[a:z]) for a, z in zip(at, ends)], pa.binary()), "count": pa.array([binary(count[a:z]) for a, z in zip(at, ends)], pa.binary())})
 
     return run
 
@@ -319,24 +358,36 @@ def counted_discount(ones: int, twos: int) -> float:
     return float(np.clip(round(ones / max(ones + 2 * twos, 1) / _STEP) * _STEP, 0.05, 0.9)) if ones else DISCOUNT
 
 
-def _start(order: int):
+def _customers(symbol: np.ndarray, tables: np.ndarray) -> list[list]:
+    """The symbols of a shard's shortest contexts and the tables that they send to the empty one."""
+    u, inverse = np.unique(symbol, return_inverse=True)
+    return [u.tolist(), np.bincount(inverse, tables).astype(np.int64).tolist()]
+
+
+def _start(order: int, path: str | None):
     """The state of one shard before the first sweep."""
 
     def run(t: pa.Table) -> pa.Table:
-        rows = np.concatenate(blobs(t["gram"], np.uint32)).reshape(-1, order)
+        rows = np.concatenate(blobs(t["gram"], _kind(path))).reshape(-1, order)
         by = np.lexsort(rows.T)
-        rows, count = rows[by], t["count"].to_numpy()[by]
+        rows, count = rows[by], np.concatenate(blobs(t["count"], np.int64))[by]
         s = Shard(rows, count, np.zeros(len(rows)), DISCOUNT, STRENGTH)
-        state = {"levels": [(r.astype(np.int32), None if u is None else u.astype(np.int32)) for r, u in s.levels], "c": s.c, "t": s.t, "h": _hash_rows(rows), "symbol": rows[s.top, -1].astype(np.int64), "total": np.zeros(len(rows))}
-        return pa.table({"shard": t["shard"][:1], "state": pa.array([pickle.dumps(state, 5)], pa.binary())})
+        state = {"levels": [(r.astype(np.int32), None if u is None else u.astype(np.int32)) for r, u in s.levels], **_small(s), "h": _hash_rows(rows), "symbol": rows[s.top, -1].astype(np.int32), "total": np.zeros(len(rows), np.float32)}
+        sym, tables = _customers(state["symbol"], s.t[-1])
+        return pa.table({"shard": t["shard"][:1], "state": pa.array([pickle.dumps(state, 5)], pa.binary()), "symbols": pa.array([sym], pa.list_(pa.int64())), "tables": pa.array([tables], pa.list_(pa.int64()))})
 
     return run
 
 
+def _small(s: Shard) -> dict:
+    """Customers and tables, each level in as few bytes as its largest needs."""
+    return {k: [x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in xs] for k, xs in (("c", s.c), ("t", s.t))}
+
+
 SWEPT = "shard bigint, state binary, symbols array<bigint>, tables array<bigint>, log_x array<double>, opened array<bigint>, restaurants array<bigint>, ones array<bigint>, twos array<bigint>"
 
 
-def _sweep(base: dict, rest: float, d: list, strength: list, seed: int, number: int, keep: bool):
+def _sweep(base: tuple, rest: float, d: list, strength: list, seed: int, number: int, keep: bool):
     """The state of each shard after one more sweep, and what the empty context and the parameters need of it."""
 
     def run(batches):
@@ -344,29 +395,37 @@ def _sweep(base: dict, rest: float, d: list, strength: list, seed: int, number:
             for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("state").to_pylist()):
                 state, rng = pickle.loads(blob), np.random.default_rng([seed, number, shard])
                 s = Shard.__new__(Shard)
-                s.levels, s.c, s.t, s.d, s.strength = state["levels"], state["c"], state["t"], d, strength
-                s.base, s.top = np.array([base.get(x, rest) for x in state["symbol"].tolist()]), slice(None)
+                s.levels, s.d, s.strength = state["levels"], d, strength
+                s.c, s.t = ([x.astype(np.int64) for x in state[k]] for k in "ct")
+                at = np.minimum(np.searchsorted(base[0], state["symbol"]), len(base[0]) - 1)
+                s.base, s.top = np.where(base[0][at] == state["symbol"], base[1][at], rest), slice(None)
                 s.sweep(rng)
                 if keep:
-                    state["total"] += s.predictive()[0]
+                    state["total"] = (state["total"] + s.predictive()[0]).astype(np.float32)
+                state |= _small(s)
                 sums = []
                 for k, (r, _) in enumerate(s.levels):
                     c, t = np.bincount(r, s.c[k]).astype(np.int64), np.bincount(r, s.t[k]).astype(np.int64)
                     sums.append((*strength_sums(c, t, d[k], strength[k], rng), len(c), int((s.c[k] == 1).sum()), int((s.c[k] == 2).sum())))
                 out = [[x] for x in ([*map(list, zip(*sums))])]
-                yield pa.record_batch([pa.array([shard]), pa.array([pickle.dumps(state, 5)], pa.binary()), pa.array([state["symbol"].tolist()]), pa.array([s.t[-1].tolist()], pa.list_(pa.int64())), *(pa.array(x) for x in out)], [x.split()[0] for x in SWEPT.split(", ")])
+                sent = _customers(state["symbol"], s.t[-1])
+                yield pa.record_batch([pa.array([shard]), pa.array([pickle.dumps(state, 5)], pa.binary()), *(pa.array([x], pa.list_(pa.int64())) for x in sent), *(pa.array(x) for x in out)], [x.split()[0] for x in SWEPT.split(", ")])
 
     return run
 
 
 def _model(sweeps: int, many: int):
-    """Averaged log probability of every n-gram."""
+    """Averaged log probability of every n-gram, a row for each bucket."""
 
     def run(batches):
         for batch in batches:
             for blob in batch.column("state").to_pylist():
                 state = pickle.loads(blob)
-                yield pa.record_batch([pa.array(bucket(state["h"], many)), pa.array(state["h"].astype(np.int64)), pa.array(np.log(state["total"] / sweeps))], ["bucket", "h", "lp"])
+                by = np.argsort(state["h"])
+                h, lp = state["h"][by], np.log(state["total"][by].astype(float) / sweeps).astype(np.float32)
+                to = np.searchsorted(bucket(h, many), np.arange(many + 1))
+                used = [k for k in range(many) if to[k] < to[k + 1]]
+                yield pa.record_batch([pa.array(used, pa.int64()), *(pa.array([binary(x[to[k] : to[k + 1]]) for k in used], pa.binary()) for x in (h, lp))], ["bucket", "h", "lp"])
 
     return run
 
@@ -397,12 +456,12 @@ class Root:
 _COLUMNS = ["bucket", "chunk", "h", "per", "gram", "freq"]
 
 
-def _send_documents(order: int, many: int):
+def _send_documents(order: int, many: int, path: str | None):
     def run(batches):
-        ids = chunk_ids()
+        ids, read = chunk_ids(), _reader(order, path)
         for chunk in W.chunks(batches):
             c, docs = next(ids), chunk.num_rows
-            cps, off = symbols(chunk.column("text"), order)
+            cps, off = read(chunk.column("text"))
             h, _, doc = grams(cps, off, order)
             u, inverse = np.unique(h, return_inverse=True)
             key = (doc << 32) | inverse
@@ -445,9 +504,9 @@ def _score(many: int):
             return SUMS.empty_table()
         if t["bucket"][0].as_py() >= many:
             return pa.table([t["bucket"], t["chunk"], t["h"], t["per"], t["gram"]], schema=SUMS)
-        h = model["h"].to_numpy().view(np.uint64)
+        h, lp = np.concatenate(blobs(model["h"], np.uint64)), np.concatenate(blobs(model["lp"], np.float32)).astype(float)
         order = np.argsort(h)
-        h, lp = h[order], model["lp"].to_numpy()[order]
+        h, lp = h[order], lp[order]
         out = []
         for u, per, gram, freq in zip(blobs(t["h"], np.uint64), blobs(t["per"], np.uint32), t["gram"].to_pylist(), blobs(t["freq"], np.uint8)):
             n = int(per.sum())
@@ -470,36 +529,40 @@ def _add(t: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids, mask=~valid), "events": events, "log_prob": lp, "perplexity": np.exp(-lp / events)})
 
 
-def pitman_yor_perplexity(df: DataFrame, order: int = ORDER, discount: float = DISCOUNT, strength: float = STRENGTH, burn_in: int = BURN_IN, sweeps: int = SWEEPS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pitman_yor_perplexity(df: DataFrame, order: int = ORDER, discount: float = DISCOUNT, strength: float = STRENGTH, burn_in: int = BURN_IN, sweeps: int = SWEEPS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, folder: str = U.TOKENIZERS) -> DataFrame:
     """(doc_id, events, log_prob, perplexity) of every document, under the model of all documents.
 
-    events counts a document's characters and its end; log_prob is natural.
+    events counts a document's symbols and its end; log_prob is natural.  Symbols
+    are the pieces of ``vocabulary``, a piece model in ``folder``; characters
+    without one.
     """
     if order < 2:
         raise ValueError("order must be 2 or more")
     spark = df.sparkSession
     many = buckets(spark)
+    path = U.vocabulary(vocabulary, folder) if vocabulary else None
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sent = docs.select("text").mapInArrow(_send_counts(order, many), "bucket bigint, gram binary, count binary")
-    counts = cut(sent.groupBy("bucket").applyInArrow(_merge_counts(order), "gram binary, shard bigint, symbol bigint, count bigint"))
+    sent = docs.select("text").mapInArrow(_send_counts(order, many, path), "bucket bigint, gram binary, count binary")
+    counts = cut(sent.groupBy("bucket").applyInArrow(_merge_counts(order, SHARDS * many, path), "shard bigint, gram binary, count binary"))
     rng, root = np.random.default_rng(seed), Root(discount, strength)
     ds, strengths = [discount] * (order - 1), [strength] * (order - 1)
-    # To the driver come numbers per shard and character of the alphabet: first the contexts that each character follows, then the shards' tables.
-    customers = {r[0]: r[1] for r in counts.groupBy("symbol").agg(F.countDistinct("shard")).collect()}
-    state = cut(counts.groupBy("shard").applyInArrow(_start(order), "shard bigint, state binary"))
+    state = cut(counts.groupBy("shard").applyInArrow(_start(order, path), "shard bigint, state binary, symbols array<bigint>, tables array<bigint>"))
     release(counts)
     for number in range(burn_in + sweeps):
-        base, rest = root.sweep(customers, rng) if customers else ({}, 1.0)
+        # To the driver come a row per character of the alphabet or piece of the vocabulary, and a row of sums.
+        customers = {r[0]: r[1] for r in state.select(F.explode(F.arrays_zip("symbols", "tables")).alias("z")).groupBy("z.symbols").agg(F.sum("z.tables")).collect()}
+        base, rest = root.sweep(customers, rng) if customers else ({_END: 1.0}, 1.0)
+        known = np.array(sorted(base), np.int64)
+        base = known, np.array([base[x] for x in known.tolist()])
         before, state = state, cut(state.select("shard", "state").mapInArrow(_sweep(base, rest, ds, strengths, seed, number, number >= burn_in), SWEPT))
         release(before)
-        customers = {r[0]: r[1] for r in state.select(F.explode(F.arrays_zip("symbols", "tables")).alias("z")).groupBy("z.symbols").agg(F.sum("z.tables")).collect()}
         names, levels = ("log_x", "opened", "restaurants", "ones", "twos"), range(order - 1)
         sums = state.agg(*[F.sum(F.col(x)[k]) for k in levels for x in names]).first()
         for k in levels:
             log_x, opened, restaurants, ones, twos = (x or 0 for x in sums[k * len(names) : (k + 1) * len(names)])
             strengths[k], ds[k] = draw_strength(log_x, opened, restaurants, rng), counted_discount(ones, twos)
-    model = cut(state.mapInArrow(_model(sweeps, many), "bucket bigint, h bigint, lp double"))
+    model = cut(state.mapInArrow(_model(sweeps, many), "bucket bigint, h binary, lp binary"))
     release(state)
-    entries = docs.mapInArrow(_send_documents(order, many), "bucket bigint, chunk bigint, h binary, per binary, gram binary, freq binary")
+    entries = docs.mapInArrow(_send_documents(order, many, path), "bucket bigint, chunk bigint, h binary, per binary, gram binary, freq binary")
     sums = entries.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(_score(many), "bucket bigint, chunk bigint, a binary, b binary, c binary")
     return sums.groupBy("chunk").applyInArrow(_add, "doc_id bigint, events bigint, log_prob double, perplexity double")

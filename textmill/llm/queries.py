@@ -10,7 +10,7 @@ from .gumbel_segmentation import gumbel_segmentations
 from .host_reputation import ORACLE as HOST_REPUTATION_SQL
 from .host_reputation import host_reputation
 from .ngram_jaccard_join import ngram_jaccard_join
-from .pitman_yor import pitman_yor_perplexity
+from .pitman_yor import PIECE_ORDER, VOCABULARY, pitman_yor_perplexity
 from .site_templates import site_text
 from .suffix_array_dedup import suffix_array_dedup
 from .token_counts import token_counts
@@ -50,7 +50,7 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pitman_yor_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pitman_yor_perplexity(_read(spark, sf_dir, "documents"))
+    return pitman_yor_perplexity(_read(spark, sf_dir, "documents"), PIECE_ORDER, vocabulary=VOCABULARY)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
