@@ -11,17 +11,17 @@ closed set: the restaurants grow with the corpus.
    to hash buckets, which add them up.  All of every text is counted.
 2. Seating: contexts that end alike share all their parents but the empty one,
    so a shard is what ends with one character, or with the pieces of one hash
-   bucket, and holds its restaurants of every length.  A Gibbs sweep draws the number of tables of each
-   dish in each restaurant from its conditional, given the other dishes' tables
-   and the parent's predictive probability, in which generalised Stirling numbers
-   count the seatings.  Those are a table up to TABLE customers, from which the
-   conditional is drawn, and a convergent series or a saddle point beyond, where
+   bucket, and holds its restaurants of every length.  A Gibbs sweep draws the
+   number of tables of each dish in each restaurant from its conditional, given
+   the other dishes' tables and the parent's predictive probability, in which
+   generalised Stirling numbers count the seatings: a table up to KNOWN customers, a convergent series or a
+   saddle point beyond.  Up to TABLE customers the conditional is drawn, beyond
    STEPS Metropolis steps have that same conditional as their law.  Dishes of a
    restaurant take turns in two halves.  Each table sends one customer to the
    parent.
 3. The empty context is part of the same chain: after each sweep the shards'
-   tables, a row per character of the alphabet or piece of the vocabulary, are its customers, its
-   own tables are drawn, and its probabilities are the base of the next sweep.
+   tables, a row per character of the alphabet or piece of the vocabulary, are
+   its customers, its own tables are drawn, and its probabilities are the base of the next sweep.
    So are the strengths of each length, drawn from their conditional by auxiliary
    variables; discounts follow the counts of dishes of one and two customers.
    A sweep reads the shards' states from the table of the sweep before and writes
@@ -33,8 +33,7 @@ closed set: the restaurants grow with the corpus.
 Defined results: documents are padded, and their end is predicted too, so a null
 or empty text has one event; repeated rows are counted and scored each; a null
 id stays null; a text however long is scored as one; equal texts have equal
-scores.  Ids must be integers or
-castable to them.  Other columns are ignored.
+scores.  Ids must be integers or castable to them.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,9 +50,9 @@ from . import units as U
 from . import words as W
 from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, release
 
-ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, TABLE, STEPS = 5, 0.75, 1.0, 4, 10, 29, 48, 2
+ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, TABLE, KNOWN, STEPS = 5, 0.75, 1.0, 4, 10, 29, 48, 1024, 2
 #: The registered query's pieces and n-grams of them; shards of pieces for each bucket.
-VOCABULARY, PIECE_ORDER, SHARDS = "piece_bpe_32k.model", 3, 4
+VOCABULARY, PIECE_ORDER, SHARDS = "piece_bpe_32k.model", 3, 1
 _PAD, _END = 0x2, 0x3
 
 
@@ -77,14 +76,41 @@ def grams(cps: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, np.
     return W.mix(h), start, np.repeat(np.arange(len(many)), many)
 
 
-def pieces(text: pa.Array, order: int, sp) -> tuple[np.ndarray, np.ndarray]:
-    """The same of pieces: a unit's are made once a chunk; ids are moved by 4, past the pad and the end."""
+class Known:
+    """Ids of the units that a worker has met: a cache of a pure function, which starts anew once it holds ``most``."""
+
+    def __init__(self, sp, most: int = 600_000):
+        self.sp, self.most = sp, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.h, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+
+    def get(self, u: np.ndarray, strings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin, size) for distinct rising hashes; ``strings`` gives the units of some places of them."""
+        at = np.minimum(np.searchsorted(self.h, u), max(len(self.h) - 1, 0))
+        have = self.h[at] == u if len(self.h) else np.zeros(len(u), bool)
+        if not have.all():
+            if len(self.h) + int((~have).sum()) > self.most:
+                self._forget()
+                have[:] = False
+            new = np.flatnonzero(~have)
+            got = self.sp.encode(strings(new), num_threads=1)
+            size = np.fromiter(map(len, got), np.int64, len(got))
+            begin = np.cumsum(size) - size + len(self.flat)
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint16, int(size.sum()))])
+            to = np.searchsorted(self.h, u[new])
+            self.h, self.begin, self.size = np.insert(self.h, to, u[new]), np.insert(self.begin, to, begin), np.insert(self.size, to, size)
+            at = np.searchsorted(self.h, u)
+        return self.flat, self.begin[at], self.size[at]
+
+
+def pieces(text: pa.Array, order: int, known: Known) -> tuple[np.ndarray, np.ndarray]:
+    """The same of pieces; ids are moved by 4, past the pad and the end."""
     raw, doc, start, end = U.piece_units(text)
-    _, first, inverse = np.unique(U.hashes(raw, start, end), return_index=True, return_inverse=True)
-    got = sp.encode(U.strings(raw, start[first], end[first]), num_threads=1) if len(first) else []
-    size = np.fromiter(map(len, got), np.int64, len(got))
-    flat = np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))
-    per, begin = size[inverse], (np.cumsum(size) - size)[inverse]
+    u, first, inverse = np.unique(U.hashes(raw, start, end), return_index=True, return_inverse=True)
+    flat, begin, size = known.get(u, lambda new: U.strings(raw, start[first[new]], end[first[new]]))
+    per, begin = size[inverse], begin[inverse]
     ends = np.concatenate([[0], np.cumsum(per)])
     n = np.diff(ends[np.searchsorted(start, doc)])
     off = np.concatenate([[0], np.cumsum(n + order)])
@@ -98,8 +124,8 @@ def pieces(text: pa.Array, order: int, sp) -> tuple[np.ndarray, np.ndarray]:
 def _reader(order: int, path: str | None):
     if path is None:
         return lambda text: symbols(text, order)
-    sp = U.piece_encoder(path)
-    return lambda text: pieces(text, order, sp)
+    known = Known(U.piece_encoder(path))
+    return lambda text: pieces(text, order, known)
 
 
 def _kind(path: str | None):
@@ -148,20 +174,20 @@ def _merge_counts(order: int, shards: int, path: str | None):
     return run
 
 
-_STIRLING: dict[float, np.ndarray] = {}
+_STIRLING: dict[float, np.ndarray] = {}  # of the discounts used last
 #: Discounts are rounded to such steps, so that tables of Stirling numbers are few.
 _STEP = 0.01
 
 
 def stirling(d: float) -> np.ndarray:
-    """log S(c, t) up to TABLE customers: the seatings of c customers at t tables, weighted as the discount d does."""
+    """log S(c, t) up to KNOWN customers: the seatings of c customers at t tables, weighted as the discount d does."""
     if d not in _STIRLING:
-        s = np.full((TABLE + 1, TABLE + 1), -np.inf)
+        while len(_STIRLING) >= 6:
+            _STIRLING.pop(next(iter(_STIRLING)))
+        s, t = np.full((KNOWN + 1, KNOWN + 1), -np.inf), np.arange(KNOWN + 1)
         s[0, 0] = 0.0
-        for c in range(TABLE):
-            for t in range(1, c + 2):
-                stay = s[c, t] + np.log(c - t * d) if t <= c and c - t * d > 0 else -np.inf
-                s[c + 1, t] = np.logaddexp(s[c, t - 1], stay)
+        for c in range(KNOWN):
+            s[c + 1, 1:] = np.logaddexp(s[c, :-1], s[c, 1:] + np.log(np.maximum(c - t[1:] * d, 1e-300)))
         _STIRLING[d] = s
     return _STIRLING[d]
 
@@ -184,16 +210,30 @@ def _tilt(w: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return lx, lu, lf, np.log(d) + lx + (d - 1) * lu - lf
 
 
+_GRID: dict[float, tuple[np.ndarray, np.ndarray]] = {}  # of the discounts used last
+
+
+def _grid(d: float) -> tuple[np.ndarray, np.ndarray]:
+    if d not in _GRID:
+        while len(_GRID) >= 6:
+            _GRID.pop(next(iter(_GRID)))
+        w = np.concatenate([np.linspace(-45, -6, 2000), np.linspace(-6, 60, 20000), np.linspace(60, 700, 4000)])
+        _GRID[d] = _tilt(w, d)[3], w
+    return _GRID[d]
+
+
 def _saddle(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
-    low, high, goal = np.full(len(c), -45.0), np.full(len(c), 700.0), np.log(c / t)
-    for _ in range(36):  # the value hardly depends on the last digits of its saddle point
-        w = (low + high) / 2
-        up = _tilt(w, d)[3] < goal
-        low, high = np.where(up, w, low), np.where(up, high, w)
-    lx, lu, lf, mean = _tilt(w, d)
-    m, r, e = np.exp(mean), np.exp(w), 1 - d
-    m2, m3, m4 = m * (1 + e * r), m * (1 + 3 * e * r + e * (2 - d) * r * r), m * (1 + 7 * e * r + 6 * e * (2 - d) * r * r + e * (2 - d) * (3 - d) * r**3)
-    k2, k3, k4 = m2 - m * m, m3 - 3 * m2 * m + 2 * m**3, m4 - 4 * m3 * m - 3 * m2 * m2 + 12 * m2 * m * m - 6 * m**4
+    goal, e = np.log(c / t), 1 - d
+    w = np.interp(goal, *_grid(d))
+    for step in range(3):  # Newton's steps from the grid's value
+        lx, lu, lf, mean = _tilt(w, d)
+        m, r = np.exp(mean), np.exp(w)
+        m2 = m * (1 + e * r)
+        k2 = m2 - m * m
+        if step < 2:
+            w = w - np.clip((mean - goal) * m / np.maximum(k2 * np.exp(lu), 1e-300), -0.05, 0.05)
+    m3, m4 = m * (1 + 3 * e * r + e * (2 - d) * r * r), m * (1 + 7 * e * r + 6 * e * (2 - d) * r * r + e * (2 - d) * (3 - d) * r**3)
+    k3, k4 = m3 - 3 * m2 * m + 2 * m**3, m4 - 4 * m3 * m - 3 * m2 * m2 + 12 * m2 * m * m - 6 * m**4
     return t * lf - c * lx - 0.5 * np.log(2 * np.pi * t * k2) + (k4 / k2**2 / 8 - 5 * k3**2 / k2**3 / 24) / t
 
 
@@ -211,7 +251,17 @@ def _series(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
 
 
 def log_stirling(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
-    """log S(c, t) at any size, from c! / (t! d^t) [x^c] (1 - (1 - x)^d)^t.
+    """log S(c, t) at any size."""
+    c, t = np.asarray(c, float), np.asarray(t, float)
+    known = c <= KNOWN
+    out = np.empty(len(c))
+    out[known] = stirling(d)[c[known].astype(np.int64), t[known].astype(np.int64)]
+    out[~known] = far_stirling(c[~known], t[~known], d)
+    return out
+
+
+def far_stirling(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    """The same from c! / (t! d^t) [x^c] (1 - (1 - x)^d)^t, for tens of customers or more.
 
     The binomial series is used where its terms hardly cancel, else a saddle
     point with its second term.
@@ -236,7 +286,7 @@ def _centre(c: np.ndarray, z: np.ndarray, parent: np.ndarray, d: float) -> tuple
         return t, lf + np.log1p(z / t) + np.log(parent)
 
     low, high = np.full(len(c), -45.0), np.full(len(c), 300.0)
-    for _ in range(30):
+    for _ in range(16):  # proposals need no more
         w = (low + high) / 2
         up = slope(w)[1] < 0  # too many tables: more weight on large ones
         low, high = np.where(up, w, low), np.where(up, high, w)
@@ -281,7 +331,7 @@ def draw_tables(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float,
         k = np.arange(1, int(n[-1]) + 1)
         # [strength + d others] rises by d for each new table, and each new table's dish comes from the parent.
         rise = np.cumsum(np.log(strength + d * (others[j, None] + k[None] - 1)), axis=1)
-        lw = stirling(d)[n][:, 1 : len(k) + 1] + rise + k * np.log(parent[j])[:, None]
+        lw = stirling(d)[:, 1 : len(k) + 1][n] + rise + k * np.log(parent[j])[:, None]
         w = np.cumsum(np.exp(lw - lw.max(1, keepdims=True)), axis=1)
         t[j] = 1 + (w < rng.random(len(j))[:, None] * w[:, -1:]).sum(1)
     i = np.flatnonzero(c > TABLE)
