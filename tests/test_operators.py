@@ -90,6 +90,15 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 10: 10, 11: 10, 12: 10, 20: 20, 21: 20}
 
 
+def test_clusters_of_equal_hashes(spark):
+    docs = spark.createDataFrame([(5, 1), (3, 1), (8, 3), (2, 64), (6, 64), (1, None), (4, None), (7, 200)], "doc_id bigint, hash bigint")
+    pairs = spark.createDataFrame([(1, 3)], "a bigint, b bigint")
+    of = lambda x: {r.doc_id: r.cluster for r in neardup.clusters(docs, pairs, x).collect()}
+    apart = {1: -1, 4: -1, 7: -1}
+    assert of(False) == {5: 3, 3: 3, 8: 3, 2: -1, 6: -1, **apart}
+    assert of(True) == {5: 3, 3: 3, 8: 3, 2: 2, 6: 2, **apart}
+
+
 def test_registry_runs_names_in_order(spark):
     df = spark.createDataFrame([(1, "a\nb " + "w " * 20), (2, "  "), (3, "a{b}\nkeep " + "x " * 20), (4, "a{b}\nkeep " + "x " * 20)], "doc_id bigint, text string")
     out = cleaning.run(df, ["remove_lines_with_code", "filter_remove_empty_docs", "dedup_document", "filter_small_docs"])

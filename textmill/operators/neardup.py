@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.lineage import written
+from ..functions.lineage import release, written
 
 _MARKS = regex.compile(r"\p{P}")
 BLOCKS, DISTANCE, WINDOW = 6, 3, 6
@@ -119,9 +119,13 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.withColumn("m", F.least(F.min("v").over(Window.partitionBy("u")), F.col("u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
-        now = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        # Least neighbours are aggregates joined back, so that no task holds all edges of a node of many.
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u")
+        last, now = now, written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        release(last)
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if mark == before:
             break
@@ -137,7 +141,8 @@ def clusters(docs: DataFrame, pairs: DataFrame, link_equal: bool = False, id_col
     """
     linked = docs.join(components(pairs).withColumnRenamed("node", "hash"), "hash", "left").select(F.col(id_col), "hash", "root")
     if link_equal:
-        linked = linked.withColumn("root", F.coalesce("root", F.when(F.count("*").over(Window.partitionBy("hash")) > 1, F.col("hash"))))
+        equal = docs.groupBy("hash").agg(F.count("*").alias("__n")).where("__n > 1").select("hash", F.lit(True).alias("__equal"))
+        linked = linked.join(equal, "hash", "left").withColumn("root", F.coalesce("root", F.when(F.col("__equal"), F.col("hash")))).drop("__equal")
     least = linked.where("root IS NOT NULL").groupBy("root").agg(F.min(id_col).alias("cluster"))
     return linked.join(least, "root", "left").select(id_col, "hash", F.coalesce("cluster", F.lit(-1).cast("bigint")).alias("cluster"))
 
