@@ -48,12 +48,14 @@ from pyspark.sql import functions as F
 
 from . import units as U
 from . import words as W
-from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, release
+from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, pack6, release, unpack6
 
 ORDER, DISCOUNT, STRENGTH, BURN_IN, SWEEPS, SEED, TABLE, KNOWN, STEPS = 5, 0.75, 1.0, 4, 10, 29, 48, 1024, 2
 #: The registered query's pieces and n-grams of them; shards of pieces for each bucket.
 VOCABULARY, PIECE_ORDER, SHARDS = "piece_bpe_32k.model", 3, 1
 _PAD, _END = 0x2, 0x3
+#: Dishes whose tables are drawn at once, which bounds what a worker holds.
+_AT_ONCE = 1 << 13
 
 
 def symbols(text: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,10 +107,20 @@ class Known:
         return self.flat, self.begin[at], self.size[at]
 
 
+def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 19) -> np.ndarray:
+    """Hashes of units, made for so many bytes at a time (or one unit of more): their powers and sums take 40 bytes a byte."""
+    out, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):
+        z = max(int(np.searchsorted(start, start[i] + most)), i + 1)
+        out[i:z] = U.hashes(raw[start[i] : end[z - 1]], start[i:z] - start[i], end[i:z] - start[i])
+        i = z
+    return out
+
+
 def pieces(text: pa.Array, order: int, known: Known) -> tuple[np.ndarray, np.ndarray]:
     """The same of pieces; ids are moved by 4, past the pad and the end."""
     raw, doc, start, end = U.piece_units(text)
-    u, first, inverse = np.unique(U.hashes(raw, start, end), return_index=True, return_inverse=True)
+    u, first, inverse = np.unique(_hashes(raw, start, end), return_index=True, return_inverse=True)
     flat, begin, size = known.get(u, lambda new: U.strings(raw, start[first[new]], end[first[new]]))
     per, begin = size[inverse], begin[inverse]
     ends = np.concatenate([[0], np.cumsum(per)])
@@ -182,7 +194,7 @@ _STEP = 0.01
 def stirling(d: float) -> np.ndarray:
     """log S(c, t) up to KNOWN customers: the seatings of c customers at t tables, weighted as the discount d does."""
     if d not in _STIRLING:
-        while len(_STIRLING) >= 6:
+        while len(_STIRLING) >= 3:
             _STIRLING.pop(next(iter(_STIRLING)))
         s, t = np.full((KNOWN + 1, KNOWN + 1), -np.inf), np.arange(KNOWN + 1)
         s[0, 0] = 0.0
@@ -325,8 +337,8 @@ def draw_tables(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float,
     t = np.minimum(c, 1)
     i = np.flatnonzero((c > 1) & (c <= TABLE))
     i = i[np.argsort(c[i], kind="stable")]
-    for at in range(0, len(i), 65536):
-        j = i[at : at + 65536]
+    for at in range(0, len(i), _AT_ONCE):
+        j = i[at : at + _AT_ONCE]
         n = c[j]
         k = np.arange(1, int(n[-1]) + 1)
         # [strength + d others] rises by d for each new table, and each new table's dish comes from the parent.
@@ -335,8 +347,8 @@ def draw_tables(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float,
         w = np.cumsum(np.exp(lw - lw.max(1, keepdims=True)), axis=1)
         t[j] = 1 + (w < rng.random(len(j))[:, None] * w[:, -1:]).sum(1)
     i = np.flatnonzero(c > TABLE)
-    for at in range(0, len(i), 65536):
-        j = i[at : at + 65536]
+    for at in range(0, len(i), _AT_ONCE):
+        j = i[at : at + _AT_ONCE]
         t[j] = _metropolis((t if now is None else now)[j], c[j], others[j], parent[j], d, strength, rng)
     return t
 
@@ -512,10 +524,11 @@ def _send_documents(order: int, many: int, path: str | None):
         for chunk in W.chunks(batches):
             c, docs = next(ids), chunk.num_rows
             cps, off = read(chunk.column("text"))
-            h, _, doc = grams(cps, off, order)
+            h, start, doc = grams(cps, off, order)
+            del start, cps
             u, inverse = np.unique(h, return_inverse=True)
             key = (doc << 32) | inverse
-            del h, doc, inverse, cps  # a worker holds a few arrays as long as the chunk, not ten
+            del h, doc, inverse  # a worker holds a few arrays as long as the chunk, not ten
             key.sort()
             new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             freq, key = np.diff(np.append(new, len(key))), key[new]
@@ -538,8 +551,8 @@ def _send_documents(order: int, many: int, path: str | None):
                 f = freq[at[k] : at[k + 1]]
                 # 255 stands for a frequency that follows at the end.
                 packed = np.concatenate([np.minimum(f, 255).astype(np.uint8), f[f >= 255].astype("<u4").view(np.uint8)])
-                for col, x in zip(cols, (u[lead[k] : lead[k + 1]], per[k].astype(np.uint32), gram[at[k] : at[k + 1]].astype(small), packed)):
-                    col.append(binary(x))
+                for col, x in zip(cols, (pack6(u[lead[k] : lead[k + 1]]), binary(per[k].astype(np.uint32)), binary(gram[at[k] : at[k + 1]].astype(small)), binary(packed))):
+                    col.append(x)
             yield pa.record_batch([pa.array(used, pa.int64()), pa.array([c] * len(used), pa.int64()), *(pa.array(x, pa.binary()) for x in cols)], _COLUMNS)
 
     return run
@@ -554,11 +567,11 @@ def _score(many: int):
             return SUMS.empty_table()
         if t["bucket"][0].as_py() >= many:
             return pa.table([t["bucket"], t["chunk"], t["h"], t["per"], t["gram"]], schema=SUMS)
-        h, lp = np.concatenate(blobs(model["h"], np.uint64)), np.concatenate(blobs(model["lp"], np.float32)).astype(float)
+        h, lp = np.concatenate(blobs(model["h"], np.uint64)) & np.uint64((1 << 48) - 1), np.concatenate(blobs(model["lp"], np.float32)).astype(float)
         order = np.argsort(h)
         h, lp = h[order], lp[order]
         out = []
-        for u, per, gram, freq in zip(blobs(t["h"], np.uint64), blobs(t["per"], np.uint32), t["gram"].to_pylist(), blobs(t["freq"], np.uint8)):
+        for u, per, gram, freq in zip(map(unpack6, blobs(t["h"], np.uint8)), blobs(t["per"], np.uint32), t["gram"].to_pylist(), blobs(t["freq"], np.uint8)):
             n = int(per.sum())
             g = np.frombuffer(gram, np.uint16 if len(gram) == 2 * n else np.uint32)
             f = freq[:n].astype(np.int64)
