@@ -141,6 +141,25 @@ def test_one_document_of_each_group_stays(spark, docs, clashing):
     assert len(left) == 4 and [r.doc_id for r in left if (r.text or "").startswith("w0")] == [7]
 
 
+def test_removal_of_near_copies_shuffles_no_text_for_few_keys(spark, docs, monkeypatch):
+    """Keys too many for the planner to broadcast, but SLIM at most; and the shuffle of more gives the same rows."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        for rows in (docs, once):
+            few = near.drop_near_copies(rows)
+            plan = few._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+            monkeypatch.setattr(near, "SLIM", 0)
+            more = near.drop_near_copies(rows)
+            assert "SortMergeJoin" in more._jdf.queryExecution().executedPlan().toString()
+            assert sorted(few.collect(), key=repr) == sorted(more.collect(), key=repr)
+            monkeypatch.undo()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def brute_spans(rows, length):
     """Like the operator: rows equal in id and text are one document, null ids come last."""
     rows = sorted(set((r[0], r[1]) for r in rows if r[1]), key=lambda r: (r[0] is None, r[0] or 0))

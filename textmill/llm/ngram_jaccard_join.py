@@ -396,8 +396,12 @@ def drop_near_copies(docs: DataFrame, n: int = N, threshold: float = THRESHOLD)
     def keys(rows: DataFrame) -> DataFrame:
         return rows.select(F.col("doc_id").alias(key), F.col("version").alias(version))
 
+    def slim(rows: DataFrame) -> DataFrame:
+        """Keys that needn't the texts shuffled to meet them while they are SLIM at most."""
+        return _slim(cut(keys(rows)))
+
     repeated = marked.where("keep AND many > 1")
     if repeated.isEmpty():
-        return docs.join(keys(marked.where("NOT keep")), on, "left_anti")
-    once = docs.join(keys(repeated), on, "left_semi").dropDuplicates(["doc_id", "text"])
-    return docs.join(keys(marked.where("NOT keep OR many > 1")), on, "left_anti").unionByName(once)
+        return docs.join(slim(marked.where("NOT keep")), on, "left_anti")
+    once = docs.join(slim(repeated), on, "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(slim(marked.where("NOT keep OR many > 1")), on, "left_anti").unionByName(once)
