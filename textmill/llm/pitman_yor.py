@@ -56,6 +56,8 @@ VOCABULARY, PIECE_ORDER, SHARDS = "piece_bpe_32k.model", 3, 1
 _PAD, _END = 0x2, 0x3
 #: Dishes whose tables are drawn at once, which bounds what a worker holds.
 _AT_ONCE = 1 << 13
+#: Units encoded at once: as Python lists their pieces take some hundred bytes a unit.
+_ENCODED = 1 << 14
 
 
 def symbols(text: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,14 +70,22 @@ def symbols(text: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     return cps, off
 
 
+def _places(most: int):
+    """The kind of number for places below that: a worker holds several arrays of them as long as a chunk."""
+    return np.int32 if most < 1 << 31 else np.int64
+
+
 def grams(cps: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, document) of every n-gram of every document."""
-    many = np.diff(off) - order + 1
-    start = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(off[:-1], many)
+    many, kind = np.diff(off) - order + 1, _places(len(cps))
+    start = np.arange(many.sum(), dtype=kind)
+    start += np.repeat((off[:-1] - np.cumsum(many) + many).astype(kind), many)
     h = np.zeros(len(start), np.uint64)
     for k in range(order):
-        h = h * np.uint64(W._R) + cps[start + k].astype(np.uint64) + np.uint64(1)
-    return W.mix(h), start, np.repeat(np.arange(len(many)), many)
+        h *= np.uint64(W._R)
+        h += cps[start + k]
+        h += np.uint64(1)
+    return W.mix(h), start, np.repeat(np.arange(len(many), dtype=kind), many)
 
 
 class Known:
@@ -97,17 +107,22 @@ class Known:
                 self._forget()
                 have[:] = False
             new = np.flatnonzero(~have)
-            got = self.sp.encode(strings(new), num_threads=1)
-            size = np.fromiter(map(len, got), np.int64, len(got))
+            sizes, flats = [], []
+            for i in range(0, len(new), _ENCODED):
+                got = self.sp.encode(strings(new[i : i + _ENCODED]), num_threads=1)
+                sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+                flats.append(np.fromiter(chain.from_iterable(got), np.uint16, int(sizes[-1].sum())))
+                del got
+            size = np.concatenate(sizes)
             begin = np.cumsum(size) - size + len(self.flat)
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint16, int(size.sum()))])
+            self.flat = np.concatenate([self.flat, *flats])
             to = np.searchsorted(self.h, u[new])
             self.h, self.begin, self.size = np.insert(self.h, to, u[new]), np.insert(self.begin, to, begin), np.insert(self.size, to, size)
             at = np.searchsorted(self.h, u)
         return self.flat, self.begin[at], self.size[at]
 
 
-def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 19) -> np.ndarray:
+def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 18) -> np.ndarray:
     """Hashes of units, made for so many bytes at a time (or one unit of more): their powers and sums take 40 bytes a byte."""
     out, i = np.empty(len(start), np.uint64), 0
     while i < len(start):
@@ -125,10 +140,14 @@ def pieces(text: pa.Array, order: int, known: Known) -> tuple[np.ndarray, np.nda
     per, begin = size[inverse], begin[inverse]
     ends = np.concatenate([[0], np.cumsum(per)])
     n = np.diff(ends[np.searchsorted(start, doc)])
+    del raw, start, end, u, first, inverse, size
     off = np.concatenate([[0], np.cumsum(n + order)])
-    out = np.full(off[-1], _PAD, np.uint32)
-    at = np.arange(ends[-1])
-    out[at + np.repeat(off[:-1] + order - 1 - (np.cumsum(n) - n), n)] = flat[at + np.repeat(begin - ends[:-1], per)] + np.uint32(4)
+    out, kind = np.full(off[-1], _PAD, np.uint32), _places(max(off[-1], len(flat)))
+    to = np.arange(ends[-1], dtype=kind)
+    at = np.repeat((begin - ends[:-1]).astype(kind), per)
+    at += to
+    to += np.repeat((off[:-1] + order - 1 - (np.cumsum(n) - n)).astype(kind), n)
+    out[to] = flat[at] + np.uint32(4)
     out[off[1:] - 1] = _END
     return out, off
 
@@ -144,18 +163,24 @@ def _kind(path: str | None):
     return np.uint16 if path else np.uint32  # a vocabulary has fewer than 65,532 pieces
 
 
+def _chunk_counts(text: pa.Array, read, order: int, many: int, kind) -> pa.RecordBatch:
+    """A row for each bucket; what was made of one chunk is gone before the next is read."""
+    cps, off = read(text)
+    h, start, _ = grams(cps, off, order)
+    u, first, count = np.unique(h, return_index=True, return_counts=True)
+    del h
+    rows = cps[start[first][:, None] + np.arange(order, dtype=start.dtype)].astype(kind)
+    del cps, start, first
+    to = np.searchsorted(bucket(u, many), np.arange(many + 1))
+    used = [k for k in range(many) if to[k] < to[k + 1]]
+    return pa.record_batch([pa.array(used, pa.int64()), *(pa.array([binary(x[to[k] : to[k + 1]]) for k in used], pa.binary()) for x in (rows, count.astype(np.uint32)))], ["bucket", "gram", "count"])
+
+
 def _send_counts(order: int, many: int, path: str | None):
     def run(batches):
         read = _reader(order, path)
         for chunk in W.chunks(batches):
-            cps, off = read(chunk.column("text"))
-            h, start, _ = grams(cps, off, order)
-            u, first, count = np.unique(h, return_index=True, return_counts=True)
-            del h
-            rows = cps[start[first][:, None] + np.arange(order)].astype(_kind(path))
-            to = np.searchsorted(bucket(u, many), np.arange(many + 1))
-            used = [k for k in range(many) if to[k] < to[k + 1]]
-            yield pa.record_batch([pa.array(used, pa.int64()), *(pa.array([binary(x[to[k] : to[k + 1]]) for k in used], pa.binary()) for x in (rows, count.astype(np.uint32)))], ["bucket", "gram", "count"])
+            yield _chunk_counts(chunk.column("text"), read, order, many, _kind(path))
 
     return run
 
@@ -518,42 +543,67 @@ class Root:
 _COLUMNS = ["bucket", "chunk", "h", "per", "gram", "freq"]
 
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, rising, and which of them each is."""
+    order = np.argsort(h).astype(_places(len(h)))
+    u = h[order]
+    new = np.append(True, u[1:] != u[:-1])[: len(u)]
+    which = np.empty_like(order)
+    which[order] = np.cumsum(new, dtype=order.dtype) - 1
+    return u[new], which
+
+
+def _chunk_documents(chunk: pa.RecordBatch, c: int, read, order: int, many: int) -> list[pa.RecordBatch]:
+    """A header row, and a row for each bucket; what was made of one chunk is gone before the next is read."""
+    docs = chunk.num_rows
+    cps, off = read(chunk.column("text"))
+    h, start, doc = grams(cps, off, order)
+    del start, cps
+    u, which = _distinct(h)
+    del h
+    key = doc.astype(np.int64)
+    key <<= 32
+    key |= which
+    del doc, which
+    key.sort()
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    freq, key = np.diff(np.append(new, len(key))).astype(_places(len(key))), key[new]
+    del new
+    doc, gram = (key >> 32).astype(_places(docs)), (key & 0xFFFFFFFF).astype(_places(len(u)))
+    del key
+    b = bucket(u, many)
+    lead = np.searchsorted(b, np.arange(many + 1))
+    of = b.astype(np.uint16 if many <= 65536 else np.int64)[gram]
+    slot = of.astype(np.int64)
+    slot *= docs
+    slot += doc
+    per = np.bincount(slot, minlength=many * docs).reshape(many, docs)
+    del slot, doc, b
+    at = np.concatenate([[0], np.cumsum(per.sum(1))])
+    gram -= lead.astype(gram.dtype)[of]
+    order_ = np.argsort(of, kind="stable")
+    del of
+    gram, freq = gram[order_], freq[order_]
+    del order_
+    small = np.uint16 if np.diff(lead).max(initial=0) < 65536 else np.uint32
+    ids, events = chunk.column("doc_id"), np.diff(off) - order + 1
+    head = pa.record_batch([pa.array([many + c % many], pa.int64()), pa.array([c], pa.int64()), *(pa.array([binary(x)], pa.binary()) for x in (ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), events, np.zeros(0)))], _COLUMNS)
+    used = [k for k in range(many) if lead[k] < lead[k + 1]]
+    cols: list[list[bytes]] = [[], [], [], []]
+    for k in used:
+        f = freq[at[k] : at[k + 1]]
+        # 255 stands for a frequency that follows at the end.
+        packed = np.concatenate([np.minimum(f, 255).astype(np.uint8), f[f >= 255].astype("<u4").view(np.uint8)])
+        for col, x in zip(cols, (pack6(u[lead[k] : lead[k + 1]]), binary(per[k].astype(np.uint32)), binary(gram[at[k] : at[k + 1]].astype(small)), binary(packed))):
+            col.append(x)
+    return [head, pa.record_batch([pa.array(used, pa.int64()), pa.array([c] * len(used), pa.int64()), *(pa.array(x, pa.binary()) for x in cols)], _COLUMNS)]
+
+
 def _send_documents(order: int, many: int, path: str | None):
     def run(batches):
         ids, read = chunk_ids(), _reader(order, path)
         for chunk in W.chunks(batches):
-            c, docs = next(ids), chunk.num_rows
-            cps, off = read(chunk.column("text"))
-            h, start, doc = grams(cps, off, order)
-            del start, cps
-            u, inverse = np.unique(h, return_inverse=True)
-            key = (doc << 32) | inverse
-            del h, doc, inverse  # a worker holds a few arrays as long as the chunk, not ten
-            key.sort()
-            new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            freq, key = np.diff(np.append(new, len(key))), key[new]
-            doc, gram = key >> 32, key & 0xFFFFFFFF
-            del key, new
-            b = bucket(u, many)
-            lead = np.searchsorted(b, np.arange(many + 1))
-            of = b[gram]
-            order_ = np.argsort(of.astype(np.uint16) if many <= 65536 else of, kind="stable")
-            per = np.bincount(of * docs + doc, minlength=many * docs).reshape(many, docs)
-            at = np.concatenate([[0], np.cumsum(per.sum(1))])
-            gram, freq = (gram - lead[of])[order_], freq[order_]
-            del doc, of, order_
-            small = np.uint16 if np.diff(lead).max(initial=0) < 65536 else np.uint32
-            ids_, events = chunk.column("doc_id"), np.diff(off) - order + 1
-            yield pa.record_batch([pa.array([many + c % many], pa.int64()), pa.array([c], pa.int64()), *(pa.array([binary(x)], pa.binary()) for x in (ids_.fill_null(0).to_numpy(), ids_.is_valid().to_numpy(zero_copy_only=False), events, np.zeros(0)))], _COLUMNS)
-            used = [k for k in range(many) if lead[k] < lead[k + 1]]
-            cols: list[list[bytes]] = [[], [], [], []]
-            for k in used:
-                f = freq[at[k] : at[k + 1]]
-                # 255 stands for a frequency that follows at the end.
-                packed = np.concatenate([np.minimum(f, 255).astype(np.uint8), f[f >= 255].astype("<u4").view(np.uint8)])
-                for col, x in zip(cols, (pack6(u[lead[k] : lead[k + 1]]), binary(per[k].astype(np.uint32)), binary(gram[at[k] : at[k + 1]].astype(small)), binary(packed))):
-                    col.append(x)
-            yield pa.record_batch([pa.array(used, pa.int64()), pa.array([c] * len(used), pa.int64()), *(pa.array(x, pa.binary()) for x in cols)], _COLUMNS)
+            yield from _chunk_documents(chunk, next(ids), read, order, many)
 
     return run
 
