@@ -371,6 +371,27 @@ def test_gumbel_samples_follow_the_law(monkeypatch, steps):
         assert np.exp(lp - inclusion).sum() / n == pytest.approx(1, abs=0.05)
 
 
+def test_gumbel_work_is_shared_by_the_documents_of_a_chunk(monkeypatch):
+    """Documents go through a round together, and only what begins a piece is looked up as a longer one."""
+    pieces, calls, looked = gumbel.Pieces(U.vocabulary(gumbel.VOCABULARY)), [], []
+    uniform, find = gumbel._uniform, gumbel.Pieces.find
+    monkeypatch.setattr(gumbel, "_uniform", lambda *a: calls.append(1) or uniform(*a))
+    monkeypatch.setattr(gumbel.Pieces, "find", lambda self, h: looked.append(len(h)) or find(self, h))
+    text = "the people of a small town near the river"
+
+    def work(n):
+        calls.clear()
+        gumbel.sample_chunk(pa.array([text] * n), W.mix(np.arange(n, dtype=np.uint64)), pieces, 3, 0.5)
+        return len(calls)
+
+    # A path of one document may need one split more than another's, so a few calls more are allowed.
+    assert work(200) <= work(1) + 8
+    looked.clear()
+    letters = "☃" * 4000
+    gumbel.sample_chunk(pa.array([letters]), W.mix(np.arange(1, dtype=np.uint64)), pieces, 2, 0.5)
+    assert sum(looked) < 3 * len(letters)  # not once for each length of a piece
+
+
 def test_segmentations_decode_to_the_text(docs, clashing, none):
     out = gumbel.gumbel_segmentations(clashing, k=2)
     rows = [r for r in documents() if r[1] is not None]

@@ -30,6 +30,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,29 +48,30 @@ _BYTE0, _A, _C = 3, np.uint64(6364136223846793005), np.uint64(144269504088896340
 
 
 class Pieces:
-    """The vocabulary as sorted hashes with log-probabilities."""
+    """The vocabulary and all beginnings of its pieces as sorted hashes with log-probabilities; ids of mere beginnings are -1."""
 
     def __init__(self, path: str):
         sp = U.piece_encoder(path)
         names = [(sp.id_to_piece(i), i, sp.get_score(i)) for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         names = [(p, i, s) for p, i, s in names if "▁" not in p[1:] and (s > -1e8 or p == "▁")]
         self.longest = max(len(p) for p, _, _ in names)
-        blob, size = "".join(p for p, _, _ in names).encode(), np.array([len(p.encode()) for p, _, _ in names])
+        begun = list(dict.fromkeys([p for p, _, _ in names] + [p[:n] for p, _, _ in names for n in range(1, len(p))]))  # the pieces first
+        blob, size = "".join(begun).encode(), np.array([len(p.encode()) for p in begun])
         end = np.cumsum(size)
         h = U.hashes(np.frombuffer(blob, np.uint8), end - size, end)
         rank = np.minimum([1 - s for _, _, s in names], len(names))  # the bare "▁" has no rank of its own: the last
         lp = -np.log(1 + rank)
         lp -= np.log(np.exp(lp).sum())
-        order = np.argsort(h)
-        self.h, self.ids, self.lp = h[order], np.array([i for _, i, _ in names], np.int32)[order], lp[order]
         self.unknown = float(lp.min()) - 10
+        order, more = np.argsort(h), len(begun) - len(names)
+        self.h, self.ids, self.lp = h[order], np.array([i for _, i, _ in names] + [-1] * more, np.int32)[order], np.append(lp, np.full(more, self.unknown))[order]
         # A table by the top bits leaves few places to look at, and none for most hashes.
         self.bits = 20
         self.first = np.searchsorted(self.h, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
         self.first = np.append(self.first, np.int32(len(self.h)))
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """Place of each hash, -1 where there is no such piece."""
+        """Place of each hash, -1 where no piece begins so."""
         top = (h >> np.uint64(64 - self.bits)).astype(np.int64)
         at, end = self.first[top], self.first[top + 1]
         out = np.full(len(h), -1, np.int32)
@@ -85,19 +88,21 @@ class Lattice:
     """Edges of all distinct units of a chunk, by start node, longest first."""
 
     def __init__(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces, alpha: float):
-        lead = np.flatnonzero((raw & 0xC0) != 0x80)
-        a, z = np.searchsorted(lead, start), np.searchsorted(lead, end)
+        leads = (raw & 0xC0) != 0x80
+        lead = np.flatnonzero(leads)
+        before = np.zeros(len(raw) + 1, np.int32)
+        np.cumsum(leads, out=before[1:])
+        a, z = before[start].astype(np.int64), before[end].astype(np.int64)
         many = z - a  # characters of each unit
         self.root = np.cumsum(many + 1) - (many + 1)
         nodes = int((many + 1).sum())
-        char = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)  # place in the unit
-        unit = np.repeat(np.arange(len(many)), many)
-        at, left = a[unit] + char, many[unit] - char
-        lead = np.append(lead, len(raw))
+        char = (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)).astype(np.int32)  # place in the unit
+        at, left = np.repeat(a.astype(np.int32), many) + char, np.repeat(many.astype(np.int32), many) - char
+        lead = np.append(lead, len(raw)).astype(np.int32 if len(raw) < 1 << 31 else np.int64)
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * W._powers("r", W._R, len(raw))[: len(raw)], out=sums[1:])
         inv = W._powers("inv", W._R_INV, len(raw))
-        begin, base = lead[at], self.root[unit] + char
+        begin, base = lead[at], np.repeat(self.root.astype(np.int32), many) + char
         head, hsum = inv[begin], sums[begin]
         src, dst, place = [], [], []
         i = np.arange(len(left))
@@ -107,25 +112,33 @@ class Lattice:
                 break
             stop = lead[at[i] + n]
             p = pieces.find(W.mix((sums[stop] - hsum[i]) * head[i] + (stop - begin[i]).astype(np.uint64)))
-            ok = np.flatnonzero(p >= 0) if n > 1 else slice(None)  # a character always has an edge
-            src.append(base[i[ok]])
+            piece = pieces.ids[p] >= 0
+            piece &= p >= 0
+            if n == 1:  # a character always has an edge
+                src.append(base[i])
+                place.append(np.where(piece, p, -1))
+            else:
+                src.append(base[i[piece]])
+                place.append(p[piece])
             dst.append(src[-1] + n)
-            place.append(p[ok])
-        src, dst, place = (np.concatenate(x[::-1]) if x else np.zeros(0, np.int64) for x in (src, dst, place))
+            i = i[p >= 0]  # what no piece begins with has no longer pieces either
+        del begin, head, hsum, left, char, sums
+        src, dst, place = (np.concatenate(x[::-1]) if x else np.zeros(0, np.int32) for x in (src, dst, place))
         order = np.argsort(src, kind="stable")  # by start, longer pieces first: those are tried first
         src, dst, place = src[order], dst[order], place[order]
         lp = alpha * np.where(place >= 0, pieces.lp[place], pieces.unknown)
         # Backward sums, all units at once, from their ends.
         beta = np.full(nodes, -np.inf)
         beta[self.root + many] = 0.0
-        from_end = np.repeat(many, many + 1) - (np.arange(nodes) - np.repeat(self.root, many + 1))
+        from_end = (np.repeat(many + self.root, many + 1) - np.arange(nodes)).astype(np.int32)
         behind = from_end[src]
-        order = np.argsort(behind.astype(np.uint16) if len(many) and many.max() < 65536 else behind, kind="stable")
+        order = np.argsort(behind.astype(np.uint16) if len(many) and many.max() < 65536 else behind, kind="stable").astype(np.int32)
         behind, by = behind[order], src[order]
         new = np.flatnonzero(np.append(True, by[1:] != by[:-1])) if len(by) else np.zeros(0, np.int64)  # one for each node
         group = np.searchsorted(behind[new], np.arange(1, int(many.max(initial=0)) + 2))
         new = np.append(new, len(by))
         lp_by, dst_by = lp[order], dst[order]
+        del order, behind
         for lo, hi in zip(group[:-1].tolist(), group[1:].tolist()):
             if lo < hi:
                 at_ = slice(int(new[lo]), int(new[hi]))
@@ -133,18 +146,24 @@ class Lattice:
                 v = lp_by[at_] + beta[dst_by[at_]]
                 top = np.maximum.reduceat(v, starts)
                 beta[by[new[lo:hi]]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.append(starts, len(v))))), starts))
-        self.dst, self.lp = dst.astype(np.int32), lp + beta[dst] - beta[src]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(src, minlength=nodes))]).astype(np.int32)
+        del lp_by, dst_by, new
+        self.dst, self.lp = dst, lp + beta[dst] - beta[src]
+        fan = np.bincount(src, minlength=nodes)
+        self.first = np.concatenate([[0], np.cumsum(fan)]).astype(np.int32)
         self.ids = np.where(place >= 0, pieces.ids[place], -1)
         p = np.exp(self.lp)
         c = np.cumsum(p)
-        self.cum = c - np.repeat((c - p)[self.first[:-1][np.diff(self.first) > 0]], np.diff(self.first)[np.diff(self.first) > 0])
-        self.cum[self.first[1:][np.diff(self.first) > 0] - 1] = 2.0
-        self.inner = np.diff(self.first) > 0  # not a unit's end
+        self.inner = fan > 0  # not a unit's end
+        head = self.first[:-1][self.inner]
+        self.cum = c - np.repeat(c[head] - p[head], fan[self.inner])
+        self.cum[self.first[1:][self.inner] - 1] = 2.0
         # Where the bytes of a character are that has no piece.
-        char_at = np.zeros(nodes, np.int64)
-        char_at[self.root[unit] + char] = at
-        self.byte, self.bytes = lead[char_at[src]], np.diff(lead)[char_at[src]]
+        self.lead, self.char = lead, np.zeros(nodes, np.int32)
+        self.char[base] = at
+
+    def node(self, edge: np.ndarray) -> np.ndarray:
+        """The node that an edge starts from."""
+        return np.searchsorted(self.first, edge.astype(np.int32), "right") - 1
 
     def descend(self, node: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sample a path from each node to its unit's end: (edges, offsets)."""
@@ -237,57 +256,77 @@ class Search:
             for j in np.flatnonzero(value[i] > -np.inf):
                 self.open[d].append((float(value[i, j]), r, s + int(j), None if j < _STEPS else -1, ()))
 
-    def _split(self, d: int, item: tuple, salt: int) -> None:
-        """A tail set becomes its next steps and a shorter tail, one of which has its value."""
-        value, r, s, _, _ = item
-        path = self.paths[d][r]
-        x = self.l.lp[path]
-        n = min(_STEPS, len(x) - s)
-        lead = np.append(0.0, np.cumsum(x[s : s + n]))
-        mass = np.append(lead[:-1] + _log1mexp(x[s : s + n]), lead[-1] + (_log1mexp(x[s + n :].sum()) if s + n < len(x) else -np.inf))
-        mass[:-1][x[s : s + n] > -1e-13] = -np.inf
-        u = _uniform(self.key[d : d + 1], n + 2, salt)[0]
-        w = np.cumsum(np.exp(mass - mass.max()))
-        lucky = int(np.searchsorted(w, u[-1] * w[-1]))
-        got = _truncated(mass + x[:s].sum(), np.full(n + 1, value), u[:-1])
-        got[lucky] = value
-        self.open[d] += [(float(got[j]), r, s + j, None if j < n else -1, ()) for j in np.flatnonzero(got > -np.inf)]
+    def _split(self, docs: list[int], items: list[tuple], salt: int) -> None:
+        """Tail sets become their next steps and a shorter tail, one of which has the set's value."""
+        rows, columns = np.arange(len(docs)), np.arange(_STEPS + 1)
+        lp, many = np.zeros((len(docs), _STEPS)), np.zeros(len(docs), np.int64)
+        before, tail = np.zeros(len(docs)), np.zeros(len(docs))
+        for i, (d, (_, r, s, _, _)) in enumerate(zip(docs, items)):
+            x = self.l.lp[self.paths[d][r]]
+            before[i], tail[i] = x[:s].sum(), x[s + _STEPS :].sum()
+            x = x[s : s + _STEPS]
+            lp[i, : len(x)], many[i] = x, len(x)
+        lead = np.concatenate([np.zeros((len(docs), 1)), np.cumsum(lp, 1)], 1)
+        mass = np.full((len(docs), _STEPS + 1), -np.inf)
+        mass[:, :-1] = np.where(lp > -1e-13, -np.inf, lead[:, :-1] + _log1mexp(lp))
+        mass[rows, many] = lead[rows, many] + _log1mexp(tail)  # nothing where the path ends
+        u = _uniform(self.key[docs], _STEPS + 2, salt)
+        w = np.cumsum(np.exp(mass - mass.max(1, keepdims=True)), 1)
+        lucky = (w < (u[rows, many + 1] * w[:, -1])[:, None]).sum(1)
+        value = np.array([x[0] for x in items])
+        got = _truncated(mass + before[:, None], value[:, None], u[:, :-1])
+        got[rows, lucky] = value
+        got[columns > many[:, None]] = -np.inf
+        for i, (d, (_, r, s, _, _)) in enumerate(zip(docs, items)):
+            n = int(many[i])
+            self.open[d] += [(float(got[i, j]), r, s + int(j), None if j < n else -1, ()) for j in np.flatnonzero(got[i] > -np.inf)]
+
+    def _best(self, r: int) -> tuple[list[int], list[tuple]]:
+        """Takes the set with the largest value from each document that has one, after its tails are split."""
+        best, live, salt = {}, range(self.docs), 4 * r + 2
+        while live:
+            tails = []
+            for d in live:
+                if self.open[d]:
+                    item = max(self.open[d])
+                    self.open[d].remove(item)
+                    if item[3] is None:
+                        best[d] = item
+                    else:
+                        tails.append((d, item))
+            salt += 1 << 12
+            live = [d for d, _ in tails]
+            if tails:
+                self._split(live, [x for _, x in tails], salt)
+        docs = sorted(best)
+        return docs, [best[d] for d in docs]
 
     def _round(self, r: int) -> None:
-        docs, steps, heads, tops = [], [], [], []
-        for d in range(self.docs):
-            salt = 4 * r + 2
-            while self.open[d]:
-                item = max(self.open[d])
-                self.open[d].remove(item)
-                if item[3] is None:
-                    break
-                salt += 1 << 12
-                self._split(d, item, salt)
-                item = None
-            else:
-                continue
-            value, at, s, _, out = item
-            path = self.paths[d][at]
-            node = int(self._node(path[s]))
-            out = (*out, int(path[s])) if not out else out
-            edges = np.arange(self.l.first[node], self.l.first[node + 1])
-            p = np.exp(self.l.lp[edges])
-            p[np.isin(edges, out)] = 0.0
-            u = _uniform(self.key[d : d + 1], 2, 4 * r + 3)[0]
-            c = np.cumsum(p)
-            e = int(edges[min(int(np.searchsorted(c, u[0] * c[-1], "right")), int(np.flatnonzero(p)[-1]))])
-            rest = c[-1] - np.exp(self.l.lp[e])
-            out = (*out, e)
-            if len(out) < len(edges) and rest > 0:
-                mass = self.l.lp[path[:s]].sum() + np.log(rest)
-                self.open[d].append((float(_truncated(np.array(mass), np.array(value), u[1])), at, s, None, out))
-            docs.append(d)
-            steps.append(s)
-            heads.append(np.append(path[:s], e).astype(np.int32))
-            tops.append(value)
+        docs, items = self._best(r)
         if not docs:
             return
+        rows, steps, tops = np.arange(len(docs)), [x[2] for x in items], np.array([x[0] for x in items])
+        left = np.array([self.paths[d][x[1]][x[2]] for d, x in zip(docs, items)])
+        outs = [x[4] or (int(e),) for x, e in zip(items, left)]
+        node = self.l.node(left)
+        first, many = self.l.first[node].astype(np.int64), np.diff(self.l.first)[node]
+        columns = np.arange(int(many.max()))
+        there = columns < many[:, None]
+        p = np.where(there, np.exp(self.l.lp[np.where(there, first[:, None] + columns, first[:, None])]), 0.0)
+        p[np.repeat(rows, [len(x) for x in outs]), np.array([e for x in outs for e in x]) - np.repeat(first, [len(x) for x in outs])] = 0.0
+        u = _uniform(self.key[docs], 2, 4 * r + 3)
+        c = np.cumsum(p, 1)
+        last = len(columns) - 1 - np.argmax(p[:, ::-1] > 0, 1)
+        pick = np.minimum((c <= (u[:, 0] * c[:, -1])[:, None]).sum(1), last)
+        edge, rest = first + pick, c[:, -1] - p[rows, pick]
+        heads = []
+        for i, d in enumerate(docs):
+            value, at, s, _, _ = items[i]
+            path, out = self.paths[d][at], (*outs[i], int(edge[i]))
+            if len(out) < many[i] and rest[i] > 0:
+                mass = self.l.lp[path[:s]].sum() + np.log(rest[i])
+                self.open[d].append((float(_truncated(np.array(mass), np.array(value), u[i, 1])), at, s, None, out))
+            heads.append(np.append(path[:s], edge[i]).astype(np.int32))
         docs = np.array(docs)
         # The rest of the unit in which the path turned off, and all units after it.
         turned = np.array([int(np.count_nonzero(~self.l.inner[self.l.dst[h[:-1]]])) for h in heads])
@@ -298,10 +337,7 @@ class Search:
         node[np.cumsum(many) - many] = [self.l.dst[h[-1]] for h in heads]
         edges, off = self.l.descend(node, self._states(np.repeat(docs, many), self.local[occ], r))
         ends = off[np.concatenate([[0], np.cumsum(many)])]
-        self._add(docs, [np.concatenate([h, edges[a:z]]) for h, a, z in zip(heads, ends[:-1], ends[1:])], np.array(steps) + 1, np.array(tops), r)
-
-    def _node(self, edge: int) -> int:
-        return int(np.searchsorted(self.l.first, edge, "right")) - 1
+        self._add(docs, [np.concatenate([h, edges[a:z]]) for h, a, z in zip(heads, ends[:-1], ends[1:])], np.array(steps) + 1, tops, r)
 
 
 def _prepared(text: pa.Array) -> pa.Array:
@@ -314,14 +350,17 @@ def _ids(l: Lattice, raw: np.ndarray, edges: np.ndarray, many: np.ndarray) -> tu
     ids = l.ids[edges]
     lost = ids < 0
     if not lost.any():
-        return ids.astype(np.int32), many
-    width = np.where(lost, l.bytes[edges], 1)
+        return ids, many
+    at = np.flatnonzero(lost)
+    char = l.char[l.node(edges[at])]
+    begin, wide = l.lead[char], l.lead[char + 1] - l.lead[char]
+    width = np.ones(len(edges), np.int64)
+    width[at] = wide
     ends = np.cumsum(width)
     out = np.repeat(ids, width)
-    inner = np.arange(ends[-1]) - np.repeat(ends - width, width)
-    fell = np.repeat(lost, width)
-    out[fell] = raw[np.repeat(l.byte[edges], width)[fell] + inner[fell]].astype(np.int64) + _BYTE0
-    return out.astype(np.int32), np.add.reduceat(width, np.cumsum(many) - many)
+    inner = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+    out[np.repeat(ends[at] - wide, wide) + inner] = raw[np.repeat(begin, wide) + inner].astype(np.int32) + _BYTE0
+    return out, np.add.reduceat(width, np.cumsum(many) - many)
 
 
 def sample_chunk(text: pa.Array, key: np.ndarray, pieces: Pieces, k: int, alpha: float):
@@ -349,9 +388,15 @@ def sample_chunk(text: pa.Array, key: np.ndarray, pieces: Pieces, k: int, alpha:
 SCHEMA = "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
 
 
+@lru_cache(1)
+def _pieces(path: str) -> Pieces:
+    """Made once per worker."""
+    return Pieces(path)
+
+
 def _run(path: str, k: int, alpha: float):
     def run(batches):
-        pieces = Pieces(path)
+        pieces = _pieces(path)
         for chunk in W.chunks(batches, most_bytes=CHUNK):
             chunk = chunk.filter(pc.is_valid(chunk.column("text")))
             if chunk.num_rows:
