@@ -8,6 +8,7 @@ and numpy does the work on both sides of the shuffle.
 
 from __future__ import annotations
 
+import ctypes
 import os
 
 import numpy as np
@@ -67,3 +68,40 @@ def blobs(col: pa.ChunkedArray, dtype) -> list[np.ndarray]:
 
 def list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))
+
+
+def give_back() -> None:
+    """Hand what this worker has freed back to the system: the allocators keep it, and workers live on from step to step beside an executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
+def tidy(run):
+    """The function of mapInArrow, whose worker gives back memory when a task's batches are done."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
+def tidy_groups(f, least: int = 1 << 20):
+    """The function of applyInArrow on one table or two, whose worker gives back memory after groups of so many bytes."""
+
+    def one(t: pa.Table) -> pa.Table:
+        out = f(t)
+        if t.nbytes >= least:
+            give_back()
+        return out
+
+    def two(t: pa.Table, other: pa.Table) -> pa.Table:
+        out = f(t, other)
+        if t.nbytes + other.nbytes >= least:
+            give_back()
+        return out
+
+    return two if f.__code__.co_argcount == 2 else one

@@ -32,9 +32,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import units as U
 from . import words as W
+from .exchange import tidy
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 ODD, FELL, FULL = 64, 4, 64
@@ -150,13 +152,27 @@ def tokenizer_fertility(df: DataFrame, bands: dict | None = None, folder: str =
     """(doc_id, lang, measures, reason, accepted) of every document."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     run = _run(["doc_id", "lang"], "text", U.vocabulary(BYTE_VOCABULARY, folder), U.vocabulary(PIECE_VOCABULARY, folder))
-    out = docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, {SCHEMA}")
+    out = docs.mapInArrow(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, {SCHEMA}")
     return out.withColumn("reason", verdict(bands or BANDS)).withColumn("accepted", F.col("reason").isNull())
 
 
+def _text_inside(run, at: int):
+    """run, for batches whose text is field ``at`` of __row and is not sent a second time."""
+
+    def inside(batches):
+        return run(pa.record_batch([*b.columns, b.column("__row").field(at)], [*b.schema.names, "__text"]) for b in batches)
+
+    return inside
+
+
 def keep_fertile(docs: DataFrame, bands: dict | None = None, folder: str = U.TOKENIZERS) -> DataFrame:
     """docs that the bands accept, with their columns as they were."""
-    wide = docs.select(F.struct(*docs.columns).alias("__row"), F.col("lang").cast("string").alias("__lang"), F.col("text").cast("string").alias("__text"))
+    wide = [F.struct(*docs.columns).alias("__row"), F.col("lang").cast("string").alias("__lang")]
     run = _run(["__row", "__lang"], "__text", U.vocabulary(BYTE_VOCABULARY, folder), U.vocabulary(PIECE_VOCABULARY, folder))
-    out = wide.mapInArrow(run, f"__row {docs.schema.simpleString()}, __lang string, {SCHEMA}")
+    at = docs.columns.index("text") if "text" in docs.columns else [c.lower() for c in docs.columns].index("text")
+    if isinstance(docs.schema[at].dataType, StringType):
+        run = _text_inside(run, at)
+    else:
+        wide.append(F.col("text").cast("string").alias("__text"))
+    out = docs.select(*wide).mapInArrow(tidy(run), f"__row {docs.schema.simpleString()}, __lang string, {SCHEMA}")
     return out.where(verdict(bands or BANDS, "__lang").isNull()).select("__row.*")

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, pack6, release, unpack6
+from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, pack6, release, tidy, tidy_groups, unpack6
 
 N, THRESHOLD, GROUP, QUERIES = 3, 0.55, 2_000_000, 8192
 #: Rows of a few numbers that are broadcast (some 20 MB); with more the join is a shuffle.
@@ -286,9 +286,9 @@ def classes_and_links(df: DataFrame, n: int = N, threshold: float = THRESHOLD, i
     many = buckets(spark)
     text = F.col(text_col).cast("string")
     docs = df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(_LAST))).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("version"))
-    sent = docs.mapInArrow(_send(n, many), "bucket bigint, chunk bigint, h binary, per binary")
-    back = sent.groupBy("bucket").applyInArrow(_repeated(many), "bucket bigint, chunk bigint, h binary, per binary, seen binary")
-    suspects = cut(back.groupBy("chunk").applyInArrow(_suspects(threshold), "doc_id bigint, version bigint, size bigint, sig bigint, near bigint, tokens binary"))
+    sent = docs.mapInArrow(tidy(_send(n, many)), "bucket bigint, chunk bigint, h binary, per binary")
+    back = sent.groupBy("bucket").applyInArrow(tidy_groups(_repeated(many)), "bucket bigint, chunk bigint, h binary, per binary, seen binary")
+    suspects = cut(back.groupBy("chunk").applyInArrow(tidy_groups(_suspects(threshold)), "doc_id bigint, version bigint, size bigint, sig bigint, near bigint, tokens binary"))
     classes = cut(suspects.groupBy("sig", "near", "size").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least")))
     # Most minimum hashes have one part; only those with more are looked up.
     parts = classes.groupBy("near").agg(F.ceil(F.sum("size") / GROUP).alias("parts")).where("parts > 1")
@@ -297,13 +297,13 @@ def classes_and_links(df: DataFrame, n: int = N, threshold: float = THRESHOLD, i
     def in_groups(rows: DataFrame) -> DataFrame:
         return rows.join(parts, "near", "left").withColumn("grp", F.xxhash64("near", F.pmod("sig", F.coalesce("parts", F.lit(1))))).drop("parts")
 
-    sets = suspects.where("tokens IS NOT NULL").select("sig", "near", "tokens").mapInArrow(_once, "sig bigint, near bigint, tokens binary")
-    matrix = cut(in_groups(sets).groupBy("grp").cogroup(in_groups(classes).groupBy("grp")).applyInArrow(_matrix, "grp bigint, near bigint, sig bigint, size bigint, copies bigint, tokens binary"))
+    sets = suspects.where("tokens IS NOT NULL").select("sig", "near", "tokens").mapInArrow(tidy(_once), "sig bigint, near bigint, tokens binary")
+    matrix = cut(in_groups(sets).groupBy("grp").cogroup(in_groups(classes).groupBy("grp")).applyInArrow(tidy_groups(_matrix), "grp bigint, near bigint, sig bigint, size bigint, copies bigint, tokens binary"))
     reps = matrix.where("sig IS NOT NULL")
     unions = matrix.where("sig IS NULL").select(F.col("grp").alias("grp"), F.col("copies").alias("members"), F.col("tokens").alias("union"))
-    probes = reps.select("sig", "grp", "size", "tokens").mapInArrow(_prefixes(threshold, False), "token bigint, sig bigint, grp bigint, size bigint")
+    probes = reps.select("sig", "grp", "size", "tokens").mapInArrow(tidy(_prefixes(threshold, False)), "token bigint, sig bigint, grp bigint, size bigint")
     # The index is made of what each batch has once, so only the join's own exchange is needed.
-    index = reps.select("grp", "size", "tokens").mapInArrow(_prefixes(threshold, True), "token bigint, to bigint, least bigint, most bigint").repartition("token").groupBy("token", "to").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    index = reps.select("grp", "size", "tokens").mapInArrow(tidy(_prefixes(threshold, True)), "token bigint, to bigint, least bigint, most bigint").repartition("token").groupBy("token", "to").agg(F.min("least").alias("least"), F.max("most").alias("most"))
     probed = cut(
         probes.join(index, "token")
         .where((F.col("grp") < F.col("to")) & (F.col("least") * threshold <= F.col("size") + 1e-9) & (F.col("size") * threshold <= F.col("most") + 1e-9))
@@ -322,7 +322,7 @@ def classes_and_links(df: DataFrame, n: int = N, threshold: float = THRESHOLD, i
     salts = _slim(cut(salted(probed.groupBy("grp").agg(F.count("*").alias("queries")))))
     queries = reps.select("sig", "size", "copies", "tokens").join(_slim(cut(probed.join(salts, "grp").select("sig", "grp", salt("sig", "salts").alias("salt")))), "sig")
     stored = unions.select("grp", "union").join(salts, "grp").select("grp", every, "union")
-    open_ = cut(stored.groupBy("grp", "salt").cogroup(queries.groupBy("grp", "salt")).applyInArrow(_bound(threshold), "grp bigint, sig bigint, size bigint, copies bigint, tokens binary"))
+    open_ = cut(stored.groupBy("grp", "salt").cogroup(queries.groupBy("grp", "salt")).applyInArrow(tidy_groups(_bound(threshold)), "grp bigint, sig bigint, size bigint, copies bigint, tokens binary"))
     release(probed)
     # Groups of several members, and those that qualified for a query of another group.
     asked = open_.groupBy("grp").agg(F.count("*").alias("asked"))
@@ -330,7 +330,7 @@ def classes_and_links(df: DataFrame, n: int = N, threshold: float = THRESHOLD, i
     salts = _slim(cut(salted(opened.select("grp", (F.col("members") + F.coalesce("asked", F.lit(0))).alias("queries")))))
     members = reps.join(salts, "grp").select("grp", every, "sig", "size", "copies", "tokens", salt("sig", "salts").alias("home")).withColumn("asks", F.col("home") == F.col("salt")).drop("home")
     asking = open_.join(salts, "grp").select("grp", salt("sig", "salts").alias("salt"), "sig", "size", "copies", "tokens")
-    links = cut(members.groupBy("grp", "salt").cogroup(asking.groupBy("grp", "salt")).applyInArrow(_verify(threshold), "sig bigint, other bigint, links bigint"))
+    links = cut(members.groupBy("grp", "salt").cogroup(asking.groupBy("grp", "salt")).applyInArrow(tidy_groups(_verify(threshold)), "sig bigint, other bigint, links bigint"))
     release(open_)
     release(matrix)
     return suspects.select("doc_id", "version", "sig"), classes.select("sig", "copies", "least"), links

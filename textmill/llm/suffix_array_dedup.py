@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, list_array, pack6, release, unpack6
+from .exchange import binary, blobs, bucket, buckets, chunk_ids, cut, fresh, list_array, pack6, release, tidy, tidy_groups, unpack6
 
 LENGTH, Q = 50, 12
 _TOP = np.uint64(W._M)
@@ -46,9 +46,8 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words from each position on (no heed to where documents end)."""
     out = np.full(len(h), _TOP)
     if len(h) >= n:
-        sums = np.zeros(len(h) + 1, np.uint64)
-        np.cumsum(h * W._powers("r", W._R, len(h))[: len(h)], out=sums[1:])
-        out[: len(h) - n + 1] = W.mix((sums[n:] - sums[:-n]) * W._powers("inv", W._R_INV, len(h))[: len(h) - n + 1])
+        sums = W.power_sums(h)
+        out[: len(h) - n + 1] = W.mix(W.unpowered(sums[n:] - sums[:-n], np.arange(len(h) - n + 1)))
     return out
 
 
@@ -383,7 +382,7 @@ def _spans(step: int, length: int):
 
 
 def _next(state: DataFrame, back: DataFrame, step: int) -> DataFrame:
-    out = cut(state.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_take_names(step), STATE))
+    out = cut(state.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(tidy_groups(_take_names(step)), STATE))
     release(state)
     return out
 
@@ -398,23 +397,23 @@ def repeated_spans(df: DataFrame, length: int = LENGTH, q: int = Q, id_col: str
     spark = df.sparkSession
     many = buckets(spark)
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
-    sent = docs.mapInArrow(_send_anchors(length, q, many), HEAD)
-    marks = cut(sent.groupBy("bucket").applyInArrow(_repeated_anchors(many), HEAD).groupBy("chunk").applyInArrow(_marks(many), "key bigint, at array<int>"))
+    sent = docs.mapInArrow(tidy(_send_anchors(length, q, many)), HEAD)
+    marks = cut(sent.groupBy("bucket").applyInArrow(tidy_groups(_repeated_anchors(many)), HEAD).groupBy("chunk").applyInArrow(tidy_groups(_marks(many)), "key bigint, at array<int>"))
     marked = docs.join(marks.dropDuplicates(["key"]), "key").dropDuplicates(["key"])
-    state = cut(marked.mapInArrow(_state(length, q), STATE))
+    state = cut(marked.mapInArrow(tidy(_state(length, q)), STATE))
     release(marks)
-    back = state.mapInArrow(_send_first(many), HEAD).groupBy("bucket").applyInArrow(_name_first, HEAD)
+    back = state.mapInArrow(tidy(_send_first(many)), HEAD).groupBy("bucket").applyInArrow(tidy_groups(_name_first), HEAD)
     state = _next(state, back, 0)
     depth = q
     while True:
         step = min(depth, length - depth)
         depth += step
-        back = state.mapInArrow(_send_pairs(step, many, depth == length), HEAD).groupBy("bucket").applyInArrow(_refine if depth == length else _rank, HEAD)
+        back = state.mapInArrow(tidy(_send_pairs(step, many, depth == length)), HEAD).groupBy("bucket").applyInArrow(tidy_groups(_refine if depth == length else _rank), HEAD)
         if depth == length:
             break
         state = _next(state, back, step)
     return state.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
-        _spans(step, length), "key bigint, doc_id bigint, start_word bigint, end_word bigint, start_byte bigint, end_byte bigint, kept boolean"
+        tidy_groups(_spans(step, length)), "key bigint, doc_id bigint, start_word bigint, end_word bigint, start_byte bigint, end_byte bigint, kept boolean"
     )
 
 
@@ -429,7 +428,7 @@ def suffix_array_dedup(df: DataFrame, length: int = LENGTH, q: int = Q, id_col:
 
 def _cut_out(names: list[str], text_col: str, spans_col: str):
     def run(batches):
-        for batch in batches:
+        for batch in W.chunks(batches, text_col):
             text = batch.column(text_col).to_pylist()
             for i, spans in enumerate(batch.column(spans_col).to_pylist()):
                 if spans:
@@ -450,5 +449,5 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame
     key, spans = fresh(docs, "__key"), fresh(docs, "__spans")
     per = repeated_spans(docs, length, q).where("NOT kept").groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct("start_byte", "end_byte")).alias(spans))
     wide = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))).join(cut(per), key, "left").select(*docs.columns, spans)
-    out = wide.mapInArrow(_cut_out(docs.columns, "text", spans), docs.schema)
+    out = wide.mapInArrow(tidy(_cut_out(docs.columns, "text", spans)), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -91,9 +91,8 @@ def piece_units(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * W._powers("r", W._R, len(raw))[: len(raw)], out=sums[1:])
-    return W.mix((sums[end] - sums[start]) * W._powers("inv", W._R_INV, len(raw))[start] + (end - start).astype(np.uint64))
+    sums = W.power_sums(raw, 1)
+    return W.mix(W.unpowered(sums[end] - sums[start], start) + (end - start).astype(np.uint64))
 
 
 def strings(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[str]:

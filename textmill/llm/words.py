@@ -21,6 +21,8 @@ _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123)]] = True
 _IS_WORD[128:] = True
 
+#: Places (a power of two) whose powers are kept; those further on are products.
+_BLOCK = 1 << 15
 _POW: dict[str, np.ndarray] = {}
 
 
@@ -49,6 +51,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def power_sums(x: np.ndarray, plus: int = 0) -> np.ndarray:
+    """The n + 1 prefix sums of (x + plus) * _R**place modulo 2**64.
+
+    Powers, terms and sums are made a block at a time: the result is all that is as long as x.
+    """
+    sums, pw = np.zeros(len(x) + 1, np.uint64), _powers("r", _R, _BLOCK)
+    for i in range(0, len(x), _BLOCK):
+        part = x[i : i + _BLOCK].astype(np.uint64)
+        part += np.uint64(plus)
+        part *= pw[: len(part)]
+        np.cumsum(part, out=part)
+        part *= np.uint64(pow(_R, i, 1 << 64))
+        np.add(part, sums[i], out=sums[i + 1 : i + 1 + len(part)])
+    return sums
+
+
+def unpowered(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """x / _R**place modulo 2**64, in x itself."""
+    x *= _powers("inv", _R_INV, _BLOCK)[place & (_BLOCK - 1)]
+    if len(place) and (last := int(place.max())) >= _BLOCK:
+        x *= _powers("inv_block", pow(_R_INV, _BLOCK, 1 << 64), last // _BLOCK)[place // _BLOCK]
+    return x
+
+
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column (nulls as empty) and its n + 1 offsets."""
     col = pc.fill_null(col.cast(pa.large_string()), "")
@@ -84,10 +110,8 @@ def words(col: pa.Array, lower: bool = True):
         both = np.unique(both)
         starts = np.sort(np.concatenate([starts, both]))
         ends = np.sort(np.concatenate([ends, both]))
-    pw = _powers("r", _R, n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * pw[:n], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _powers("inv", _R_INV, n)[starts]
+    sums = power_sums(raw, 1)
+    h = unpowered(sums[ends] - sums[starts], starts)
     return mix(h), starts, ends, np.searchsorted(starts, off)
 
 
