@@ -69,6 +69,13 @@ def test_simhash_search_is_exact(spark):
     assert got == {k: v for k, v in want.items() if v <= 3}
 
 
+def test_keys_of_hashes_are_not_broadcast(spark):
+    """Each hash has a row for each choice of blocks, which no driver should have to hold."""
+    pairs = neardup.near_pairs(spark.range(300).select(F.xxhash64("id").alias("hash")))
+    pairs.collect()
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pairs_of_representatives(spark):
     docs = spark.createDataFrame([(4, 7), (2, 7), (9, 5), (1, None), (3, 5), (None, 5)], "doc_id bigint, hash bigint")
     pairs = neardup.near_pairs(docs)
