@@ -3,6 +3,7 @@
 import gzip
 import json
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -365,3 +366,11 @@ def test_streams_count_by_window_and_forget(spark, tmp_path):
     assert {(r.lang, r.n) for r in spark.read.parquet(f"{tmp_path}/n").collect()} == {("en", 2)}
     stream.write_shuffled(source, f"{tmp_path}/sh", f"{tmp_path}/s3", 2).awaitTermination(120)
     assert spark.read.parquet(f"{tmp_path}/sh").count() == 2
+
+
+def test_deviation_of_token_lengths_as_sql_has_it(spark):
+    """Tokens whose deviation is 3 in exact arithmetic: taken up one by one it is above by a last digit, as in SQL; by a difference of sums it is not."""
+    text = " ".join("x" * n for n in (8, 12, 8, 5, 11, 6, 2, 7, 6, 5, 4, 1, 3, 6))
+    want = duckdb.execute("SELECT list_stddev_pop(list_transform(string_split(?, ' '), lambda x: length(x)::DOUBLE))", [text]).fetchone()[0]
+    std = [r.x for r in spark.createDataFrame([(1, text), (2, "one"), (3, ""), (4, None)], "id int, text string").select("id", cleaning.token_length_std(F.col("text")).alias("x")).orderBy("id").collect()]
+    assert std == [want, 0.0, 0.0, 0.0] and want > 3
