@@ -58,6 +58,40 @@ def test_repetition(text):
     assert quality.word_repetition([], 2) == 0.0
 
 
+def brute_word_repetition(words, n):
+    from collections import Counter
+
+    c = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    return sum(v for v in c.values() if v > 1) / c.total() if c else 0.0
+
+
+def test_repetition_of_many_texts_at_once(spark):
+    """Texts in one chunk keep their own n-grams, and the maps have every n; no n is hashed from the start."""
+    texts = ["", "a", "ab " * 40, "é中é中é中😀é中" * 9, "The the a B. a b a b a b " * 7, None, "no word twice here", "x" * 70_000, "ab " * 40, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 " * 3]
+    got = quality.repetition_maps(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)).orderBy("doc_id").collect()
+    for t, r in zip(texts, got):
+        t = t or ""
+        assert r.char_repetition == {n: round(brute_repetition(t, n), 4) for n in range(2, 16)}
+        assert r.word_repetition == {n: round(brute_word_repetition(quality.words_of(t), n), 4) for n in range(3, 11)}
+    ks = ["zh", "en", "ur", None, "en", "en", "zh", "en", "xx", "ur"]
+    rows = quality.with_metrics(spark.createDataFrame(list(zip(range(10), texts, ks)), "doc_id int, text string, lang string").coalesce(1)).orderBy("doc_id").collect()
+    for t, k, r in zip(texts, ks, rows):
+        want = None if t is None else (brute_repetition(t, 3 if k == "zh" else 10), brute_word_repetition(quality.words_of(t), 7 if k == "ur" else 5))
+        assert (r.char_repetition, r.word_repetition) == (want or (None, None))
+    assert [c.start for c in quality.chunks([5, 5, 90, 5, 5], 10)] == [0, 2, 3]
+
+
+def test_a_step_serves_all_lengths_of_runs(monkeypatch):
+    """The maps need one step from n to n + 1 and not n steps for each n."""
+    steps, one = [], quality._joined
+    monkeypatch.setattr(quality, "_joined", lambda a, b: steps.append(1) or one(a, b))
+    quality._all_n(quality._char_shares, quality.char_codes(["abcabc" * 9]), [54], quality.MAPS_CHAR)
+    assert len(steps) == 14
+    steps.clear()
+    quality.char_repetition("abcabc" * 9, 10)
+    assert len(steps) == 4
+
+
 def test_simhash_search_is_exact(spark):
     import random
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,41 +20,138 @@ BAD_PARTS = ("http", "www", ".com", "href", "//")
 MAPS_CHAR, MAPS_WORD = range(2, 16), range(3, 11)
 
 
+#: Texts are handled so many characters at a time, so that what is made of them stays in a core's cache.
+CHUNK = 1 << 16
+#: Rows of an Arrow batch that are Python strings at a time.
+ROWS = 512
+
+
+def chunks(sizes: list[int], most: int = CHUNK) -> Iterator[slice]:
+    """Runs of neighbours with about so much in all; what is larger alone is one of its own."""
+    first, total = 0, 0
+    for i, n in enumerate(sizes):
+        if total and total + n > most:
+            yield slice(first, i)
+            first, total = i, 0
+        total += n
+    if first < len(sizes):
+        yield slice(first, len(sizes))
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = a * np.uint64(0x9E3779B97F4A7C15)
+    out += b
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(32)
+    return out
+
+
 def _fold(codes: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit number for each run of n codes."""
-    out = np.zeros(len(codes) - n + 1, np.uint64)
-    for k in range(n):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(out)].astype(np.uint64) + np.uint64(1)
-        out ^= out >> np.uint64(29)
+    """A 64-bit number for each run of n codes, made of those of runs of 1, 2, 4 and so on."""
+    if len(codes) < n:
+        return np.zeros(0, np.uint64)
+    have, size, out, done = codes.astype(np.uint64) + np.uint64(1), 1, None, 0
+    while True:
+        if n & size:
+            out = have if out is None else _joined(out[: len(codes) - done - size + 1], have[done:])
+            done += size
+        if done == n:
+            return out
+        have = _joined(have[:-size], have[size:])
+        size *= 2
+
+
+def _repeated(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each n-gram that its text has more than once occurs there, and the text's place; hashes are of all runs of codes, a text has ``counts`` of them from ``starts``."""
+    ends = np.cumsum(counts)
+    own = np.empty(int(ends[-1]) if len(ends) else 0, np.uint64)
+    if not len(own):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for s, e, n in zip(starts.tolist(), ends.tolist(), counts.tolist()):
+        if n:
+            part = own[e - n : e]
+            part[:] = hashes[s : s + n]
+            part.sort()
+    new = np.ones(len(own), bool)
+    np.not_equal(own[1:], own[:-1], out=new[1:])
+    new[(ends - counts)[counts > 0]] = True
+    at = np.flatnonzero(new)
+    freq = np.diff(at, append=len(own))
+    many = freq > 1
+    return freq[many], np.searchsorted(ends, at[many], "right")
+
+
+def _shares(part: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.divide(part, counts, out=np.zeros(len(counts)), where=counts > 0)
+
+
+def _char_shares(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    freq, owner = _repeated(hashes, starts, counts)
+    groups = np.bincount(owner, minlength=len(counts))
+    distinct = groups + counts - np.bincount(owner, freq, len(counts)).astype(np.int64)
+    k = np.minimum(np.sqrt(distinct).astype(np.int64), groups)
+    # Owners are in order already: sorted by owner and falling number, they stay where they are.
+    freq = (1 << 32) - (np.sort((owner << 32) + (1 << 32) - freq) - (owner << 32))
+    rank = np.arange(len(owner)) - (np.cumsum(groups) - groups)[owner]
+    return _shares(np.bincount(owner, np.where(rank < k[owner], freq, 0), len(counts)), counts)
+
+
+def _word_shares(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    freq, owner = _repeated(hashes, starts, counts)
+    return _shares(np.bincount(owner, freq, len(counts)), counts)
+
+
+def char_codes(texts: list[str]) -> np.ndarray:
+    """The code points of all texts, one after the other."""
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def word_codes(lists: list[list[str]]) -> np.ndarray:
+    """A number for each word of all lists, equal for equal words."""
+    number = defaultdict(itertools.count().__next__)
+    return np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(lists)), np.int64)
+
+
+def _by_n(shares: Callable, codes: np.ndarray, sizes: list[int], ns: list[int]) -> np.ndarray:
+    """The share of each text, over runs of its own n."""
+    size, n_of = np.asarray(sizes, np.int64), np.asarray(ns, np.int64)
+    starts, out = np.cumsum(size) - size, np.zeros(len(size))
+    for n in sorted(set(ns)):
+        of = np.flatnonzero(n_of == n)
+        out[of] = shares(_fold(codes, n), starts[of], np.maximum(size[of] - n + 1, 0))
     return out
 
 
 def char_repetition(text: str, n: int) -> float:
     """Share of the commonest n-grams of characters: as many as the root of the distinct ones, without those that occur once."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    if len(codes) < n:
-        return 0.0
-    freq = np.sort(np.unique(_fold(codes, n), return_counts=True)[1])[::-1]
-    k = min(int(np.sqrt(len(freq))), len(freq) - int((freq == 1).sum()))
-    return float(freq[:k].sum() / freq.sum())
+    return float(_by_n(_char_shares, char_codes([text]), [len(text)], [n])[0])
 
 
 def word_repetition(words: list[str], n: int) -> float:
     """Share of the runs of n words that occur more than once."""
-    if len(words) < n:
-        return 0.0
-    codes = pd.factorize(np.asarray(words, object))[0]
-    freq = np.unique(_fold(codes, n), return_counts=True)[1]
-    return float(freq[freq > 1].sum() / freq.sum())
+    return float(_by_n(_word_shares, word_codes([words]), [len(words)], [n])[0])
+
+
+def _all_n(shares: Callable, codes: np.ndarray, sizes: list[int], ns: range) -> np.ndarray:
+    """A row for each text, a column for each n; the runs of n + 1 are made of those of n."""
+    size, codes = np.asarray(sizes, np.int64), codes.astype(np.uint64) + np.uint64(1)
+    starts, columns, h = np.cumsum(size) - size, [], codes
+    for n in range(1, ns.stop):
+        if n > 1:
+            h = _joined(h[: max(len(codes) - n + 1, 0)], codes[n - 1 :])
+        if n in ns:
+            columns.append(shares(h, starts, np.maximum(size - n + 1, 0)))
+    return np.stack(columns, 1)
 
 
-_GAPS = str.maketrans("\n\t", "  ")
-_DROP = {ord(c): None for c in T.SPECIAL}
+_SPECIAL = np.zeros(0x110000, bool)
+_SPECIAL[[ord(c) for c in T.SPECIAL]] = True
 
 
 def words_of(text: str) -> list[str]:
     """What ``functions.text.words`` gives for a text."""
-    return [w for w in (x.strip(T.SPECIAL) for x in text.lower().translate(_GAPS).split(" ") if x) if w]
+    return [w for w in (x.strip(T.SPECIAL) for x in text.lower().replace("\n", " ").replace("\t", " ").split(" ") if x) if w]
 
 
 def member_share(words: list[str], members: frozenset | None, pair: str | None) -> float | None:
@@ -70,6 +170,21 @@ METRICS = ("n_words", "special_ratio", "stopword_ratio", "flagged_ratio", "char_
 _KIND = "n_words int, special_ratio double, stopword_ratio double, flagged_ratio double, char_repetition double, word_repetition double"
 
 
+def metrics_of(texts: list[str], langs: list[str | None], split: Callable[[str], list[str]], lists: list[dict[str, frozenset]], repetition: bool) -> Iterator[tuple]:
+    """The metrics of some texts in the order of METRICS."""
+    codes, sizes, words = char_codes(texts), [len(t) for t in texts], [split(t) for t in texts]
+    ps = [P.PARAMETERS.get(k) or P.PARAMETERS["default"] for k in langs]
+    marks = np.cumsum(np.concatenate([[0], _SPECIAL[codes]]))[np.cumsum([0, *sizes])]
+    special = _shares(np.diff(marks), np.asarray(sizes, np.int64)).tolist()
+    chars = reps = [None] * len(texts)
+    if repetition:
+        chars = _by_n(_char_shares, codes, sizes, [int(p["char_n"]) for p in ps]).tolist()
+        reps = _by_n(_word_shares, word_codes(words), [len(w) for w in words], [int(p["word_n"]) for p in ps]).tolist()
+    for w, k, *rest in zip(words, langs, special, chars, reps):
+        shares = [member_share(w, x.get(k), P.PAIRS.get(k)) for x in lists]
+        yield len(w), rest[0], *shares, *rest[1:]
+
+
 def metrics_udf(repetition: bool = True, make_words: Callable[[], Callable[[str], list[str]]] | None = None, stopwords: dict | None = None, flagged: dict | None = None):
     """All metrics of a text in one pass: its words are made once, and lists are sets.
 
@@ -84,16 +199,13 @@ def metrics_udf(repetition: bool = True, make_words: Callable[[], Callable[[str]
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         split = make_words() if make_words else words_of
         for texts, langs in batches:
-            rows = []
-            for text, lang in zip(texts, langs):
-                if text is None:
-                    rows.append((None,) * len(METRICS))
-                    continue
-                p, w = P.PARAMETERS.get(lang) or P.PARAMETERS["default"], split(text)
-                special = (len(text) - len(text.translate(_DROP))) / len(text) if text else 0.0
-                shares = [member_share(w, x.get(lang), P.PAIRS.get(lang)) for x in lists]
-                rows.append((len(w), special, *shares, *((char_repetition(text, int(p["char_n"])), word_repetition(w, int(p["word_n"]))) if repetition else (None, None))))
-            yield pd.DataFrame(rows, columns=METRICS).astype({"n_words": "Int32", **{m: "float64" for m in METRICS[1:]}})
+            found = [(None,) * len(METRICS)] * len(texts)
+            some = [i for i, t in enumerate(texts) if t is not None]
+            texts, langs = [texts.iat[i] for i in some], [langs.iat[i] for i in some]
+            for part in chunks([len(t) for t in texts]):
+                for i, row in zip(some[part], metrics_of(texts[part], langs[part], split, lists, repetition)):
+                    found[i] = row
+            yield pd.DataFrame(found, columns=METRICS).astype({"n_words": "Int32", **{m: "float64" for m in METRICS[1:]}})
 
     return run.asNondeterministic()
 
@@ -265,13 +377,21 @@ def perplexity(log10_sum: Column, tokens: Column) -> Column:
 def repetition_maps(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Character ratios for n of 2 to 15 and word ratios for n of 3 to 10 as maps, rounded to four digits."""
 
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({
-                id_col: pdf[id_col],
-                "char_repetition": [{n: round(char_repetition(t or "", n), 4) for n in MAPS_CHAR} for t in pdf["text"]],
-                "word_repetition": [{n: round(word_repetition(list(w) if w is not None else [], n), 4) for n in MAPS_WORD} for w in pdf["words"]],
-            })
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, ROWS):
+                ids, texts = b.column(0).slice(at, ROWS), [t or "" for t in b.column(1).slice(at, ROWS).to_pylist()]
+                chars, words = [], []
+                for part in chunks([len(t) for t in texts]):
+                    w = [words_of(t) for t in texts[part]]
+                    chars.append(_all_n(_char_shares, char_codes(texts[part]), [len(t) for t in texts[part]], MAPS_CHAR))
+                    words.append(_all_n(_word_shares, word_codes(w), [len(x) for x in w], MAPS_WORD))
+                maps = []
+                for ns, found in ((MAPS_CHAR, chars), (MAPS_WORD, words)):
+                    values = [round(x, 4) for x in np.concatenate(found).ravel().tolist()]
+                    places = pa.array(range(0, len(values) + 1, len(ns)), pa.int32())
+                    maps.append(pa.MapArray.from_arrays(places, pa.array(list(ns) * len(texts), pa.int32()), pa.array(values, pa.float64())))
+                yield pa.RecordBatch.from_arrays([ids, *maps], names=[id_col, "char_repetition", "word_repetition"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, "text", T.words(F.col("text")).alias("words")).mapInPandas(run, f"{id_col} {kind}, char_repetition map<int,double>, word_repetition map<int,double>")
+    return df.select(id_col, "text").mapInArrow(run, f"{id_col} {kind}, char_repetition map<int,double>, word_repetition map<int,double>")
