@@ -81,6 +81,14 @@ def test_repetition_of_many_texts_at_once(spark):
     assert [c.start for c in quality.chunks([5, 5, 90, 5, 5], 10)] == [0, 2, 3]
 
 
+def test_words_are_stripped_once_and_not_kept_for_ever(monkeypatch):
+    monkeypatch.setattr(quality, "_MOST_STRIPPED", 3)
+    quality._stripped.clear()
+    assert quality.words_of("(A) b\t(A)\n-- c.") == ["a", "b", "a", "c"] and len(quality._stripped) == 4
+    kept = quality.words_of("(A) (a)")
+    assert kept[0] is kept[1] and len(quality._stripped) == 1
+
+
 def test_a_step_serves_all_lengths_of_runs(monkeypatch):
     """The maps need one step from n to n + 1 and not n steps for each n."""
     steps, one = [], quality._joined

@@ -149,9 +149,22 @@ _SPECIAL = np.zeros(0x110000, bool)
 _SPECIAL[[ord(c) for c in T.SPECIAL]] = True
 
 
+class _Stripped(dict):
+    """Words without the signs at their ends, each made once."""
+
+    def __missing__(self, word: str) -> str:
+        self[word] = core = word.strip(T.SPECIAL)
+        return core
+
+
+_stripped, _MOST_STRIPPED = _Stripped(), 1 << 16
+
+
 def words_of(text: str) -> list[str]:
     """What ``functions.text.words`` gives for a text."""
-    return [w for w in (x.strip(T.SPECIAL) for x in text.lower().replace("\n", " ").replace("\t", " ").split(" ") if x) if w]
+    if len(_stripped) > _MOST_STRIPPED:
+        _stripped.clear()
+    return [w for w in map(_stripped.__getitem__, text.lower().replace("\n", " ").replace("\t", " ").split(" ")) if w]
 
 
 def member_share(words: list[str], members: frozenset | None, pair: str | None) -> float | None:
