@@ -303,6 +303,31 @@ def test_tokenization_and_language_plug_ins(spark):
     assert [r.x for r in spark.createDataFrame([("the the der",)], "text string").select(quality.vote_language(F.col("text"))["lang"].alias("x")).collect()] == ["en"]
 
 
+def test_votes_hold_few_texts_at_a_time(spark, monkeypatch):
+    """A batch stays in Arrow; only a slice of it is Python strings."""
+    import pyarrow as pa
+
+    texts, seen = ["the the der", None, "", "und der die", "the of"] * 3, []
+    votes = quality.vote_language(F.col("text"))
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).select(votes.alias("v")).select("v.*").collect()
+    assert [tuple(r) for r in rows] == [("en", 2 / 3), (None, None), ("unknown", 0.0), ("de", 1.0), ("en", 1.0)] * 3
+    monkeypatch.setattr(quality, "ROWS", 2)
+    make, one = F.arrow_udf, []
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: one.append(f) or make(kind)(f))
+    quality.vote_language(F.col("text"))
+
+    class Batch:
+        def __len__(self):
+            return len(texts)
+
+        def slice(self, at, n):
+            seen.append(n)
+            return pa.array(texts, pa.string()).slice(at, n)
+
+    assert next(one[0](iter([Batch()]))).to_pylist()[:2] == [{"lang": "en", "score": 2 / 3}, {"lang": None, "score": None}]
+    assert seen == [2] * 8
+
+
 def test_references_need_stop_words(spark):
     with pytest.raises(KeyError):
         cleaning.remove_references(F.col("text"), "xx")

@@ -321,10 +321,12 @@ def vote_language(c: Column, lists: dict[str, list[str]] | None = None) -> Colum
     """struct(lang, score): the language most of whose stop words a text has, and its share of all hits; the default for a plug-in model."""
     sets = {k: frozenset(v) for k, v in sorted((lists or P.STOPWORDS).items())}
 
-    @F.pandas_udf("lang string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for b in batches:
-            yield pd.DataFrame([(None, None) if t is None else vote(words_of(t), sets) for t in b], columns=["lang", "score"]).astype({"score": "float64"})
+            parts = [[(None, None) if t is None else vote(words_of(t), sets) for t in b.slice(at, ROWS).to_pylist()] for at in range(0, len(b), ROWS)]
+            langs, scores = zip(*itertools.chain.from_iterable(parts)) if len(b) else ((), ())
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     return run(c)
 
