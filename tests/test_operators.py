@@ -417,6 +417,29 @@ def test_job_settings(tmp_path):
         config.load(str(tmp_path / "bad.yaml"))
 
 
+@pytest.mark.parametrize("hot", [0, 2, 1000])
+def test_links_to_hot_urls_meet_no_shuffled_join(spark, hot):
+    """Known and unknown URLs with many links are looked up by broadcast, with the same ids in the same order."""
+    rows = [(i, f"u{i % 4}", i // 4, ["nowhere", "u1", None, f"u{i % 5}"]) for i in range(12)] + [(12, None, 1, None), (13, "u3", 0, [])]
+    pages = spark.createDataFrame(rows, "id int, url string, fetch_time int, external_urls array<string>")
+    newest = {"u0": 8, "u1": 9, "u2": 10, "u3": 11}
+    got = {r.id: r.external_ids for r in crawl.external_ids(pages, hot=hot).collect()}
+    assert got == {i: [newest[u] for u in us or [] if u in newest] for i, _, _, us in rows}
+
+
+def test_no_task_gets_all_links_to_one_url(spark):
+    """Where the planner broadcasts nothing of itself, a URL of 60,000 links still is."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = spark.range(60_000).select("id", F.col("id").cast("string").alias("url"), F.lit(0).alias("fetch_time"), F.array(F.lit("nowhere"), F.lit("7")).alias("external_urls"))
+        out = crawl.external_ids(pages)
+        assert {tuple(r.external_ids) for r in out.collect()} == {(7,)}
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
 def test_crawl_expansion_by_depth(spark):
     index = spark.createDataFrame([("a", ["b", "c"]), ("b", ["d", "a"]), ("c", []), ("d", ["e"]), ("e", [])], "url string, external_urls array<string>")
     got = {r.url: r.depth for r in crawl.expand(index.where("url = 'a'"), index, 2).collect()}

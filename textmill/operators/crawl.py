@@ -72,11 +72,24 @@ def expand(seeds: DataFrame, index: DataFrame, depth: int) -> DataFrame:
     return found
 
 
-def external_ids(pages: DataFrame, id_col: str = "id", url: str = "url", urls: str = "external_urls", time: str = "fetch_time") -> DataFrame:
-    """pages with external_ids: the newest row's id for each known external URL, in their order."""
+#: Links to one URL beyond which the URL counts as hot.
+HOT = 50_000
+
+
+def external_ids(pages: DataFrame, id_col: str = "id", url: str = "url", urls: str = "external_urls", time: str = "fetch_time", hot: int = HOT) -> DataFrame:
+    """pages with external_ids: the newest row's id for each known external URL, in their order.
+
+    URLs with more than ``hot`` links, known or not, are broadcast with their ids
+    (at most a row per ``hot`` links), so that no task gets all links to one.
+    """
     ids = pages.groupBy(F.col(url).alias("__url")).agg(F.max_by(F.col(id_col), F.struct(time, id_col)).alias("__id"))
-    links = pages.select(F.col(id_col), F.posexplode(urls).alias("__pos", "__url")).join(ids, "__url")
-    per = links.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__id"))), lambda x: x["__id"]).alias("external_ids"))
+    links = pages.select(F.col(id_col), F.posexplode(urls).alias("__pos", "__url")).where("__url IS NOT NULL")
+    many = links.groupBy("__url").agg(F.count("*").alias("__n")).where(F.col("__n") > hot).select("__url")
+    of_many = F.broadcast(many.join(ids, "__url", "left").select("__url", F.struct("__id").alias("__many")))
+    marked = links.join(of_many, "__url", "left")
+    few = marked.where("__many IS NULL").select(id_col, "__pos", "__url").join(ids, "__url").select(id_col, "__pos", "__id")
+    found = few.unionByName(marked.where("__many IS NOT NULL").select(id_col, "__pos", F.col("__many.__id").alias("__id")).where("__id IS NOT NULL"))
+    per = found.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__id"))), lambda x: x["__id"]).alias("external_ids"))
     return pages.join(per, id_col, "left").withColumn("external_ids", F.coalesce("external_ids", F.array().cast(per.schema["external_ids"].dataType)))
 
 
